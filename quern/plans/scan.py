@@ -17,9 +17,13 @@ data.  ``ordered_scan`` cuts such hot keys into chunks instead:
    inside each chunk (one hash shuffle, sort-based and spillable);
 4. chunk totals of hot keys (a partial aggregate, no raw rows shuffled)
    are turned into a carry-in per chunk by a small window; that table has
-   at most ``2 * max_hot_keys`` rows and is broadcast back.
+   one row per chunk of a hot key (at most ``2 * max_hot_keys`` rows) and
+   is broadcast back.
 
-Supported operations (associative): ``sum``, ``count``, ``min``, ``max``,
+The input is read by three branches (statistics, totals, window); a derived
+input is persisted once (see :func:`reusable`) so chained scans stay linear.
+
+Supported operations (associative): ``sum``, ``count``, ``min``, ``max``, ``xor``,
 ``last`` (last non-null value), ``first`` (first non-null value).  Pass
 ``struct(col)`` to ``last`` for a null-preserving "previous row" value.
 
@@ -40,6 +44,8 @@ from pyspark.sql import types as T
 
 _CH = "_scan_chunk"
 _RN = "_scan_rn"
+_N = "_scan_n"
+_HOT = "_scan_hot"
 
 DEFAULT_CHUNK_ROWS = 2_000_000
 DEFAULT_MAX_HOT_KEYS = 50_000
@@ -72,12 +78,14 @@ def _window_agg(op: str, e: Column) -> Column:
         return F.last(e, ignorenulls=True)
     if op == "first":
         return F.first(e, ignorenulls=True)
+    if op == "xor":
+        return F.bit_xor(e)
     raise ValueError(f"unsupported scan op {op!r}")
 
 
 def _total_agg(op: str, e: Column, order_key: Column, descending: bool) -> Column:
     """Aggregate of one whole chunk (plain group-by, partial aggregation)."""
-    if op in ("sum", "count", "min", "max"):
+    if op in ("sum", "count", "min", "max", "xor"):
         return _window_agg(op, e)
     ok = F.when(e.isNotNull(), order_key)
     pick_max = (op == "last") != descending
@@ -103,6 +111,8 @@ def _combine(op: str, local: Column, carry: Column) -> Column:
         return F.coalesce(local, carry)
     if op == "first":
         return F.coalesce(carry, local)
+    if op == "xor":
+        return F.when(carry.isNull(), local).when(local.isNull(), carry).otherwise(local.bitwiseXOR(carry))
     raise ValueError(op)
 
 
@@ -125,6 +135,37 @@ def _as_number(df: DataFrame, c: Column) -> Column | None:
     return None
 
 
+_DERIVED = ("Join", "Aggregate", "Window", "Union", "Repartition", "Expand", "Generate", "Sort",
+            "Distinct", "Intersect", "Except", "LogicalRDD", "LocalRelation", "Sample")
+
+
+def reusable(df: DataFrame) -> DataFrame:
+    """Persist ``df`` when it is a derived result that several branches read.
+
+    The scan reads its input three times (key statistics, chunk totals, the
+    window).  Re-reading parquet is cheap, but re-running a derived plan (a
+    join, an earlier scan) in every branch multiplies the work, and chained
+    scans would multiply it again.  Cached blocks lost with an executor are
+    recomputed from lineage; everything here is deterministic, so the
+    recomputed blocks are identical.  ``release()`` frees them."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if not any(tok in plan for tok in _DERIVED):
+        return df
+    from pyspark import StorageLevel
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(out)
+    return out
+
+
+_PERSISTED: list = []
+
+
+def release() -> None:
+    """Unpersist every intermediate result cached by scans so far."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+
+
 def _keys_equal(keys: Sequence[str], prefix: str) -> Column:
     cond = None
     for k in keys:
@@ -146,7 +187,8 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence, aggs: Iter
     max_hot = max_hot_keys or _conf_int(spark, "quern.scan.maxHotKeys", DEFAULT_MAX_HOT_KEYS)
     base_cols = df.columns
     keys = list(keys)
-    if not keys:
+    unkeyed = not keys
+    if unkeyed:
         df = df.withColumn("_scan_k0", F.lit(0))
         keys = ["_scan_k0"]
     order_cols = [_col(o) for o in order]
@@ -154,12 +196,17 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence, aggs: Iter
     o0 = _as_number(df, order_cols[0])
 
     if o0 is not None:
-        total = df.select(F.count(F.lit(1))).scalar()
-        threshold = F.greatest(F.lit(chunk_rows), F.ceil(total / F.lit(max_hot)))
+        df = reusable(df)
+        stats = (df.groupBy(*keys)
+                 .agg(F.count(F.lit(1)).alias("_cnt"), F.min(o0).alias("_omin"), F.max(o0).alias("_omax")))
+        total = stats.select(F.sum("_cnt")).scalar()
+        if unkeyed:  # one series: cut it into about one chunk per shuffle partition
+            parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+            threshold = F.greatest(F.lit(min(chunk_rows, 10_000)), F.ceil(total / F.lit(parts)))
+        else:
+            threshold = F.greatest(F.lit(chunk_rows), F.ceil(total / F.lit(max_hot)))
         # Hot keys: fewer than max_hot of them (count > total / max_hot).
-        hot = (df.groupBy(*keys)
-               .agg(F.count(F.lit(1)).alias("_cnt"), F.min(o0).alias("_omin"), F.max(o0).alias("_omax"))
-               .where(F.col("_cnt") > threshold)
+        hot = (stats.where(F.col("_cnt") > threshold)
                .withColumn("_nch", F.ceil(F.col("_cnt") / threshold))
                .select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_omin", "_nch",
                        ((F.col("_omax") - F.col("_omin")) / F.col("_nch")).alias("_w")))
@@ -172,10 +219,10 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence, aggs: Iter
                  .otherwise(F.least(F.greatest(pos, F.lit(0)), F.col("_nch") - 1)).cast("long"))
         chunked = (df.join(F.broadcast(hot), _keys_equal(keys, "_h_"), "left")
                    .withColumn(_CH, chunk)
-                   .withColumn("_scan_hot", F.col("_nch").isNotNull())
+                   .withColumn(_HOT, F.col("_nch").isNotNull())
                    .drop(*[f"_h_{k}" for k in keys], "_omin", "_nch", "_w"))
     else:
-        chunked = df.withColumn(_CH, F.lit(0).cast("long")).withColumn("_scan_hot", F.lit(False))
+        chunked = df.withColumn(_CH, F.lit(0).cast("long")).withColumn(_HOT, F.lit(False))
 
     seg = Window.partitionBy(*keys, _CH).orderBy(*sort_cols)
     incl = seg.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -193,16 +240,15 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence, aggs: Iter
             out.append(F.col(f"_exc_{a.name}" if a.exclusive else f"_inc_{a.name}").alias(a.name))
         return local.select(*out)
 
-    # Totals per chunk of hot keys only: a partial aggregate (no raw-row shuffle).
+    # Chunk totals of hot keys: a partial aggregate over the chunk's rows.
     okey = F.struct(*order_cols)
-    totals = (chunked.where(F.col("_scan_hot"))
-              .groupBy(*keys, _CH)
+    totals = (chunked.where(F.col(_HOT)).groupBy(*keys, _CH)
               .agg(*[_total_agg(a.op, a.expr, okey, descending).alias(f"_tot_{a.name}") for a in aggs]))
     before = Window.partitionBy(*keys).orderBy(_CH).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(*[F.col(k).alias(f"_c_{k}") for k in keys], F.col(_CH).alias("_c_ch"),
                           *[_carry_agg(a.op, F.col(f"_tot_{a.name}")).over(before).alias(f"_car_{a.name}")
                             for a in aggs])
-    # carry has at most (number of chunks of hot keys) <= 2 * max_hot rows.
+    # carry has one row per chunk of a hot key: at most 2 * max_hot rows.
     cond = _keys_equal(keys, "_c_") & (F.col(_CH) == F.col("_c_ch"))
     joined = local.join(F.broadcast(carry), cond, "left")
     out = [F.col(c) for c in base_cols]
