@@ -124,7 +124,8 @@ def _conf_int(spark, key: str, default: int) -> int:
     return int(v) if v else default
 
 
-def _as_number(df: DataFrame, c: Column) -> Column | None:
+def as_number(df: DataFrame, c: Column) -> Column | None:
+    """The column as a double that keeps its order (timestamps in micros)."""
     dt = df.select(c).schema.fields[0].dataType
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(c.cast("timestamp")).cast("double")
@@ -176,7 +177,7 @@ def _keys_equal(keys: Sequence[str], prefix: str) -> Column:
 
 def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence, aggs: Iterable[Agg],
                  descending: bool = False, chunk_rows: int | None = None,
-                 max_hot_keys: int | None = None) -> DataFrame:
+                 max_hot_keys: int | None = None, chunk_by: Column | None = None) -> DataFrame:
     """Add running aggregates per key in ``order`` to every row of ``df``.
 
     ``keys`` may be empty: the whole table is one series (then it is one hot
@@ -193,7 +194,9 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence, aggs: Iter
         keys = ["_scan_k0"]
     order_cols = [_col(o) for o in order]
     sort_cols = [c.desc() for c in order_cols] if descending else order_cols
-    o0 = _as_number(df, order_cols[0])
+    # chunk_by: a number that never decreases along the order (for orders that
+    # start with text or with a few distinct values); default the first column.
+    o0 = chunk_by.cast("double") if chunk_by is not None else as_number(df, order_cols[0])
 
     if o0 is not None:
         df = reusable(df)
@@ -258,6 +261,14 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence, aggs: Iter
     return joined.select(*out)
 
 
+def text_rank_key(s: Column) -> Column:
+    """Order-preserving number for text: its first 7 UTF-8 bytes read as a
+    big-endian integer (strings compare by bytes, so this never decreases
+    along the text order; equal prefixes share a chunk)."""
+    hexed = F.rpad(F.hex(F.substring(F.encode(s, "UTF-8"), 1, 7)), 14, "0")
+    return F.conv(hexed, 16, 10).cast("long")
+
+
 def row_index(df: DataFrame, keys: Sequence[str], order: Sequence, name: str = "rn",
               descending: bool = False, **kw) -> DataFrame:
     """1-based row number per key in ``order`` (skew-safe)."""
