@@ -477,3 +477,41 @@ def interval_conflicts(df: DataFrame, keys: Sequence[str], start: str, end: str)
                      [Agg("_run", "sum", F.col("_net"))])
     peak = s.groupBy(*keys).agg(F.max("_run").alias("max_concurrent"))
     return conflict.join(peak, list(keys))
+
+
+# ---------------------------------------------------------------- rate limit
+
+def rate_limit(df: DataFrame, keys: Sequence[str], t: str, id_col: str, span, max_rounds: int = 64) -> DataFrame:
+    """Allow a row when its time is at least ``span`` after the last ALLOWED
+    row of its key (``id_col`` unique in the table).
+
+    The allowed rows are the chain first row -> next -> next ..., where
+    next(i) is the first row at or after t_i + span (an as-of lookup).  The
+    chain is marked by pointer doubling: after round j the marked set holds
+    the first 2^j chain rows, so a chain of n rows takes log2(n) rounds of
+    joins on the unique id -- no key is ever processed by one task."""
+    from ..plans.asof import asof_lookup
+    from ..plans.loops import check_cap, materialize
+    base = df.select(*keys, t, id_col)
+    probes = base.select(*keys, id_col, (F.col(t) + span).alias("_probe"))
+    right = base.select(*keys, F.col(t).alias("_rt"), F.col(id_col).alias("_nid"), (-F.col(id_col)).alias("_seq"))
+    nxt = asof_lookup(probes, right, keys, F.col("_probe"), F.col("_rt"), ["_nid"], direction="forward",
+                      right_seq="_seq")
+    jump = materialize(nxt.where(F.col("_nid").isNotNull()).select(F.col(id_col).alias("x"), F.col("_nid").alias("y")))
+    first = base.groupBy(*keys).agg(F.min_by(id_col, F.struct(t, id_col)).alias("x"))
+    marked = materialize(first.select("x"))
+    size = marked.count()
+    r = 0
+    while True:
+        check_cap(r, max_rounds, "rate_limit")
+        r += 1
+        step = marked.join(jump, "x").select(F.col("y").alias("x"))
+        grown = materialize(marked.unionByName(step).distinct())
+        n = grown.count()
+        if n == size:
+            break
+        marked, size = grown, n
+        j2 = jump.select(F.col("x").alias("_m"), F.col("y").alias("_y2"))
+        jump = materialize(jump.join(j2, jump["y"] == j2["_m"]).select("x", F.col("_y2").alias("y")))
+    flags = marked.select(F.col("x").alias(id_col), F.lit(True).alias("allowed"))
+    return base.join(flags, id_col, "left").fillna(False, ["allowed"])
