@@ -6,7 +6,7 @@ import importlib
 
 from .registry import ORACLE, QUERIES
 
-_MODULES = ["aggregations", "sequences", "joins", "sorts", "text", "graph", "hierarchy", "streaming"]
+_MODULES = ["aggregations", "sequences", "joins", "sorts", "text", "graph", "hierarchy", "streaming", "grid"]
 
 for _m in _MODULES:
     importlib.import_module(f"{__name__}.{_m}")
