@@ -198,16 +198,28 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence, aggs: Iter
     # start with text or with a few distinct values); default the first column.
     o0 = chunk_by.cast("double") if chunk_by is not None else as_number(df, order_cols[0])
 
-    if o0 is not None:
+    if o0 is not None and unkeyed:
+        # One series: chunk geometry from scalar subqueries (no join at all).
+        df = reusable(df)
+        stats = df.agg(F.count(F.lit(1)).alias("_cnt"), F.min(o0).alias("_omin"), F.max(o0).alias("_omax"))
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        cnt, omin, omax = (stats.select(c).scalar() for c in ("_cnt", "_omin", "_omax"))
+        threshold = F.greatest(F.lit(min(chunk_rows, 10_000)), F.ceil(cnt / F.lit(parts)))
+        nch = F.ceil(cnt / threshold)
+        width = (omax - omin) / nch
+        pos = F.floor((o0 - omin) / width)
+        if descending:
+            pos = nch - 1 - pos
+        pos = F.when(o0.isNull(), nch - 1 if descending else F.lit(0)).otherwise(pos)
+        chunk = F.when(width.isNull() | (width <= 0), F.lit(0)).otherwise(
+            F.least(F.greatest(pos, F.lit(0)), nch - 1)).cast("long")
+        chunked = df.withColumn(_CH, chunk).withColumn(_HOT, F.lit(True))
+    elif o0 is not None:
         df = reusable(df)
         stats = (df.groupBy(*keys)
                  .agg(F.count(F.lit(1)).alias("_cnt"), F.min(o0).alias("_omin"), F.max(o0).alias("_omax")))
         total = stats.select(F.sum("_cnt")).scalar()
-        if unkeyed:  # one series: cut it into about one chunk per shuffle partition
-            parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-            threshold = F.greatest(F.lit(min(chunk_rows, 10_000)), F.ceil(total / F.lit(parts)))
-        else:
-            threshold = F.greatest(F.lit(chunk_rows), F.ceil(total / F.lit(max_hot)))
+        threshold = F.greatest(F.lit(chunk_rows), F.ceil(total / F.lit(max_hot)))
         # Hot keys: fewer than max_hot of them (count > total / max_hot).
         hot = (stats.where(F.col("_cnt") > threshold)
                .withColumn("_nch", F.ceil(F.col("_cnt") / threshold))
@@ -252,7 +264,9 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence, aggs: Iter
                           *[_carry_agg(a.op, F.col(f"_tot_{a.name}")).over(before).alias(f"_car_{a.name}")
                             for a in aggs])
     # carry has one row per chunk of a hot key: at most 2 * max_hot rows.
-    cond = _keys_equal(keys, "_c_") & (F.col(_CH) == F.col("_c_ch"))
+    cond = F.col(_CH) == F.col("_c_ch")
+    if not unkeyed:
+        cond = _keys_equal(keys, "_c_") & cond
     joined = local.join(F.broadcast(carry), cond, "left")
     out = [F.col(c) for c in base_cols]
     for a in aggs:
