@@ -60,28 +60,83 @@ def first_complement_pair(df: DataFrame, keys: Sequence[str], val: str, id_col:
     return best.select(*keys, F.col("_p.i").alias("first_id"), F.col("_p.j").alias("second_id"))
 
 
-def k_sum_groups(df: DataFrame, keys: Sequence[str], val: str, target, modulus: int = 1_000_000_007) -> DataFrame:
-    """Distinct value triples v1 <= v2 <= v3 summing to target per key, with
-    the number of index triples i < j < k that give them (mod ``modulus``):
-    C(c,3), C(c,2)*c', c*c'*c'' by equality case.  Pairs of distinct values
-    per key are joined, the third value is an equi-join on target - v1 - v2."""
+def _runs_patterns(k: int):
+    """All ways k sorted values split into runs of equal values (as run lengths)."""
+    for mask in range(1 << (k - 1)):
+        runs, n = [], 1
+        for i in range(k - 1):
+            if mask >> i & 1:
+                n += 1
+            else:
+                runs.append(n)
+                n = 1
+        runs.append(n)
+        yield mask, runs
+
+
+def _comb(c: Column, m: int) -> Column:
+    out = c
+    for i in range(1, m):
+        out = out * (c - i)
+    fact = 1
+    for i in range(2, m + 1):
+        fact *= i
+    return out / fact
+
+
+def multiset_count(vals: list[Column], counts: list[Column]) -> Column:
+    """Number of ways to pick the sorted values vals[0] <= ... from items
+    whose counts are ``counts``: the product of C(count, run length) over runs
+    of equal values."""
+    k = len(vals)
+    expr = None
+    for mask, runs in _runs_patterns(k):
+        cond = None
+        for i in range(k - 1):
+            c = (vals[i] == vals[i + 1]) if mask >> i & 1 else (vals[i] < vals[i + 1])
+            cond = c if cond is None else cond & c
+        prod, pos = None, 0
+        for r in runs:
+            term = _comb(counts[pos], r)
+            prod = term if prod is None else prod * term
+            pos += r
+        expr = F.when(cond if cond is not None else F.lit(True), prod) if expr is None else expr.when(cond, prod)
+    return expr
+
+
+def k_sum_groups(df: DataFrame, keys: Sequence[str], val: str, target, k: int = 3,
+                 modulus: int = 1_000_000_007) -> DataFrame:
+    """Distinct value groups v1 <= ... <= vk (k = 3 or 4) summing to target per
+    key, with the number of index groups i1 < ... < ik that give them (mod
+    ``modulus``).  Rows are counted per value first; 3: pairs of distinct
+    values joined to the third by an equi-join on target - v1 - v2; 4: value
+    pairs joined to value pairs on the complementary sum."""
     c = df.groupBy(*keys, val).agg(F.count(F.lit(1)).alias("_n"))
 
     def side(tag):
-        return c.select(*[F.col(k).alias(f"_{tag}_{k}") for k in keys], F.col(val).alias(f"v{tag}"),
+        return c.select(*[F.col(kk).alias(f"_{tag}_{kk}") for kk in keys], F.col(val).alias(f"v{tag}"),
                         F.col("_n").alias(f"_n{tag}"))
 
-    one, two, three = side("1"), side("2"), side("3")
-    j = (one.join(two, _keq(keys, "_1_", "_2_") + [F.col("v2") >= F.col("v1")])
-         .join(three, _keq(keys, "_1_", "_3_") + [F.col("v3") == F.lit(target) - F.col("v1") - F.col("v2")])
-         .where(F.col("v3") >= F.col("v2")))
-    n1, n2, n3 = F.col("_n1"), F.col("_n2"), F.col("_n3")
-    cnt = (F.when((F.col("v1") == F.col("v2")) & (F.col("v2") == F.col("v3")), n1 * (n1 - 1) * (n1 - 2) / 6)
-           .when(F.col("v1") == F.col("v2"), n1 * (n1 - 1) / 2 * n3)
-           .when(F.col("v2") == F.col("v3"), n2 * (n2 - 1) / 2 * n1)
-           .otherwise(n1 * n2 * n3)).cast("long")
-    out = j.select(*[F.col(f"_1_{k}").alias(k) for k in keys], "v1", "v2", "v3", (cnt % modulus).alias("n_triples"))
-    return out.where(F.col("n_triples") > 0)
+    if k == 3:
+        one, two, three = side("1"), side("2"), side("3")
+        j = (one.join(two, _keq(keys, "_1_", "_2_") + [F.col("v2") >= F.col("v1")])
+             .join(three, _keq(keys, "_1_", "_3_") + [F.col("v3") == F.lit(target) - F.col("v1") - F.col("v2")])
+             .where(F.col("v3") >= F.col("v2")))
+    elif k == 4:
+        pa = side("1").join(side("2"), _keq(keys, "_1_", "_2_") + [F.col("v2") >= F.col("v1")]) \
+            .withColumn("_sa", F.col("v1") + F.col("v2"))
+        pb = side("3").join(side("4"), _keq(keys, "_3_", "_4_") + [F.col("v4") >= F.col("v3")]) \
+            .withColumn("_sb", F.col("v3") + F.col("v4"))
+        j = pa.join(pb, _keq(keys, "_1_", "_3_") + [F.col("_sb") == F.lit(target) - F.col("_sa")]) \
+            .where(F.col("v3") >= F.col("v2"))
+    else:
+        raise ValueError("k must be 3 or 4")
+    vs = [F.col(f"v{i}") for i in range(1, k + 1)]
+    cnt = multiset_count(vs, [F.col(f"_n{i}") for i in range(1, k + 1)]).cast("long")
+    name = "n_triples" if k == 3 else "n_quads"
+    out = j.select(*[F.col(f"_1_{kk}").alias(kk) for kk in keys], *[f"v{i}" for i in range(1, k + 1)],
+                   (cnt % modulus).alias(name))
+    return out.where(F.col(name) > 0)
 
 
 def last_index_lookup(a: DataFrame, b: DataFrame, key: str, pos: str, name: str = "last_pos") -> DataFrame:

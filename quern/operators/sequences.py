@@ -265,6 +265,30 @@ def first_missing_positive(df: DataFrame, keys: Sequence[str], val: str,
     return df.select(*keys).distinct().join(res, list(keys), "left").fillna(1, [name])
 
 
+def kth_missing_positive(df: DataFrame, keys: Sequence[str], val: str, k: int,
+                         name: str = "kth_missing") -> DataFrame:
+    """k-th positive integer absent from the key's values: with sorted
+    distinct values a_i (i from 1), a_i - i values are missing before a_i,
+    so the answer is k + #{i : a_i - i < k}."""
+    d = df.select(*keys, val).where(F.col(val) > 0).distinct()
+    r = row_index(d, keys, [val], name="_r")
+    g = r.groupBy(*keys).agg(F.sum(F.when(F.col(val) - F.col("_r") < k, 1).otherwise(0)).alias("_c"))
+    res = g.select(*keys, (F.col("_c") + k).cast("long").alias(name))
+    return df.select(*keys).distinct().join(res, list(keys), "left").fillna(k, [name])
+
+
+def has_multiple_segment(df: DataFrame, keys: Sequence[str], order: Sequence[str], val: str, m: int,
+                         name: str = "has_multiple") -> DataFrame:
+    """Is there a segment of length >= 2 whose sum is a multiple of m?  Two
+    prefix sums (P(0) = 0 included) with equal residue at least 2 apart."""
+    s = ordered_scan(df, keys, order, [Agg("_p", "sum", _c(val)), Agg("_i", "count", F.lit(1))])
+    starts = df.select(*keys).distinct().select(*keys, F.lit(0).cast(s.schema["_p"].dataType).alias("_p"),
+                                                F.lit(0).cast("long").alias("_i"))
+    p = s.select(*keys, "_p", "_i").unionByName(starts)
+    g = p.groupBy(*keys, F.pmod(F.col("_p"), F.lit(m)).alias("_res")).agg((F.max("_i") - F.min("_i")).alias("_w"))
+    return g.groupBy(*keys).agg((F.max("_w") >= 2).alias(name))
+
+
 def max_gap(df: DataFrame, keys: Sequence[str], order: str, name: str = "max_gap") -> DataFrame:
     """Longest distance between neighbouring marks per key."""
     p = previous(df.select(*keys, order), keys, [order], [order], prefix="_pv_")
@@ -322,6 +346,23 @@ def one_change_nondecreasing(df: DataFrame, keys: Sequence[str], order: Sequence
     return g.select(*keys, ((F.col("_d") == 0) | ((F.col("_d") == 1) & (F.col("_ok") == 1))).alias(name))
 
 
+def remove_one_increasing(df: DataFrame, keys: Sequence[str], order: Sequence[str], val: str,
+                          name: str = "removable") -> DataFrame:
+    """Can removing exactly one value make the key's series strictly rising?
+    At most one non-rise; at it, dropping the left or the right value must fit."""
+    a = ordered_scan(df, keys, order, [Agg("_rn", "count", F.lit(1))])
+    b = at_offset(a, keys, "_rn", -1, [val], "_p1_")
+    b = at_offset(b, keys, "_rn", -2, [val], "_p2_")
+    b = at_offset(b, keys, "_rn", 1, [val], "_n1_")
+    v, p1, p2, n1 = _c(val), F.col(f"_p1_{val}"), F.col(f"_p2_{val}"), F.col(f"_n1_{val}")
+    bad = p1.isNotNull() & (v <= p1)
+    drop_left = p2.isNull() | (v > p2)
+    drop_right = n1.isNull() | (n1 > p1)
+    g = b.groupBy(*keys).agg(F.sum(F.when(bad, 1).otherwise(0)).alias("_d"),
+                             F.max(F.when(bad, (drop_left | drop_right).cast("int"))).alias("_ok"))
+    return g.select(*keys, ((F.col("_d") == 0) | ((F.col("_d") == 1) & (F.col("_ok") == 1))).alias(name))
+
+
 def longest_no_loss_span(df: DataFrame, keys: Sequence[str], order: Sequence[str], val: str,
                          name: str = "span") -> DataFrame:
     """max j - i with i < j and v_i <= v_j (positions), 0 if none."""

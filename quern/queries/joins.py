@@ -56,6 +56,37 @@ def q_k_sum_groups(spark, d):
     return jn.k_sum_groups(li, ["l_orderkey"], "v", 60)
 
 
+def _multiset_sql(k: int) -> str:
+    """SQL twin of joins.multiset_count for columns v1..vk, n1..nk."""
+    from ..operators.joins import _runs_patterns
+    parts = []
+    for mask, runs in _runs_patterns(k):
+        cond = " AND ".join(f"v{i + 1} {'=' if mask >> i & 1 else '<'} v{i + 2}" for i in range(k - 1))
+        terms, pos = [], 1
+        for r in runs:
+            num = " * ".join(f"(n{pos} - {j})" for j in range(r)) if r > 1 else f"n{pos}"
+            fact = 1
+            for j in range(2, r + 1):
+                fact *= j
+            terms.append(f"({num}) / {fact}" if r > 1 else num)
+            pos += r
+        parts.append(f"WHEN {cond} THEN {' * '.join(terms)}")
+    return "CASE " + " ".join(parts) + " END"
+
+
+@query("four_sum_groups", f"""
+WITH c AS (SELECT l_orderkey, CAST(l_quantity AS BIGINT) AS v, count(*) AS n FROM lineitem GROUP BY 1, 2),
+q AS (SELECT a.l_orderkey, a.v AS v1, b.v AS v2, x.v AS v3, y.v AS v4, a.n AS n1, b.n AS n2, x.n AS n3, y.n AS n4
+      FROM c a JOIN c b ON b.l_orderkey = a.l_orderkey AND b.v >= a.v
+      JOIN c x ON x.l_orderkey = a.l_orderkey AND x.v >= b.v
+      JOIN c y ON y.l_orderkey = a.l_orderkey AND y.v >= x.v AND a.v + b.v + x.v + y.v = 100),
+r AS (SELECT l_orderkey, v1, v2, v3, v4, CAST({_multiset_sql(4)} AS BIGINT) % 1000000007 AS n_quads FROM q)
+SELECT * FROM r WHERE n_quads > 0""")
+def q_four_sum_groups(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", F.col("l_quantity").cast("long").alias("v"))
+    return jn.k_sum_groups(li, ["l_orderkey"], "v", 100, k=4)
+
+
 @query("last_index_lookup", """
 SELECT p.p_partkey AS l_partkey, m.last_pos FROM part p
 LEFT JOIN (SELECT l_partkey, max(l_orderkey) AS last_pos FROM lineitem GROUP BY 1) m ON m.l_partkey = p.p_partkey""")

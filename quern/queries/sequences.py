@@ -273,6 +273,24 @@ def q_first_missing_positive(spark, d):
     return sq.first_missing_positive(lines(spark, d), ["l_suppkey"], "q")
 
 
+@query("kth_missing_positive", f"""
+WITH dd AS (SELECT DISTINCT l_suppkey, q FROM {L} WHERE q > 0),
+r AS (SELECT l_suppkey, q, row_number() OVER (PARTITION BY l_suppkey ORDER BY q) AS r FROM dd)
+SELECT l_suppkey, CAST(5 + sum(CASE WHEN q - r < 5 THEN 1 ELSE 0 END) AS BIGINT) AS kth_missing FROM r GROUP BY 1""")
+def q_kth_missing_positive(spark, d):
+    return sq.kth_missing_positive(lines(spark, d), ["l_suppkey"], "q", 5)
+
+
+@query("multiple_segments", f"""
+WITH p AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY {LO}) AS i,
+                  sum(q) OVER (PARTITION BY l_orderkey ORDER BY {LO} ROWS UNBOUNDED PRECEDING) AS p FROM {L}
+           UNION ALL SELECT DISTINCT l_orderkey, 0, 0 FROM lineitem),
+g AS (SELECT l_orderkey, ((p % 7) + 7) % 7 AS res, max(i) - min(i) AS w FROM p GROUP BY 1, 2)
+SELECT l_orderkey, max(w) >= 2 AS has_multiple FROM g GROUP BY 1""")
+def q_multiple_segments(spark, d):
+    return sq.has_multiple_segment(lines(spark, d), ["l_orderkey"], LORDER, "q", 7)
+
+
 @query("max_gap", f"""
 SELECT user_id, max(us - pv) AS max_gap FROM (
   SELECT user_id, us, lag(us) OVER (PARTITION BY user_id ORDER BY us) AS pv FROM {E}) GROUP BY 1""")
@@ -322,6 +340,18 @@ def q_one_change_nondecreasing(spark, d):
     return sq.one_change_nondecreasing(lines(spark, d), ["l_orderkey"], LORDER, "q")
 
 
+@query("remove_one_increasing", f"""
+WITH a AS (SELECT l_orderkey, q, lag(q) OVER w AS p1, lag(q, 2) OVER w AS p2, lead(q) OVER w AS n1 FROM {L}
+           WINDOW w AS (PARTITION BY l_orderkey ORDER BY {LO}))
+SELECT l_orderkey, sum(CASE WHEN p1 IS NOT NULL AND q <= p1 THEN 1 ELSE 0 END) = 0
+   OR (sum(CASE WHEN p1 IS NOT NULL AND q <= p1 THEN 1 ELSE 0 END) = 1
+       AND max(CASE WHEN p1 IS NOT NULL AND q <= p1 THEN
+             CAST(p2 IS NULL OR q > p2 OR n1 IS NULL OR n1 > p1 AS INTEGER) END) = 1) AS removable
+FROM a GROUP BY 1""")
+def q_remove_one_increasing(spark, d):
+    return sq.remove_one_increasing(lines(spark, d), ["l_orderkey"], LORDER, "q")
+
+
 @query("longest_no_loss_span", f"""
 WITH a AS (SELECT user_id, cents, row_number() OVER ({W}) AS pos FROM {E}),
 b AS (SELECT user_id, pos - min(pos) OVER (PARTITION BY user_id ORDER BY cents, pos ROWS UNBOUNDED PRECEDING) AS sp
