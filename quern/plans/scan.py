@@ -21,7 +21,8 @@ data.  ``ordered_scan`` cuts such hot keys into chunks instead:
    is broadcast back.
 
 The input is read by three branches (statistics, totals, window); a derived
-input is persisted once (see :func:`reusable`) so chained scans stay linear.
+input is checkpointed once (see :func:`reusable`) so chained scans stay linear
+in work and in plan size.
 
 Supported operations (associative): ``sum``, ``count``, ``min``, ``max``, ``xor``,
 ``last`` (last non-null value), ``first`` (first non-null value).  Pass
@@ -137,34 +138,28 @@ def as_number(df: DataFrame, c: Column) -> Column | None:
 
 
 _DERIVED = ("Join", "Aggregate", "Window", "Union", "Repartition", "Expand", "Generate", "Sort",
-            "Distinct", "Intersect", "Except", "LogicalRDD", "LocalRelation", "Sample")
+            "Distinct", "Intersect", "Except", "Sample")
 
 
 def reusable(df: DataFrame) -> DataFrame:
-    """Persist ``df`` when it is a derived result that several branches read.
-
-    The scan reads its input three times (key statistics, chunk totals, the
-    window).  Re-reading parquet is cheap, but re-running a derived plan (a
-    join, an earlier scan) in every branch multiplies the work, and chained
-    scans would multiply it again.  Cached blocks lost with an executor are
-    recomputed from lineage; everything here is deterministic, so the
-    recomputed blocks are identical.  ``release()`` frees them."""
+    """Materialize ``df`` when it is a derived result that several branches read.
+
+    The scan reads its input in several branches (key statistics, chunk
+    totals, the window).  Re-reading parquet is cheap, but a derived input (a
+    join, an earlier scan) would be re-run in every branch, and chained scans
+    would multiply both the work and the size of the plan.  The input is
+    written once with ``checkpoint()`` to the shared checkpoint folder: the
+    plan below becomes a leaf, the data survives lost executors, and every
+    branch reads the same rows."""
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     if not any(tok in plan for tok in _DERIVED):
         return df
-    from pyspark import StorageLevel
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(out)
-    return out
-
-
-_PERSISTED: list = []
+    from .loops import materialize
+    return materialize(df)
 
 
 def release() -> None:
-    """Unpersist every intermediate result cached by scans so far."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
+    """Kept for callers of earlier versions: nothing is cached any more."""
 
 
 def _keys_equal(keys: Sequence[str], prefix: str) -> Column:
