@@ -14,7 +14,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.loops import check_cap, materialize
+from ..plans.loops import check_cap, materialize, union_all
 
 
 def undirected(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -75,6 +75,7 @@ def bfs_distance(edges: DataFrame, sources: DataFrame, src: str = "src", dst: st
     e = materialize(edges.select(F.col(src).alias("s"), F.col(dst).alias("d")).distinct())
     front = materialize(sources.select(F.col(sources.columns[0]).alias("node")).distinct()
                         .select("node", F.lit(0).cast("long").alias("dist"), F.lit(1).cast("long").alias("paths")))
+    found = [front]
     seen = front
     r = 0
     while True:
@@ -86,7 +87,8 @@ def bfs_distance(edges: DataFrame, sources: DataFrame, src: str = "src", dst: st
                           .select("node", F.lit(r).cast("long").alias("dist"), "paths"))
         if nxt.count() == 0:
             break
-        seen = materialize(seen.unionByName(nxt))
+        found.append(nxt)
+        seen = union_all(found)
         front = nxt
     if nodes is None:
         nodes = e.select(F.col("s").alias("node")).unionByName(e.select(F.col("d").alias("node")))
@@ -145,7 +147,7 @@ def topo_layers(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds
     e = materialize(edges.select(F.col(src).alias("s"), F.col(dst).alias("d")).distinct())
     nodes = materialize(e.select(F.col("s").alias("node")).unionByName(e.select(F.col("d").alias("node"))).distinct())
     left_nodes, left_edges = nodes, e
-    done = None
+    done = []
     r = 0
     while True:
         check_cap(r, max_rounds, "topo_layers")
@@ -153,11 +155,11 @@ def topo_layers(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds
                            .withColumn("layer", F.lit(r).cast("long")))
         if zero.count() == 0:
             break
-        done = zero if done is None else materialize(done.unionByName(zero))
+        done.append(zero)
         left_nodes = materialize(left_nodes.join(zero.select("node"), "node", "left_anti"))
         left_edges = materialize(left_edges.join(zero.select(F.col("node").alias("s")), "s", "left_anti"))
         r += 1
-    out = nodes.join(done, "node", "left") if done is not None else nodes.withColumn("layer", F.lit(None).cast("long"))
+    out = nodes.join(union_all(done), "node", "left") if done else nodes.withColumn("layer", F.lit(None).cast("long"))
     return out.withColumn("in_cycle", F.col("layer").isNull())
 
 

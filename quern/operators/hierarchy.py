@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.loops import check_cap, materialize
+from ..plans.loops import check_cap, materialize, union_all
 from ..plans.scan import Agg, ordered_scan, previous, row_index, text_rank_key
 
 _MAX_LEVELS = 10_000
@@ -43,7 +43,7 @@ def tree_paths(nodes: DataFrame, max_levels: int = _MAX_LEVELS) -> DataFrame:
         F.array(F.col("id")).alias("anc"), F.col("val").alias("psum"), F.array(F.lit(0).cast("long")).alias("prefixes"),
         F.lit(1).cast("long").alias("run"), (F.col("val") % 10).alias("digits"),
         F.col("val").cast("string").alias("path_text")))
-    out = front
+    levels = [front]
     lvl = 0
     while True:
         check_cap(lvl, max_levels, "tree_paths")
@@ -62,8 +62,8 @@ def tree_paths(nodes: DataFrame, max_levels: int = _MAX_LEVELS) -> DataFrame:
             F.concat("_txt", F.lit("->"), F.col("val").cast("string")).alias("path_text")))
         if front.count() == 0:
             break
-        out = materialize(out.unionByName(front))
-    return out
+        levels.append(front)
+    return union_all(levels)
 
 
 def _code_num(code: Column) -> Column:
@@ -122,7 +122,7 @@ def subtree_stats(nodes: DataFrame, paths: DataFrame) -> DataFrame:
     and the best path sum through the node."""
     lv = paths.select("id", "parent", "side", "val", "level")
     levels = lv.select(F.max("level")).first()[0]  # one scalar: the number of rounds
-    done = None
+    done = []
     below = None
     for level in range(levels, -1, -1):
         cur = lv.where(F.col("level") == level)
@@ -142,8 +142,8 @@ def subtree_stats(nodes: DataFrame, paths: DataFrame) -> DataFrame:
             (F.abs(hl - hr) <= 1).alias("balanced"), (hl + hr + 2).alias("diameter_through"),
             (F.col("val") + F.greatest(gl, gr_)).alias("gain"), (F.col("val") + gl + gr_).alias("best_path_through")))
         below = res
-        done = res if done is None else materialize(done.unionByName(res))
-    return done.drop("parent", "side")
+        done.append(res)
+    return union_all(done).drop("parent", "side")
 
 
 def ancestor_pairs(paths: DataFrame) -> DataFrame:
@@ -245,7 +245,7 @@ def outline_paths(lines: DataFrame, line_no: str = "line_no", line: str = "line"
     with_parent = asof_lookup(probe, right, ["plvl"], F.col("ln"), F.col("pln"), ["pln"], strict=True, prefix="_p")
     nodes = materialize(with_parent.select("ln", "lvl", "name", F.col("_ppln").alias("parent")))
     front = materialize(nodes.where(F.col("lvl") == 0).select("ln", F.col("name").alias("path")))
-    out = front
+    found = [front]
     lvl = 0
     while True:
         check_cap(lvl, _MAX_LEVELS, "outline_paths")
@@ -255,7 +255,7 @@ def outline_paths(lines: DataFrame, line_no: str = "line_no", line: str = "line"
         front = materialize(kids.select("ln", F.concat("_pp", F.lit(sep), "name").alias("path")))
         if front.count() == 0:
             break
-        out = materialize(out.unionByName(front))
-    res = nodes.join(out, "ln", "left")
+        found.append(front)
+    res = nodes.join(union_all(found), "ln", "left")
     return res.select(F.col("ln").alias(line_no), "lvl", "name", "path",
                       F.col("name").contains(".").alias("is_file"), F.length("path").cast("long").alias("path_length"))

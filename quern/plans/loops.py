@@ -19,6 +19,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    """Union of per-round results (each already a checkpointed leaf), built
+    once at the end instead of rewriting the growing union every round."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 class RoundCapReached(RuntimeError):
     pass
 
