@@ -55,7 +55,7 @@ def top_k_frequent_by(df: DataFrame, group: str, item: str, k: int, count: str =
     """k most frequent items within every group (partial group limit before the shuffle)."""
     counts = df.groupBy(group, item).agg(F.count(F.lit(1)).alias(count))
     w = Window.partitionBy(group).orderBy(F.desc(count), F.asc(item))
-    return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return counts.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
 
 
 def most_common_word(df: DataFrame, text: str, banned: DataFrame | Sequence[str], group: str | None = None,

@@ -290,7 +290,7 @@ def edit_distance_join(words: DataFrame, word: str, max_d: int = 1) -> DataFrame
     j = a.join(b, (F.col("k1") == F.col("k2")) & (F.col("w1") < F.col("w2"))
                & (F.abs(F.col("l1") - F.col("l2")) <= max_d))
     c = j.select("w1", "w2").distinct()
-    dist = F.levenshtein("w1", "w2", max_d)
+    dist = F.levenshtein("w1", "w2", max_d).cast("long")
     return c.select("w1", "w2", dist.alias("distance")).where(F.col("distance") >= 0)
 
 

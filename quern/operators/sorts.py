@@ -36,7 +36,7 @@ def k_nearest(points: DataFrame, id_col: str, vec: str, query: DataFrame, qvec:
     d = p.select(id_col, squared_distance(F.col(vec), F.col("_q")).alias("dist2"))
     top = d.orderBy("dist2", id_col).limit(k)
     w = Window.orderBy("dist2", id_col)  # k rows only
-    return top.select(id_col, F.row_number().over(w).alias(name))
+    return top.select(id_col, F.row_number().over(w).cast("long").alias(name))
 
 
 def k_nearest_xy(points: DataFrame, id_col: str, x: str, y: str, k: int) -> DataFrame:

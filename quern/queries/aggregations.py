@@ -261,7 +261,7 @@ mx AS (SELECT x AS median_x FROM (SELECT x, row_number() OVER (ORDER BY x) AS rn
        WHERE rn = greatest(CAST(ceil(n / 2) AS BIGINT), 1)),
 my AS (SELECT y AS median_y FROM (SELECT y, row_number() OVER (ORDER BY y) AS rn, count(*) OVER () AS n FROM p)
        WHERE rn = greatest(CAST(ceil(n / 2) AS BIGINT), 1))
-SELECT median_x, median_y, sum(abs(x - median_x) + abs(y - median_y)) AS total_distance FROM p, mx, my
+SELECT median_x, median_y, CAST(sum(abs(x - median_x) + abs(y - median_y)) AS BIGINT) AS total_distance FROM p, mx, my
 GROUP BY 1, 2""")
 def q_l1_meeting_point(spark, d):
     p = table(spark, d, "part").select(F.col("p_size").cast("long").alias("x"),

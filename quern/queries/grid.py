@@ -63,7 +63,7 @@ def q_zero_cross(spark, d):
 
 @query("region_sum", f"""
 WITH {_M_SQL},
-q AS (SELECT u AS r1, 1 AS c1, least(u + 9, (SELECT max(row) FROM m)) AS r2, 3 AS c2
+q AS (SELECT u AS r1, CAST(1 AS BIGINT) AS c1, least(u + 9, (SELECT max(row) FROM m)) AS r2, CAST(3 AS BIGINT) AS c2
       FROM (SELECT DISTINCT user_id AS u FROM events))
 SELECT q.r1, q.c1, q.r2, q.c2, CAST(coalesce(sum(m.val), 0) AS BIGINT) AS region_sum
 FROM q LEFT JOIN m ON m.row BETWEEN q.r1 AND q.r2 AND m.col BETWEEN q.c1 AND q.c2 GROUP BY 1, 2, 3, 4""")

@@ -137,14 +137,14 @@ def q_covering_radius(spark, d):
     return jn.covering_radius(_nearest(spark, d), ["c_nationkey"])
 
 
-_SUPP_SPANS = """(SELECT s_suppkey, s_nationkey AS nation,
+_SUPP_SPANS = """(SELECT s_suppkey, CAST(s_nationkey AS BIGINT) AS nation,
         CAST(CAST(min(l_shipdate) AS DATE) - DATE '1970-01-01' AS BIGINT) AS st,
         CAST(CAST(max(l_shipdate) AS DATE) - DATE '1970-01-01' AS BIGINT) AS en
         FROM supplier JOIN lineitem ON l_suppkey = s_suppkey GROUP BY 1, 2)"""
 
 
 @query("interval_overlap_join", f"""
-WITH o AS (SELECT s.o_orderkey, s.st, s.en, c.c_nationkey AS nation FROM
+WITH o AS (SELECT s.o_orderkey, s.st, s.en, CAST(c.c_nationkey AS BIGINT) AS nation FROM
            (SELECT o_custkey, o_orderkey, CAST(CAST(o_orderdate AS DATE) - DATE '1970-01-01' AS BIGINT) AS st,
                    CAST(CAST(max(l_shipdate) AS DATE) - DATE '1970-01-01' AS BIGINT) AS en
             FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_custkey, o_orderkey, o_orderdate) s
@@ -208,7 +208,7 @@ s AS (SELECT *, list_sum(list_transform(range(1, 5), lambda i: (secret[i] = gues
              list_sum(list_transform(range(0, 10), lambda dd: least(
                  length(secret) - length(replace(secret, CAST(dd AS VARCHAR), '')),
                  length(guess) - length(replace(guess, CAST(dd AS VARCHAR), ''))))) AS common FROM p)
-SELECT o_orderkey, secret, guess, bulls, common - bulls AS cows,
+SELECT o_orderkey, secret, guess, CAST(bulls AS BIGINT) AS bulls, CAST(common - bulls AS BIGINT) AS cows,
        CAST(bulls AS VARCHAR) || 'A' || CAST(common - bulls AS VARCHAR) || 'B' AS hint FROM s""")
 def q_bulls_and_cows(spark, d):
     o = table(spark, d, "orders").select(

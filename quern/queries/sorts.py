@@ -90,7 +90,7 @@ def q_rank_smaller(spark, d):
 
 
 @query("weakest_groups", """
-SELECT o_custkey, sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS ones FROM orders
+SELECT o_custkey, CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS ones FROM orders
 GROUP BY 1 ORDER BY ones, o_custkey LIMIT 10""")
 def q_weakest_groups(spark, d):
     r = so.weakest_groups(table(spark, d, "orders"), "o_custkey", F.col("o_orderstatus") == "F", 10)

@@ -56,10 +56,10 @@ def q_rule_label(spark, d):
 
 @query("first_last_span", f"""
 SELECT l_orderkey,
-       CASE WHEN sum(CASE WHEN q = 25 THEN 1 ELSE 0 END) > 0 THEN sum(CASE WHEN q < 25 THEN 1 ELSE 0 END) ELSE -1 END
-         AS first_pos,
-       CASE WHEN sum(CASE WHEN q = 25 THEN 1 ELSE 0 END) > 0 THEN sum(CASE WHEN q <= 25 THEN 1 ELSE 0 END) - 1 ELSE -1 END
-         AS last_pos
+       CAST(CASE WHEN sum(CASE WHEN q = 25 THEN 1 ELSE 0 END) > 0 THEN sum(CASE WHEN q < 25 THEN 1 ELSE 0 END)
+            ELSE -1 END AS BIGINT) AS first_pos,
+       CAST(CASE WHEN sum(CASE WHEN q = 25 THEN 1 ELSE 0 END) > 0 THEN sum(CASE WHEN q <= 25 THEN 1 ELSE 0 END) - 1
+            ELSE -1 END AS BIGINT) AS last_pos
 FROM {L} GROUP BY 1""")
 def q_first_last_span(spark, d):
     return pr.first_last_span(lines(spark, d), ["l_orderkey"], "q", 25)
