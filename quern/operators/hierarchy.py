@@ -5,8 +5,8 @@
 frontier with the children, checkpointed) and gives every node its level, a
 path code (``0`` left, ``1`` right), its ancestors and running values; every
 other operator reads that table with joins, aggregates and the skew-safe
-scan.  Bottom-up work (heights, gains) runs one level per round from the
-deepest level up.  Nothing gathers a subtree into one row: subtree identity
+scan.  Bottom-up values (heights, path gains) are aggregates over
+(ancestor, descendant) pairs.  Nothing gathers a subtree into one row: subtree identity
 is an order-free sum of hashes of (relative path, value) pairs.
 """
 
@@ -116,34 +116,30 @@ def segment_paths(paths: DataFrame, k: int) -> DataFrame:
 
 
 def subtree_stats(nodes: DataFrame, paths: DataFrame) -> DataFrame:
-    """Bottom-up, one level per round: height (edges to the deepest leaf),
-    balanced (child heights differ by at most 1, a missing child counts -1),
-    diameter through the node, best gain (val + best non-negative child gain)
-    and the best path sum through the node."""
-    lv = paths.select("id", "parent", "side", "val", "level")
-    levels = lv.select(F.max("level")).first()[0]  # one scalar: the number of rounds
-    done = []
-    below = None
-    for level in range(levels, -1, -1):
-        cur = lv.where(F.col("level") == level)
-        if below is not None:
-            kids = below.groupBy(F.col("parent").alias("_p")).agg(
-                F.max(F.when(F.col("side") == "L", F.col("height"))).alias("_hl"),
-                F.max(F.when(F.col("side") == "R", F.col("height"))).alias("_hr"),
-                F.max(F.when(F.col("side") == "L", F.col("gain"))).alias("_gl"),
-                F.max(F.when(F.col("side") == "R", F.col("gain"))).alias("_gr"))
-            cur = cur.join(kids, cur["id"] == kids["_p"], "left")
-        else:
-            cur = cur.select("*", *[F.lit(None).cast("long").alias(c) for c in ("_hl", "_hr", "_gl", "_gr")])
-        hl, hr = F.coalesce("_hl", F.lit(-1)), F.coalesce("_hr", F.lit(-1))
-        gl, gr_ = F.greatest(F.coalesce("_gl", F.lit(0)), F.lit(0)), F.greatest(F.coalesce("_gr", F.lit(0)), F.lit(0))
-        res = materialize(cur.select(
-            "id", "parent", "side", (F.greatest(hl, hr) + 1).alias("height"),
-            (F.abs(hl - hr) <= 1).alias("balanced"), (hl + hr + 2).alias("diameter_through"),
-            (F.col("val") + F.greatest(gl, gr_)).alias("gain"), (F.col("val") + gl + gr_).alias("best_path_through")))
-        below = res
-        done.append(res)
-    return union_all(done).drop("parent", "side")
+    """Per node: height (edges to the deepest leaf), balanced (child heights
+    differ by at most 1, a missing child counts -1), diameter through the
+    node, best gain (best downward path sum starting at the node) and the best
+    path sum through the node.
+
+    No level loop: over (ancestor, descendant) pairs, height = max descendant
+    level - level and gain = max descendant root sum - root sum + value (the
+    best path from the node down to any descendant); one join then brings
+    each node its two children's values."""
+    ap = paths.select("level", "psum", F.explode("anc").alias("ancestor"))
+    down = ap.groupBy(F.col("ancestor").alias("id")).agg(F.max("level").alias("_maxlvl"), F.max("psum").alias("_maxsum"))
+    base = paths.select("id", "parent", "side", "val", "level", "psum").join(down, "id")
+    stats = base.select("id", "parent", "side", "val", (F.col("_maxlvl") - F.col("level")).alias("height"),
+                        (F.col("_maxsum") - F.col("psum") + F.col("val")).alias("gain"))
+    kids = stats.groupBy(F.col("parent").alias("_p")).agg(
+        F.max(F.when(F.col("side") == "L", F.col("height"))).alias("_hl"),
+        F.max(F.when(F.col("side") == "R", F.col("height"))).alias("_hr"),
+        F.max(F.when(F.col("side") == "L", F.col("gain"))).alias("_gl"),
+        F.max(F.when(F.col("side") == "R", F.col("gain"))).alias("_gr"))
+    j = stats.join(kids, stats["id"] == kids["_p"], "left")
+    hl, hr = F.coalesce("_hl", F.lit(-1)), F.coalesce("_hr", F.lit(-1))
+    gl, gr_ = F.greatest(F.coalesce("_gl", F.lit(0)), F.lit(0)), F.greatest(F.coalesce("_gr", F.lit(0)), F.lit(0))
+    return j.select("id", "height", (F.abs(hl - hr) <= 1).alias("balanced"), (hl + hr + 2).alias("diameter_through"),
+                    "gain", (F.col("val") + gl + gr_).alias("best_path_through"))
 
 
 def ancestor_pairs(paths: DataFrame) -> DataFrame:
