@@ -23,17 +23,24 @@ def undirected(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", nodes: DataFrame | None = None,
-                         max_rounds: int = 200) -> DataFrame:
+                         max_rounds: int = 200, initial: DataFrame | None = None) -> DataFrame:
     """(node, component) with component = smallest node id of the component.
 
     Min-label propagation with pointer jumping: each round a node takes the
     least label among itself and its neighbours, then the label of its
-    label.  ``nodes`` adds isolated nodes (their own component)."""
+    label.  ``nodes`` adds isolated nodes (their own component).
+    ``initial`` (node, comp) continues from saved labels: a batch of new
+    edges only has to merge components, not rediscover them; pass the edges
+    that made the saved labels' components (or a spanning subset) too."""
     und = materialize(undirected(edges, src, dst))
     ns = und.select(F.col("u").alias("node"))
     if nodes is not None:
         ns = ns.unionByName(nodes.select(F.col(nodes.columns[0]).alias("node")))
-    labels = materialize(ns.distinct().select("node", F.col("node").alias("comp")))
+    labels = ns.distinct().select("node", F.col("node").alias("comp"))
+    if initial is not None:
+        saved = initial.select("node", "comp")
+        labels = (labels.join(saved.select("node"), "node", "left_anti").unionByName(saved))
+    labels = materialize(labels)
     rounds = 0
     while True:
         check_cap(rounds, max_rounds, "connected_components")
@@ -196,7 +203,8 @@ def pointer_cycles(nxt: DataFrame, node: str = "node", succ: str = "next") -> Da
     return res.join(labs, res["entry"] == labs["_e"], "left").drop("_e")
 
 
-def chain_rank(nxt: DataFrame, node: str = "node", succ: str = "next", max_rounds: int = 64) -> DataFrame:
+def chain_rank(nxt: DataFrame, node: str = "node", succ: str = "next", max_rounds: int = 64,
+               rotate: int = 2) -> DataFrame:
     """Rank of every row in its linked chain (list ranking by pointer
     doubling), the chain's tail, its length and reorder keys: reversed,
     odd/even, pairwise swapped and folded (first, last, second, ...)."""
@@ -227,4 +235,6 @@ def chain_rank(nxt: DataFrame, node: str = "node", succ: str = "next", max_round
                     F.when(rank % 2 == 1, (rank + 1) / 2).otherwise(F.ceil(n / 2) + rank / 2).cast("long").alias("odd_even_pos"),
                     F.when((rank % 2 == 1) & (rank < n), rank + 1).when(rank % 2 == 0, rank - 1)
                     .otherwise(rank).cast("long").alias("swapped_pos"),
-                    F.when(rank <= half, 2 * rank - 1).otherwise(2 * (n - rank + 1)).cast("long").alias("folded_pos"))
+                    F.when(rank <= half, 2 * rank - 1).otherwise(2 * (n - rank + 1)).cast("long").alias("folded_pos"),
+                    (rank == F.floor(n / 2) + 1).alias("is_middle"),
+                    (F.pmod(rank - 1 + F.lit(rotate), n) + 1).cast("long").alias("rotated_pos"))

@@ -34,6 +34,31 @@ def q_connected_components(spark, d):
     return gr.connected_components(_ps_edges(spark, d))
 
 
+@query("incremental_components", f"""
+WITH RECURSIVE e AS {_PS_SQL},
+und AS (SELECT u, v FROM e UNION SELECT v, u FROM e),
+cc(node, comp) USING KEY (node) AS (
+  SELECT DISTINCT u, u FROM und
+  UNION
+  SELECT n.node, n.m FROM (SELECT x.v AS node, min(c.comp) AS m FROM cc c JOIN und x ON x.u = c.node GROUP BY x.v) n
+  JOIN recurring.cc r ON r.node = n.node WHERE n.m < r.comp)
+SELECT node, comp FROM cc""")
+def q_incremental_components(spark, d):
+    """Labels of the lines shipped before 1998, then the later lines merged in
+    starting from those labels: equal to the components of all lines."""
+    li = table(spark, d, "lineitem")
+    early = li.where(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    late = li.where(~(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz")) | F.col("l_shipdate").isNull())
+
+    def edges(x):
+        return x.select((F.col("l_partkey") * 2).alias("src"), (F.col("l_suppkey") * 2 + 1).alias("dst"))
+
+    saved = gr.connected_components(edges(early))
+    # spanning edges of the saved components: each node to its label
+    star = saved.where(F.col("node") != F.col("comp")).select(F.col("node").alias("src"), F.col("comp").alias("dst"))
+    return gr.connected_components(edges(late).unionByName(star), initial=saved)
+
+
 @query("component_sizes", f"""
 WITH RECURSIVE e AS {_PS_SQL},
 und AS (SELECT u, v FROM e UNION SELECT v, u FROM e),
@@ -196,7 +221,8 @@ SELECT event_id AS node, tail, length, rank, length - rank + 1 AS reversed_pos,
        CASE WHEN rank % 2 = 1 THEN (rank + 1) // 2 ELSE CAST(ceil(length / 2) AS BIGINT) + rank // 2 END AS odd_even_pos,
        CASE WHEN rank % 2 = 1 AND rank < length THEN rank + 1 WHEN rank % 2 = 0 THEN rank - 1 ELSE rank END
          AS swapped_pos,
-       CASE WHEN rank <= CAST(ceil(length / 2) AS BIGINT) THEN 2 * rank - 1 ELSE 2 * (length - rank + 1) END AS folded_pos
+       CASE WHEN rank <= CAST(ceil(length / 2) AS BIGINT) THEN 2 * rank - 1 ELSE 2 * (length - rank + 1) END AS folded_pos,
+       rank = length // 2 + 1 AS is_middle, CAST((rank - 1 + 2) % length + 1 AS BIGINT) AS rotated_pos
 FROM r""")
 def q_chain_rank(spark, d):
     e = table(spark, d, "events").select("user_id", "event_id", "ts")
