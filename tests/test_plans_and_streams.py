@@ -104,3 +104,21 @@ def test_stream_restart_equals_batch(spark):
     batch = sq.rate_limit(ev, ["user_id", "event_type"], "us", "event_id", span)
     exp = {(r.event_id, r.allowed) for r in batch.collect()}
     assert got == exp
+
+
+HOT_PATH = ["running_sum", "running_sum_global", "moving_average", "recent_count", "best_two_trades", "max_segment_sum",
+            "segments_with_sum", "runs", "longest_click_run", "local_peaks", "turning_points", "shortest_unsorted_window",
+            "longest_no_loss_span", "dip_area", "last_repeat_window", "k_distinct_window", "bag_match_windows",
+            "min_cover_window", "min_item_distance", "assign_unique_slots", "merge_intervals", "interval_conflicts",
+            "asof_join", "nearest_join", "degree_span", "stable_partition", "rate_limit", "range_sum_query"]
+
+
+@pytest.mark.parametrize("name", HOT_PATH)
+def test_hot_key_path_matches_oracle(spark, duck, name):
+    """With a 40-row chunk threshold every user is a hot key: the chunked
+    scans (carry-in across chunks) must give the oracle's answer."""
+    spark.conf.set("quern.scan.chunkRows", "40")
+    try:
+        test_query_matches_oracle(spark, duck, name)
+    finally:
+        spark.conf.unset("quern.scan.chunkRows")
