@@ -9,7 +9,6 @@ aggregation and AQE skew joins; no adjacency list is ever gathered.
 from __future__ import annotations
 
 import math
-from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F

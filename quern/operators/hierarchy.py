@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.loops import check_cap, materialize, union_all
-from ..plans.scan import Agg, ordered_scan, previous, row_index, text_rank_key
+from ..plans.scan import previous, row_index, text_rank_key
 
 _MAX_LEVELS = 10_000
 
