@@ -9,9 +9,13 @@ data.  ``ordered_scan`` cuts such hot keys into chunks instead:
    ``max(chunk_rows, total / max_hot_keys)``, so there are fewer than
    ``max_hot_keys`` hot keys: the hot-key table has a proven size bound and
    is broadcast;
-2. rows of a hot key get a chunk number = equal-width slice of the first
-   order column (value ranges, so chunks are contiguous in order and equal
-   values share a chunk); all other rows get chunk 0.  Nothing is sampled,
+2. rows of a hot key fall into fine equal-width value bins (16 per chunk
+   the key needs); exact row counts per bin, cumulated in scan order, map
+   each bin to a chunk so chunks hold equal row counts (to within one bin)
+   however the values are spread.  The bin-to-chunk maps have at most
+   16 x 2 x ``max_hot_keys`` entries and ride on the broadcast hot table.
+   Bins are value ranges, so chunks are contiguous in order and equal
+   values share a chunk; all other rows get chunk 0.  Nothing is sampled,
    so every re-computation gives the same chunks;
 3. one window keyed by ``(keys, chunk)`` computes the running aggregate
    inside each chunk (one hash shuffle, sort-based and spillable);
@@ -50,6 +54,7 @@ _HOT = "_scan_hot"
 
 DEFAULT_CHUNK_ROWS = 2_000_000
 DEFAULT_MAX_HOT_KEYS = 50_000
+BINS_PER_CHUNK = 16
 
 
 @dataclass(frozen=True)
@@ -215,22 +220,37 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence, aggs: Iter
                  .agg(F.count(F.lit(1)).alias("_cnt"), F.min(o0).alias("_omin"), F.max(o0).alias("_omax")))
         total = stats.select(F.sum("_cnt")).scalar()
         threshold = F.greatest(F.lit(chunk_rows), F.ceil(total / F.lit(max_hot)))
-        # Hot keys: fewer than max_hot of them (count > total / max_hot).
-        hot = (stats.where(F.col("_cnt") > threshold)
-               .withColumn("_nch", F.ceil(F.col("_cnt") / threshold))
-               .select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_omin", "_nch",
-                       ((F.col("_omax") - F.col("_omin")) / F.col("_nch")).alias("_w")))
-        pos = F.floor((o0 - F.col("_omin")) / F.col("_w"))
+        hkeys = [f"_h_{k}" for k in keys]
+        # Hot keys: fewer than max_hot of them (count > total / max_hot); each
+        # is cut into BINS_PER_CHUNK fine value bins per chunk it needs.
+        hot0 = (stats.where(F.col("_cnt") > threshold)
+                .withColumn("_nch", F.ceil(F.col("_cnt") / threshold))
+                .select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_omin", "_nch",
+                        ((F.col("_omax") - F.col("_omin")) / (F.col("_nch") * BINS_PER_CHUNK)).alias("_w")))
+        nbins = F.col("_nch") * BINS_PER_CHUNK
+        fine = F.when(F.col("_w").isNull() | (F.col("_w") <= 0), F.lit(0)).otherwise(
+            F.least(F.greatest(F.floor((o0 - F.col("_omin")) / F.col("_w")), F.lit(0)), nbins - 1))
         if descending:
-            pos = F.col("_nch") - 1 - pos
+            fine = nbins - 1 - fine
         # nulls sort first ascending and last descending
-        pos = F.when(o0.isNull(), F.col("_nch") - 1 if descending else F.lit(0)).otherwise(pos)
-        chunk = (F.when(F.col("_w").isNull() | (F.col("_w") <= 0), F.lit(0))
-                 .otherwise(F.least(F.greatest(pos, F.lit(0)), F.col("_nch") - 1)).cast("long"))
+        fine = F.when(o0.isNull(), nbins - 1 if descending else F.lit(0)).otherwise(fine).cast("long")
+        # Exact rows per fine bin, cumulated in scan order: a bin starts chunk
+        # floor(rows before it / threshold), so chunks hold equal row counts
+        # (to within one bin) however the values are spread.
+        counts = (df.join(F.broadcast(hot0), _keys_equal(keys, "_h_"))
+                  .groupBy(*hkeys, fine.alias("_bin")).agg(F.count(F.lit(1)).alias("_bc")))
+        before = Window.partitionBy(*hkeys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.select(*hkeys, "_bin",
+                               F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_cum"))
+        counts = counts.select(*hkeys, "_bin", F.floor(F.col("_cum") / threshold).cast("long").alias("_bch"))
+        maps = counts.groupBy(*hkeys).agg(F.map_from_entries(F.collect_list(F.struct("_bin", "_bch"))).alias("_map"))
+        # at most BINS_PER_CHUNK * 2 * max_hot map entries: a proven bound, broadcast
+        hot = hot0.join(maps, hkeys)
+        chunk = F.coalesce(F.try_element_at(F.col("_map"), fine), F.lit(0)).cast("long")
         chunked = (df.join(F.broadcast(hot), _keys_equal(keys, "_h_"), "left")
-                   .withColumn(_CH, chunk)
+                   .withColumn(_CH, F.when(F.col("_nch").isNull(), F.lit(0).cast("long")).otherwise(chunk))
                    .withColumn(_HOT, F.col("_nch").isNotNull())
-                   .drop(*[f"_h_{k}" for k in keys], "_omin", "_nch", "_w"))
+                   .drop(*hkeys, "_omin", "_nch", "_w", "_map"))
     else:
         chunked = df.withColumn(_CH, F.lit(0).cast("long")).withColumn(_HOT, F.lit(False))
 
