@@ -64,3 +64,24 @@ def common_prefix(a: Column, b: Column) -> Column:
     miss = F.array_position(same, F.lit(False))
     cut = F.when(n == 0, 0).when(miss == 0, n).otherwise(miss - 1)
     return F.when(a.isNull() | b.isNull(), None).otherwise(F.substring(a, F.lit(1), cut))
+
+
+# Morse codes of the letters a to z, in alphabet order.
+MORSE = [".-", "-...", "-.-.", "-..", ".", "..-.", "--.", "....", "..", ".---", "-.-", ".-..", "--",
+         "-.", "---", ".--.", "--.-", ".-.", "...", "-", "..-", "...-", ".--", "-..-", "-.--", "--.."]
+ALPHABET = "abcdefghijklmnopqrstuvwxyz"
+
+
+def email_normal_form(email: Column | str) -> Column:
+    """Local part cut at the first '+', dots removed, then '@' and the domain."""
+    e = F.col(email) if isinstance(email, str) else email
+    local = F.substring_index(e, "@", 1)
+    return F.concat(F.regexp_replace(F.substring_index(local, "+", 1), r"\.", ""), F.lit("@"),
+                    F.split_part(e, F.lit("@"), F.lit(2)))
+
+
+def morse_code(word: Column | str) -> Column:
+    """Morse code of a lower-case a-z word (letters joined without spaces)."""
+    w = F.col(word) if isinstance(word, str) else word
+    codes = F.array(*[F.lit(m) for m in MORSE])
+    return F.array_join(F.transform(F.split(w, ""), lambda ch: F.element_at(codes, F.instr(F.lit(ALPHABET), ch))), "")

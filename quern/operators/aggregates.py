@@ -87,6 +87,14 @@ def suffix_rollup(df: DataFrame, path: str, count: str | None = None, sep: str =
     return exploded.groupBy(out).agg(F.sum("_cnt").alias("visits"))
 
 
+def distinct_normalised(df: DataFrame, expr: Column, keys: Sequence[str] = (), name: str = "n_distinct",
+                        approx: bool = False) -> DataFrame:
+    """Distinct count of a normal form (e.g. ``email_normal_form``,
+    ``morse_code``) per key; ``approx`` uses the HyperLogLog sketch."""
+    agg = F.approx_count_distinct(expr) if approx else F.count_distinct(expr)
+    return df.groupBy(*keys).agg(agg.alias(name))
+
+
 def heavy_hitters(df: DataFrame, item: str, share: int = 3, count: str = "n") -> DataFrame:
     """Items whose count is strictly above ``n div share`` (n = all rows).
 
@@ -197,10 +205,12 @@ def exact_quantile_rows(df: DataFrame, val: str) -> DataFrame:
     return ranked.withColumn("_n", n)
 
 
-def exact_median(df: DataFrame, val: str, name: str = "median") -> DataFrame:
+def exact_median(df: DataFrame, val: str, name: str = "median", approx: bool = False) -> DataFrame:
     """Exact median (mean of the middle pair when even) without gathering the
     values into one buffer: a global rank by distributed scan, then the one or
-    two middle rows."""
+    two middle rows.  ``approx`` gives the sketch-based approx_percentile."""
+    if approx:
+        return df.agg(F.percentile_approx(val, 0.5).alias(name))
     r = exact_quantile_rows(df, val)
     mid = r.where((F.col("_rank") == F.floor((F.col("_n") + 1) / 2)) |
                   (F.col("_rank") == F.ceil((F.col("_n") + 1) / 2)))

@@ -12,11 +12,6 @@ from .registry import query
 # The banned words used by the most-common-word query.
 BANNED = ["the", "and", "of", "de", "la", "le", "et", "der", "die", "und", "el", "y"]
 
-# Morse codes of the letters a to z, in alphabet order.
-MORSE = [".-", "-...", "-.-.", "-..", ".", "..-.", "--.", "....", "..", ".---", "-.-", ".-..", "--",
-         "-.", "---", ".--.", "--.-", ".-.", "...", "-", "..-", "...-", ".--", "-..-", "-.--", "--.."]
-ALPHABET = "abcdefghijklmnopqrstuvwxyz"
-
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]+"
 HOST = r"^[a-z]+://([^/?#:]+)"
 
@@ -96,26 +91,21 @@ GROUP BY source""")
 def q_distinct_emails(spark, d):
     docs = table(spark, d, "documents")
     e = docs.select("source", F.explode(F.regexp_extract_all("text", F.lit(EMAIL), 0)).alias("e"))
-    local = F.substring_index("e", "@", 1)
-    norm = F.concat(F.regexp_replace(F.substring_index(local, "+", 1), r"\.", ""), F.lit("@"),
-                    F.split_part("e", F.lit("@"), F.lit(2)))
-    return e.groupBy("source").agg(F.count_distinct(norm).alias("n_emails"))
+    return ag.distinct_normalised(e, tx.email_normal_form("e"), ["source"], name="n_emails")
 
 
-_MORSE_SQL = "[" + ", ".join(f"'{m}'" for m in MORSE) + "]"
+_MORSE_SQL = "[" + ", ".join(f"'{m}'" for m in tx.MORSE) + "]"
 
 
 @query("distinct_morse", f"""
 SELECT count(DISTINCT array_to_string(list_transform(string_split(w, ''),
-         lambda ch: {_MORSE_SQL}[strpos('{ALPHABET}', ch)]), '')) AS n_codes
+         lambda ch: {_MORSE_SQL}[strpos('{tx.ALPHABET}', ch)]), '')) AS n_codes
 FROM (SELECT unnest(string_split(lower(p_name), ' ')) AS w FROM part)
 WHERE regexp_matches(w, '^[a-z]+$')""")
 def q_distinct_morse(spark, d):
     w = table(spark, d, "part").select(F.explode(F.split(F.lower("p_name"), " ")).alias("w"))
     w = w.where(F.col("w").rlike("^[a-z]+$"))
-    codes = F.array(*[F.lit(m) for m in MORSE])
-    code = F.array_join(F.transform(F.split("w", ""), lambda ch: F.element_at(codes, F.instr(F.lit(ALPHABET), ch))), "")
-    return w.agg(F.count_distinct(code).alias("n_codes"))
+    return ag.distinct_normalised(w, tx.morse_code("w"), name="n_codes")
 
 
 @query("heavy_hitters", """
