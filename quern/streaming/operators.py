@@ -5,8 +5,10 @@ bounded per-key state in the RocksDB state store (checkpointed every
 micro-batch): a last time, the last n values, the k largest values, the
 times inside the span, or the held intervals of one key.  Inside a
 micro-batch a key's rows are sorted by the order column; across batches the
-feed is taken in arrival order (as the reference assumes); rows later than
-the watermark are dropped by Spark and counted in the query progress.
+feed is taken in arrival order (as the reference assumes).  The rate limit
+runs in event time: a row behind the watermark is not applied to the state
+and comes out marked ``late`` (so late rows are counted, never silently
+change a key).
 Per-key state is removed by event-time timers (rate limit) or stays bounded
 by n, k or the span.
 """
@@ -53,11 +55,16 @@ class RateLimitProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = _frame(rows, [self.t, self.id])
+        wm = timerValues.getCurrentWatermarkInMs()
+        # rows behind the watermark are not applied to the state: marked late
+        late = (pdf[self.t].to_numpy() < wm * 1000) if wm and wm > 0 else np.zeros(len(pdf), dtype=bool)
         got = self.last.get()
         last = None if got is None else int(got[0])
         first = last
         allowed = np.zeros(len(pdf), dtype=bool)
         for i, t in enumerate(pdf[self.t].to_numpy()):
+            if late[i]:
+                continue
             if last is None or t >= last + self.span:
                 allowed[i] = True
                 last = int(t)
@@ -67,7 +74,8 @@ class RateLimitProcessor(StatefulProcessor):
                 self.handle.deleteTimer(old)
             self.handle.registerTimer(math.ceil((last + self.span) / 1000))
         out = _keys_frame(self.keys, key, len(pdf))
-        out.update({self.id: pdf[self.id].to_numpy(), self.t: pdf[self.t].to_numpy(), "allowed": allowed})
+        out.update({self.id: pdf[self.id].to_numpy(), self.t: pdf[self.t].to_numpy(), "allowed": allowed,
+                    "late": late})
         yield pd.DataFrame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -244,7 +252,7 @@ def stream_rate_limit(stream: DataFrame, keys: Sequence[str], t_us: str, id_col:
     s = stream.withWatermark(ts, lateness)
     return s.groupBy(*keys).transformWithStateInPandas(
         RateLimitProcessor(keys, t_us, id_col, span_us),
-        _schema(stream, keys, f"{id_col} long, {t_us} long, allowed boolean"), "Append", "EventTime")
+        _schema(stream, keys, f"{id_col} long, {t_us} long, allowed boolean, late boolean"), "Append", "EventTime")
 
 
 def stream_moving_average(stream: DataFrame, keys: Sequence[str], order: Sequence[str], id_col: str, val: str,

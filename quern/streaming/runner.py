@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.csv import scratch_path
 from .operators import use_rocksdb
@@ -41,3 +42,13 @@ def run_to_table(stream: DataFrame, name: str, path: str | None = None, checkpoi
         return spark.read.schema(stream.schema).parquet(out)
     except Exception:  # noqa: BLE001 - no output files yet
         return spark.createDataFrame([], stream.schema)
+
+
+def run_stream(stream: DataFrame, name: str, path: str | None = None, checkpoint: str | None = None,
+               timeout_s: int | None = None) -> tuple[DataFrame, int]:
+    """Like :func:`run_to_table`, and also the number of rows marked late
+    (behind the watermark, not applied to the state)."""
+    table = run_to_table(stream, name, path, checkpoint, timeout_s)
+    if "late" not in table.columns:
+        return table, 0
+    return table.where(~F.col("late")), table.where(F.col("late")).count()

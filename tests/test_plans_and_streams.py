@@ -122,3 +122,24 @@ def test_hot_key_path_matches_oracle(spark, duck, name):
         test_query_matches_oracle(spark, duck, name)
     finally:
         spark.conf.unset("quern.scan.chunkRows")
+
+
+def test_late_row_dropped_and_counted(spark):
+    """A row far behind the watermark (second micro-batch) is not applied to
+    the state, is counted as late and is not in the result."""
+    from quern.streaming import operators as so
+    from quern.streaming.runner import file_stream, run_stream
+
+    ev = spark.read.parquet(f"{SF}/events.parquet").select(
+        "user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type",
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    feed = tempfile.mkdtemp(prefix="late-")
+    ev.coalesce(1).write.parquet(os.path.join(feed, "a"))
+    late = ev.orderBy("us").limit(1).withColumn("event_id", F.lit(-1).cast("long"))
+    late.coalesce(1).write.parquet(os.path.join(feed, "b"))
+    s = file_stream(spark, feed + "/*")
+    q = so.stream_rate_limit(s, ["user_id", "event_type"], "us", "event_id", 86_400_000_000, lateness="1 hour")
+    out, dropped = run_stream(q, "late")
+    assert dropped == 1
+    assert out.where("event_id = -1").count() == 0
+    assert out.count() == ev.count()
