@@ -156,3 +156,21 @@ def test_fizz_buzz(spark):
     df = spark.range(1, 16).withColumnRenamed("id", "n")
     got = [r.label for r in pr.rule_label(df, "n").orderBy("n").collect()]
     assert got[:5] == ["1", "2", "Fizz", "4", "Buzz"] and got[14] == "FizzBuzz"
+
+
+def test_distinct_normal_forms(spark):
+    emails = spark.createDataFrame([("test.email+alex@leetcode.com",), ("test.e.mail+bob.cathy@leetcode.com",),
+                                    ("testemail+david@lee.tcode.com",)], "e string")
+    assert ag.distinct_normalised(emails, tx.email_normal_form("e")).collect()[0][0] == 2
+    assert ag.distinct_normalised(emails, tx.email_normal_form("e"), approx=True).collect()[0][0] == 2
+    words = spark.createDataFrame([("gin",), ("zen",), ("gig",), ("msg",)], "w string")
+    codes = {r[0] for r in words.select(tx.morse_code("w")).collect()}
+    assert codes == {"--...-.", "--...--."}
+
+
+def test_median_forms(spark):
+    df = spark.createDataFrame([(1.0,), (1.0,), (1.0,), (2.0,)], "v double")
+    assert ag.exact_median(df, "v").collect()[0][0] == 1.0
+    df2 = spark.createDataFrame([(1.0,), (3.0,), (2.0,), (4.0,)], "v double")
+    assert ag.exact_median(df2, "v").collect()[0][0] == 2.5
+    assert ag.exact_median(df2, "v", approx=True).collect()[0][0] in (2.0, 3.0)
