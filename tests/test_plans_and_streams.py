@@ -54,7 +54,8 @@ FAST = ["group_average", "top_members", "top_k_frequent_words", "most_common_wor
         "interval_conflicts", "complement_pairs", "k_sum_groups", "asof_join", "nearest_join", "bag_overlap_join",
         "edit_distance_hosts", "hamming_join", "k_smallest_pairs", "near_duplicates", "compound_sort", "rank_smaller",
         "intersect_bag", "csv_round_trip", "url_normalise", "version_max", "numeric_audit", "connected_components",
-        "shortest_paths", "chain_rank", "tree_levels", "subtree_stats", "region_sum", "rate_limit"]
+        "shortest_paths", "chain_rank", "tree_levels", "subtree_stats", "region_sum", "rate_limit",
+        "stream_moving_average", "stream_kth_largest", "stream_latest_value", "stream_max_overlap"]
 NAMES = sorted(entry.oracle_sql()) if os.environ.get("QUERN_FULL") else FAST
 
 
