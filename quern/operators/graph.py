@@ -237,3 +237,18 @@ def chain_rank(nxt: DataFrame, node: str = "node", succ: str = "next", max_round
                     F.when(rank <= half, 2 * rank - 1).otherwise(2 * (n - rank + 1)).cast("long").alias("folded_pos"),
                     (rank == F.floor(n / 2) + 1).alias("is_middle"),
                     (F.pmod(rank - 1 + F.lit(rotate), n) + 1).cast("long").alias("rotated_pos"))
+
+
+def circular_loops(steps: DataFrame, node: str = "node", step: str = "step") -> DataFrame:
+    """Array-loop form over positions 0..n-1 with moves ``step`` (next =
+    (node + step) mod n): every cycle with its length and whether it is a
+    valid loop (length > 1, all moves in one direction)."""
+    n = steps.select(F.count(F.lit(1))).scalar()
+    f = steps.select(F.col(node).alias("node"), F.pmod(F.col(node) + F.col(step), n).alias("next"),
+                     F.signum(step).alias("_sign"))
+    cyc = pointer_cycles(f.select("node", "next")).where("on_cycle")
+    j = cyc.join(f.select("node", "_sign"), "node")
+    g = j.groupBy(F.col("cycle_label").alias("cycle")).agg(
+        F.count(F.lit(1)).alias("length"), F.min("_sign").alias("_lo"), F.max("_sign").alias("_hi"))
+    return g.select("cycle", "length", ((F.col("length") > 1) & (F.col("_lo") == F.col("_hi"))
+                                        & (F.col("_lo") != 0)).alias("valid"))

@@ -211,6 +211,21 @@ def q_pointer_cycles(spark, d):
     return gr.pointer_cycles(f)
 
 
+@query("circular_array_loop", f"""
+WITH RECURSIVE n AS (SELECT count(*) AS n FROM orders),
+st AS (SELECT o_orderkey AS x, CAST(round(o_totalprice * 100) AS BIGINT) % 7 - 3 AS step FROM orders),
+f AS (SELECT x, ((x + step) % (SELECT n FROM n) + (SELECT n FROM n)) % (SELECT n FROM n) AS y FROM st),
+{_levels_sql()},
+cyc AS (SELECT DISTINCT y AS x FROM j39)
+SELECT j39.lab AS cycle, count(*) AS length,
+       count(*) > 1 AND min(sign(st.step)) = max(sign(st.step)) AND min(sign(st.step)) <> 0 AS valid
+FROM cyc JOIN j39 ON j39.x = cyc.x JOIN st ON st.x = cyc.x GROUP BY j39.lab""")
+def q_circular_array_loop(spark, d):
+    o = table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("node"), (F.round(F.col("o_totalprice") * 100).cast("long") % 7 - 3).alias("step"))
+    return gr.circular_loops(o)
+
+
 @query("chain_rank", """
 WITH r AS (SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rank,
                   count(*) OVER (PARTITION BY user_id) AS length,
