@@ -302,3 +302,15 @@ def recently_used_keys(log: DataFrame, keys: Sequence[str], order: Sequence[str]
     """Capacity form: the n keys touched most recently (any operation)."""
     last = log.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_t"))
     return last.orderBy(F.col("_t").desc(), *[F.col(k) for k in keys]).limit(n).select(*keys)
+
+
+def _pickle_by_value() -> None:
+    """Ship the processor classes by value: the Python processes that run
+    them (driver-side stream runner and executors) need not import quern."""
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_pickle_by_value()
