@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from .common import read
 from .mixing import mix
+from .quality_rules import quality
+from .simhash import components
 from .url_filter import filter_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +67,14 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 """)
 def op9_url_rules(spark, sf_dir):
     return filter_urls(read(spark, sf_dir, "pages"))
+
+
+@query("op6_line_quality")
+def op6_line_quality(spark, sf_dir):
+    return quality(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op1_simhash_near_dedup")
+def op1_simhash_near_dedup(spark, sf_dir):
+    return components(read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
