@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read
+from .license_scan import scan
+from .line_dedup import dedup_lines
 from .mixing import mix
 from .quality_rules import quality
 from .simhash import components
+from .sketch import fingerprint_pairs
 from .url_filter import filter_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +81,18 @@ def op6_line_quality(spark, sf_dir):
 @query("op1_simhash_near_dedup")
 def op1_simhash_near_dedup(spark, sf_dir):
     return components(read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
+@query("op5_license_scan")
+def op5_license_scan(spark, sf_dir):
+    return scan(read(spark, sf_dir, "documents"))
+
+
+@query("op7_scaled_sketch")
+def op7_scaled_sketch(spark, sf_dir):
+    return fingerprint_pairs(read(spark, sf_dir, "documents"))
+
+
+@query("op10_line_dedup")
+def op10_line_dedup(spark, sf_dir):
+    return dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "_dedup.n_lines", "_dedup.n_removed", "text")
