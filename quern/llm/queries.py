@@ -8,11 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bpe, quality_gam
 from .common import read
 from .license_scan import scan
 from .line_dedup import dedup_lines
 from .mixing import mix
 from .quality_rules import quality
+from .secret_scan import secrets
 from .simhash import components
 from .sketch import fingerprint_pairs
 from .url_filter import filter_urls
@@ -96,3 +98,22 @@ def op7_scaled_sketch(spark, sf_dir):
 @query("op10_line_dedup")
 def op10_line_dedup(spark, sf_dir):
     return dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "_dedup.n_lines", "_dedup.n_removed", "text")
+
+
+@query("op3_secret_ledger")
+def op3_secret_ledger(spark, sf_dir):
+    return secrets(read(spark, sf_dir, "documents"))
+
+
+@query("op8_quality_gam")
+def op8_quality_gam(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = quality_gam.train(docs, read(spark, sf_dir, "labels"))
+    return quality_gam.score(docs, model).withColumn("predicted", (F.col("score") >= quality_gam.THRESHOLD).cast("int"))
+
+
+@query("op4_bpe_prefix_dp")
+def op4_bpe_prefix_dp(spark, sf_dir):
+    import public_tokenizers
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.digests(bpe.encode(read(spark, sf_dir, "documents"), path), path)
