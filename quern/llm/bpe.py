@@ -33,6 +33,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -46,7 +47,8 @@ from tokenizers import Regex
 from tokenizers.normalizers import NFC, Lowercase, Replace, Sequence
 from tokenizers.pre_tokenizers import Split
 
-_PLAIN = regex.compile(r"[\x00-\u052F\u1E00-\u1FFF\u2000-\u205F]*+").fullmatch
+_PLAIN_RANGES = ((0, 0x52F), (0x1E00, 0x205F))
+_ODD = re.compile("[^" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in _PLAIN_RANGES) + "]").search
 _END = "\x00"  # stands for the end-of-word suffix; no byte is written as this character
 _TABLE_WORDS = 600_000
 _TABLE_LENGTH = 64
@@ -61,6 +63,24 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in own else chr(next(spare)) for b in range(256)]
 
 
+def _plain_pattern(pattern: str) -> str:
+    """The word pattern for plain texts, its classes written out as ranges."""
+    plain = [chr(c) for lo, hi in _PLAIN_RANGES for c in range(lo, hi + 1)]
+    for name in (r"\p{L}", r"\p{N}", r"\s"):
+        if name == r"\s":
+            inside = [c for c in plain if regex.match(r"\p{White_Space}", c)]
+        else:
+            inside = [c for c in plain if unicodedata.category(c)[0] == name[3]]
+        ranges: list[list[int]] = []
+        for c in map(ord, inside):
+            if ranges and ranges[-1][1] == c - 1:
+                ranges[-1][1] = c
+            else:
+                ranges.append([c, c])
+        pattern = pattern.replace(name, "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges))
+    return pattern
+
+
 class WordBpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -72,7 +92,7 @@ class WordBpe:
         self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self._cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self._words = regex.compile(pattern.replace(r"\s", r"\p{White_Space}")).findall
+        self._words = re.compile(_plain_pattern(pattern)).findall
         self._split = Split(Regex(pattern), behavior="removed", invert=True)
         self._normal = Sequence([NFC(), Replace(Regex(r"\s+"), " "), Lowercase()])
         self._bytes = dict(enumerate(byte_characters()))
@@ -153,9 +173,10 @@ class WordBpe:
         for k, part in enumerate(self._cut.split(text) if self._cut else [text]):
             if k % 2:
                 out.append(self.special[part])
-            elif _PLAIN(part):
-                part = unicodedata.normalize("NFC", part)
-                low = part.lower() if "Σ" not in part else "".join(map(str.lower, part))  # a final sigma is not special
+                continue
+            low = unicodedata.normalize("NFC", part)
+            low = low.lower() if "Σ" not in low else "".join(map(str.lower, low))  # a final sigma is not special
+            if low.isascii() or not _ODD(low):
                 out += self._words(low)
             else:  # letters that Unicode versions class differently: the library's own cut
                 out += [w for w, _ in self._split.pre_tokenize_str(self._normal.normalize_str(part))]
@@ -230,6 +251,17 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
+def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, ids, n_tokens, text) of every row: ids and the text they decode to."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = load(path)
+        for b in batches:
+            ids = list(_lists(b.column(1)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(map(len, ids), pa.int64()),
+                                              pa.array([bpe.decode(x) for x in ids], pa.string())], ["doc_id", "ids", "n_tokens", "text"])
+    return encode(docs, path).mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, text string")
+
+
 def digests(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of (doc_id, ids) rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
