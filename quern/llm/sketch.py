@@ -79,21 +79,28 @@ def as_text(s: Column) -> Column:
 
 def next_documents(docs: DataFrame, value: Column) -> DataFrame:
     """(doc_id, text, value, next struct(text, value)) of every row."""
-    group = F.coalesce(F.floor(F.col("doc_id") / GROUP), F.lit(1 << 61) + F.pmod(F.xxhash64("text"), F.lit(1 << 20)))
+    group = F.coalesce(F.floor(F.col("doc_id") / GROUP), F.lit(1 << 61).bitwiseOR(F.xxhash64("text").bitwiseAND(F.lit((1 << 20) - 1))))
     base = (docs.select("doc_id", text_of().alias("text"))
             .select("doc_id", "text", group.cast("long").alias("grp"), value.alias("value")))
     order = Window.partitionBy("grp").orderBy("doc_id", "text")
-    rows = base.select("*", F.lead(F.struct("text", "value")).over(order).alias("next"), F.row_number().over(order).alias("nth"))
+    # Plain columns in the window functions: an expression would be computed, and
+    # carried a second time, below the shuffle.
+    rows = base.select("*", F.lead("text").over(order).alias("next_text"), F.lead("value").over(order).alias("next_value"),
+                       F.lag("text").over(order).isNull().alias("is_first"))
     place = ranked(docs.select("doc_id", text_of().alias("text")).select(group.cast("long").alias("grp")).distinct(),
                    [], [F.col("grp")], "place")
     count = place.agg(F.max("place")).first()[0] or 0
     after = place.select((F.when(F.col("place") == 1, F.lit(count)).otherwise(F.col("place") - 1)).alias("place"),
                          F.col("grp").alias("next_grp"))
     following = place.join(after, "place").select(F.col("grp").alias("g"), "next_grp")
-    heads = rows.where("nth = 1").select(F.col("grp").alias("hg"), F.struct("text", "value").alias("head"))
-    last = (rows.where(F.col("next").isNull()).join(following, F.col("grp") == F.col("g"))
+    # The three readers of ``rows`` share one shuffle of the texts as long as nothing
+    # differs below it: grp is never null, so the joins add no filter under it.
+    # A lag, not a row number: a group limit before the shuffle would give this branch a shuffle of its own.
+    heads = rows.where("is_first").select(F.col("grp").alias("hg"), F.struct("text", "value").alias("head"))
+    last = (rows.where(F.col("next_text").isNull()).join(following, F.col("grp") == F.col("g"))
             .join(heads, F.col("next_grp") == F.col("hg")).select("doc_id", "text", "value", F.col("head").alias("next")))
-    return rows.where(F.col("next").isNotNull()).select("doc_id", "text", "value", "next").unionByName(last)
+    both = F.struct(F.col("next_text").alias("text"), F.col("next_value").alias("value")).alias("next")
+    return rows.where(F.col("next_text").isNotNull()).select("doc_id", "text", "value", both).unionByName(last)
 
 
 def fingerprint_pairs(docs: DataFrame, scale: int = SCALE) -> DataFrame:
