@@ -119,17 +119,22 @@ def _tree(g: np.ndarray, h: np.ndarray, ridge: float) -> np.ndarray:
 
 
 def _pair_tree(g: np.ndarray, h: np.ndarray, ridge: float) -> tuple[float, np.ndarray]:
-    """(gain, step per cell) of a tree that splits a grid by rows, then each side by columns."""
-    _, r = _best_cut(g.sum(1), h.sum(1), ridge)
-    out, gain = np.zeros(g.shape), -g.sum() ** 2 / (h.sum() + ridge)
-    for rows in (slice(0, r + 1), slice(r + 1, None)):
-        gs, hs = g[rows].sum(0), h[rows].sum(0)
-        _, c = _best_cut(gs, hs, ridge)
-        for cols in (slice(0, c + 1), slice(c + 1, None)):
-            gg, hh = gs[cols].sum(), hs[cols].sum()
-            out[rows, cols] = gg / (hh + ridge)
-            gain += gg ** 2 / (hh + ridge)
-    return gain, out
+    """(gain, step per cell) of the best tree that splits a grid by rows, then
+    each side by columns (every row cut is tried: a pair may show no gain in
+    its rows alone)."""
+    best, whole = (0.0, np.zeros(g.shape)), g.sum() ** 2 / (h.sum() + ridge)
+    for r in range(len(g) - 1):
+        out, gain = np.zeros(g.shape), -whole
+        for rows in (slice(0, r + 1), slice(r + 1, None)):
+            gs, hs = g[rows].sum(0), h[rows].sum(0)
+            _, c = _best_cut(gs, hs, ridge)
+            for cols in (slice(0, c + 1), slice(c + 1, None)):
+                gg, hh = gs[cols].sum(), hs[cols].sum()
+                out[rows, cols] = gg / (hh + ridge)
+                gain += gg ** 2 / (hh + ridge)
+        if gain > best[0]:
+            best = (float(gain), out)
+    return best
 
 
 def fit(x: np.ndarray, y: np.ndarray, bins: int = 48, rounds: int = 120, pair_bins: int = 10, n_pairs: int = 8,
