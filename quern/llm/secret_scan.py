@@ -30,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, text_of
+from ..plans.loops import materialize
+from .common import text_of
 
 
 @dataclass(frozen=True)
@@ -107,6 +108,7 @@ def findings(docs: DataFrame, ledger: DataFrame, rules: Sequence[Rule] = RULES)
     keyed = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), order[s["kind"]].alias("rank"),
                                                     s["kind"].alias("kind"), s["end"].alias("end")))
     per = per.select("blob", F.array_sort(F.array_distinct(F.filter(keyed, lambda s: s["rank"].isNotNull()))).alias("spans"))
+    per = materialize(per)  # a plain table: a blob with very many paths can then be split in the join
     return docs.select("doc_id", F.sha2(text_of(), 256).alias("blob")).join(per, "blob", "left").select("doc_id", "blob", "spans")
 
 
@@ -116,7 +118,7 @@ def _joined(spans: Column) -> Column:
 
 def secrets(docs: DataFrame, rules: Sequence[Rule] = RULES, ledger: DataFrame | None = None) -> DataFrame:
     """One row per row of ``docs`` with the counts and digests of its spans."""
-    new = update(docs, rules, ledger)
+    new = materialize(update(docs, rules, ledger))
     rows = findings(docs, new if ledger is None else ledger.unionByName(new), rules)
     rows = rows.withColumn("spans", F.coalesce("spans", F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>")))
     base = [r.kind for r in BASE]
