@@ -50,9 +50,9 @@ from tokenizers.pre_tokenizers import Split
 _PLAIN_RANGES = ((0, 0x52F), (0x1E00, 0x205F))
 _ODD = re.compile("[^" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in _PLAIN_RANGES) + "]").search
 _END = "\x00"  # stands for the end-of-word suffix; no byte is written as this character
-_TABLE_WORDS = 600_000
+_TABLE_WORDS = 240_000
 _TABLE_LENGTH = 64
-_BATCH_IDS = 4_000_000
+_BATCH_IDS = 1_000_000
 
 
 def byte_characters() -> list[str]:
@@ -139,7 +139,7 @@ class WordBpe:
                     if (r := self.merges.get((x, y))) is not None and r < above_x and r <= above_y), default=float("inf"))
 
     def fits(self, a: int, b: int) -> bool:
-        if len(self._fits) > 1_000_000:
+        if len(self._fits) > 300_000:
             self._fits.clear()
         known = self._fits[a << 32 | b] = self._first_merge(a, b) == float("inf")
         return known
@@ -218,26 +218,31 @@ def load(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+def _encoded(bpe: WordBpe, batch: pa.RecordBatch) -> Iterator[tuple[list, list[np.ndarray]]]:
+    """Ids and encoded texts of a (doc_id, text) batch, a bounded number of ids at a time."""
+    keys, rows, n = [], [], 0
+    for key, text in zip(batch.column(0), batch.column(1)):
+        keys.append(key.as_py())
+        rows.append(bpe.encode(text.as_py()))
+        n += len(rows[-1])
+        if n >= _BATCH_IDS:
+            yield keys, rows
+            keys, rows, n = [], [], 0
+    yield keys, rows
+
+
+def _list_array(rows: list[np.ndarray]) -> pa.ListArray:
+    ends = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*rows, np.empty(0, np.int32)])))
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids) of every row of ``docs``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-
-        def batch(keys, rows):
-            offsets = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)
-            values = np.concatenate([*rows, np.empty(0, np.int32)])
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), ids], ["doc_id", "ids"])
         for b in batches:
-            keys, rows, n = [], [], 0
-            for key, text in zip(b.column(0).to_pylist(), b.column(1)):
-                keys.append(key)
-                rows.append(bpe.encode(text.as_py()))
-                n += len(rows[-1])
-                if n >= _BATCH_IDS:
-                    yield batch(keys, rows)
-                    keys, rows, n = [], [], 0
-            yield batch(keys, rows)
+            for keys, rows in _encoded(bpe, b):
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), _list_array(rows)], ["doc_id", "ids"])
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids array<int>")
 
 
@@ -252,14 +257,17 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 
 def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids, n_tokens, text) of every row: ids and the text they decode to."""
+    """(doc_id, ids, n_tokens, text) of every row: ids and the text they decode
+    to, in one pass of one Python worker."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         for b in batches:
-            ids = list(_lists(b.column(1)))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(map(len, ids), pa.int64()),
-                                              pa.array([bpe.decode(x) for x in ids], pa.string())], ["doc_id", "ids", "n_tokens", "text"])
-    return encode(docs, path).mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, text string")
+            for keys, rows in _encoded(bpe, b):
+                texts = pa.array([bpe.decode(r.tolist()) for r in rows], pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), _list_array(rows), pa.array(map(len, rows), pa.int64()), texts],
+                                                 ["doc_id", "ids", "n_tokens", "text"])
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        run, "doc_id long, ids array<int>, n_tokens long, text string")
 
 
 def digests(encoded: DataFrame, path: str) -> DataFrame:
