@@ -64,15 +64,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
     sizes = materialize(docs.select("doc_id", "source", F.size(words(text_of())).cast("long").alias("size")))
     targets = source_targets(sizes, weights, share, cap)
     tie = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    place = ranked(sizes.withColumn("tie", tie), ["source"], [F.col("size"), F.col("tie")], "place")
-    t = targets.select(F.col("source").alias("s"), "source_size", "target",
+    t = targets.select("source", "source_size", "target",
                        F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") * UNIT))
                        .otherwise(0).cast("long").alias("step"))
+    place = ranked(sizes.withColumn("tie", tie), ["source"], [F.col("size"), F.col("tie")], "place", per_key=t)
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.lit(":"), F.coalesce("source", F.lit("")))), 1, 6),
                     16, 10).cast("long")
     upto = F.shiftright(F.col("place") * F.col("step") + offset, 24)
     before = F.shiftright((F.col("place") - 1) * F.col("step") + offset, 24)
-    out = place.join(t, F.col("source").eqNullSafe(F.col("s"))).withColumn("copies", (upto - before).cast("long"))
+    out = place.withColumn("copies", (upto - before).cast("long"))
     return out.select("doc_id", "source", "size", "source_size", "target", "copies",
                       (F.col("copies") * F.col("size")).alias("taken"))
 
