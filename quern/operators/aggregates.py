@@ -14,6 +14,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.keys import key_join
 from ..plans.scan import Agg, ordered_scan, row_index
 
 
@@ -118,10 +119,10 @@ def first_unique(df: DataFrame, keys: Sequence[str], item: str, order: Sequence[
                  name: str = "first_unique") -> DataFrame:
     """Per key, ``ret`` of the first row (in ``order``) whose item occurs once; -1 if none."""
     counts = df.groupBy(*keys, item).agg(F.count(F.lit(1)).alias("_n"))
-    singles = df.join(counts.where("_n = 1").drop("_n"), [*keys, item])
+    singles = key_join(df, counts.where("_n = 1").drop("_n"), [*keys, item])
     firsts = singles.groupBy(*keys).agg(F.min_by(F.col(ret), F.struct(*order)).alias(name))
     all_keys = df.select(*keys).distinct()
-    return all_keys.join(firsts, list(keys), "left").select(*keys, F.coalesce(F.col(name), F.lit(-1)).alias(name))
+    return key_join(all_keys, firsts, keys, "left").select(*keys, F.coalesce(F.col(name), F.lit(-1)).alias(name))
 
 
 def degree_span(df: DataFrame, keys: Sequence[str], item: str, order: Sequence[str]) -> DataFrame:

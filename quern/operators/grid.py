@@ -85,14 +85,16 @@ def region_boundary(cells: DataFrame, q) -> DataFrame:
     return both.select("land", "shared", (4 * F.col("land") - 2 * F.col("shared")).alias("perimeter"))
 
 
-def grid_islands(cells: DataFrame, q, width: Column | int = 1 << 20) -> DataFrame:
-    """4-neighbour islands of the cells with val > q: (island, area).
-    The island id is the smallest cell id row * width + col."""
-    land = cells.where(F.col("val") > q).select((F.col("row") * width + F.col("col")).alias("id"), "row", "col")
+def grid_islands(cells: DataFrame, q) -> DataFrame:
+    """4-neighbour islands of the cells with val > q: (island_row, island_col,
+    area).  A cell's id is the pair (row, col), whatever the grid's size; an
+    island is named by its smallest cell."""
+    land = cells.where(F.col("val") > q).select(F.struct("row", "col").alias("id"), "row", "col")
     right = land.select(F.col("id").alias("dst"), F.col("row").alias("_r"), (F.col("col") - 1).alias("_c"))
     down = land.select(F.col("id").alias("dst"), (F.col("row") - 1).alias("_r"), F.col("col").alias("_c"))
     e = (land.join(right, (F.col("row") == F.col("_r")) & (F.col("col") == F.col("_c"))).select(F.col("id").alias("src"), "dst")
          .unionByName(land.join(down, (F.col("row") == F.col("_r")) & (F.col("col") == F.col("_c")))
                       .select(F.col("id").alias("src"), "dst")))
     labels = connected_components(e, nodes=land.select("id"))
-    return component_sizes(labels).select(F.col("comp").alias("island"), F.col("size").alias("area"))
+    return component_sizes(labels).select(F.col("comp.row").alias("island_row"), F.col("comp.col").alias("island_col"),
+                                         F.col("size").alias("area"))

@@ -15,10 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.loops import check_cap, materialize, union_all
-from ..plans.scan import previous, row_index, text_rank_key
-
-_MAX_LEVELS = 10_000
+from ..plans.loops import materialize, union_all
+from ..plans.scan import previous, row_index
 
 
 def binary_heap_tree(df: DataFrame, key: str, val: Column) -> DataFrame:
@@ -31,22 +29,22 @@ def binary_heap_tree(df: DataFrame, key: str, val: Column) -> DataFrame:
                      val.cast("long").alias("val"))
 
 
-def tree_paths(nodes: DataFrame, max_levels: int = _MAX_LEVELS) -> DataFrame:
+def tree_paths(nodes: DataFrame) -> DataFrame:
     """Every node with level, path code, ancestors (root..self), root-to-node
-    sum, ancestor prefix sums (root-side, 0 first), +1-run length, the digit
-    number of the path and the path text."""
+    sum, ancestor prefix sums (root-side, 0 first), +1-run length, the digits
+    of the path (as text: any depth) and the path text.  The loop ends with
+    the deepest level; rows on a cycle have no root and are left out."""
     n = materialize(nodes.select("id", "parent", "side", "val"))
     ids = n.select(F.col("id").alias("_pid"))
     roots = n.join(ids, n["parent"] == ids["_pid"], "left_anti")
     front = materialize(roots.select(
         "id", "parent", "side", "val", F.lit(0).cast("long").alias("level"), F.lit("").alias("code"),
         F.array(F.col("id")).alias("anc"), F.col("val").alias("psum"), F.array(F.lit(0).cast("long")).alias("prefixes"),
-        F.lit(1).cast("long").alias("run"), (F.col("val") % 10).alias("digits"),
+        F.lit(1).cast("long").alias("run"), F.pmod("val", F.lit(10)).cast("string").alias("digits"),
         F.col("val").cast("string").alias("path_text")))
     levels = [front]
     lvl = 0
     while True:
-        check_cap(lvl, max_levels, "tree_paths")
         lvl += 1
         p = front.select(F.col("id").alias("_p"), F.col("code").alias("_code"), F.col("anc").alias("_anc"),
                          F.col("psum").alias("_psum"), F.col("prefixes").alias("_pre"), F.col("run").alias("_run"),
@@ -58,7 +56,7 @@ def tree_paths(nodes: DataFrame, max_levels: int = _MAX_LEVELS) -> DataFrame:
             F.array_append("_anc", F.col("id")).alias("anc"), (F.col("_psum") + F.col("val")).alias("psum"),
             F.array_append("_pre", F.col("_psum")).alias("prefixes"),
             F.when(F.col("val") == F.col("_pval") + 1, F.col("_run") + 1).otherwise(1).cast("long").alias("run"),
-            (F.col("_dig") * 10 + F.col("val") % 10).alias("digits"),
+            F.concat("_dig", F.pmod("val", F.lit(10)).cast("string")).alias("digits"),
             F.concat("_txt", F.lit("->"), F.col("val").cast("string")).alias("path_text")))
         if front.count() == 0:
             break
@@ -66,11 +64,6 @@ def tree_paths(nodes: DataFrame, max_levels: int = _MAX_LEVELS) -> DataFrame:
     return union_all(levels)
 
 
-def _code_num(code: Column) -> Column:
-    """Path code read as a binary number (left-to-right order inside a level)."""
-    return F.when(F.length(code) == 0, F.lit(0).cast("long")).otherwise(F.conv(code, 2, 10).cast("long"))
-
-
 def leaves(paths: DataFrame) -> DataFrame:
     kids = paths.select(F.col("parent").alias("_pp")).where(F.col("_pp").isNotNull()).distinct()
     return paths.join(kids, paths["id"] == kids["_pp"], "left_anti")
@@ -79,7 +72,8 @@ def leaves(paths: DataFrame) -> DataFrame:
 def tree_levels(paths: DataFrame) -> DataFrame:
     """Per node: level, position in its level (left to right), zigzag
     position (odd levels right to left) and the right neighbour in the level."""
-    p = paths.select("id", "level", "code", _code_num(F.col("code")).alias("_pos_key"))
+    # codes of one level have one length, so text order is left-to-right order
+    p = paths.select("id", "level", F.col("code").alias("_pos_key"))
     r = row_index(p, ["level"], ["_pos_key", "id"], name="pos_in_level")
     r = previous(r, ["level"], ["_pos_key", "id"], ["id"], prefix="_nx_", descending=True)
     sizes = paths.groupBy("level").agg(F.count(F.lit(1)).alias("_size"))
@@ -96,16 +90,17 @@ def tree_summary(paths: DataFrame) -> DataFrame:
                   F.sum(F.col("val") * (F.col("level") + 1)).alias("weighted_sum"))
     b = lv.agg((F.min("level") + 1).alias("min_leaf_depth"),
                F.coalesce(F.sum(F.when(F.col("side") == "L", F.col("val"))), F.lit(0)).alias("left_leaf_sum"),
-               F.sum("digits").alias("digit_sum"))
+               F.sum(F.expr("try_cast(digits AS DECIMAL(38,0))")).alias("digit_sum"))
     return a.unionByName(b, allowMissingColumns=True).agg(
         *[F.max(c).alias(c) for c in ["max_depth", "weighted_sum", "min_leaf_depth", "left_leaf_sum", "digit_sum"]])
 
 
 def root_paths(paths: DataFrame, target: int) -> DataFrame:
     """Root-to-leaf paths: text, sum, whether the sum hits ``target``, and the
-    path's digit number."""
+    path's digits (text, and the number where it fits 64 bits)."""
     return leaves(paths).select("id", "path_text", F.col("psum").alias("path_sum"),
-                                (F.col("psum") == target).alias("hits_target"), F.col("digits").alias("digit_number"))
+                                (F.col("psum") == target).alias("hits_target"), F.col("digits").alias("digit_text"),
+                                F.expr("try_cast(digits AS BIGINT)").alias("digit_number"))
 
 
 def segment_paths(paths: DataFrame, k: int) -> DataFrame:
@@ -162,7 +157,7 @@ def lowest_common_ancestor(paths: DataFrame, pairs: DataFrame, a: str, b: str) -
 def leaf_order(paths: DataFrame) -> DataFrame:
     """Leaves left to right with their position (preorder of the path code)."""
     lv = leaves(paths).select("id", "val", "side", "code")
-    r = row_index(lv, [], ["code", "id"], name="leaf_pos", chunk_by=text_rank_key(F.col("code")))
+    r = row_index(lv, [], ["code", "id"], name="leaf_pos")
     return r.drop("code")
 
 
@@ -184,9 +179,9 @@ def traversal_order(paths: DataFrame) -> DataFrame:
     inkey = F.concat(F.translate("code", "1", "2"), F.lit("1"))
     postkey = F.concat(F.col("code"), F.lit("2"))
     p = p.select("id", "val", F.col("code").alias("_pre"), inkey.alias("_in"), postkey.alias("_post"))
-    out = row_index(p, [], ["_pre", "id"], name="pre_pos", chunk_by=text_rank_key(F.col("_pre")))
-    out = row_index(out, [], ["_in", "id"], name="in_pos", chunk_by=text_rank_key(F.col("_in")))
-    out = row_index(out, [], ["_post", "id"], name="post_pos", chunk_by=text_rank_key(F.col("_post")))
+    out = row_index(p, [], ["_pre", "id"], name="pre_pos")
+    out = row_index(out, [], ["_in", "id"], name="in_pos")
+    out = row_index(out, [], ["_post", "id"], name="post_pos")
     return out.drop("_pre", "_in", "_post")
 
 
@@ -244,7 +239,6 @@ def outline_paths(lines: DataFrame, line_no: str = "line_no", line: str = "line"
     found = [front]
     lvl = 0
     while True:
-        check_cap(lvl, _MAX_LEVELS, "outline_paths")
         lvl += 1
         kids = nodes.where(F.col("lvl") == lvl).join(front.select(F.col("ln").alias("_pl"), F.col("path").alias("_pp")),
                                                       F.col("parent") == F.col("_pl"))

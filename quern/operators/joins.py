@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.asof import asof_lookup
+from ..plans.keys import key_join
+from ..plans.loops import materialize
 from ..plans.scan import Agg, ordered_scan, row_index
 
 
@@ -35,8 +37,9 @@ def complement_pairs(df: DataFrame, keys: Sequence[str], val: str, target) -> Da
     b = c.select(*[F.col(k).alias(f"_b_{k}") for k in keys], F.col(val).alias("v_hi"), F.col("_n").alias("_nb"))
     j = a.join(b, _keq(keys, "_a_", "_b_") + [F.col("v_hi") == F.lit(target) - F.col("v_lo")])
     j = j.where(F.col("v_lo") <= F.col("v_hi"))
-    n = F.when(F.col("v_lo") == F.col("v_hi"), F.col("_na") * (F.col("_na") - 1) / 2).otherwise(
-        F.col("_na") * F.col("_nb")).cast("long")
+    # exact: n * (n - 1) / 2 with the even factor halved first
+    half = F.expr("CASE WHEN _na % 2 = 0 THEN (_na div 2) * (_na - 1) ELSE _na * ((_na - 1) div 2) END")
+    n = F.when(F.col("v_lo") == F.col("v_hi"), half).otherwise(F.col("_na") * F.col("_nb")).cast("long")
     return (j.select(*[F.col(f"_a_{k}").alias(k) for k in keys], "v_lo", "v_hi", n.alias("n_pairs"))
             .where(F.col("n_pairs") > 0))
 
@@ -75,13 +78,12 @@ def _runs_patterns(k: int):
 
 
 def _comb(c: Column, m: int) -> Column:
-    out = c
+    """C(c, m), exact: each step's product is divisible by its divisor."""
+    big = c.cast("decimal(19,0)")
+    out = big
     for i in range(1, m):
-        out = out * (c - i)
-    fact = 1
-    for i in range(2, m + 1):
-        fact *= i
-    return out / fact
+        out = F.floor(out.cast("decimal(38,0)") * (big - i).cast("decimal(19,0)") / (i + 1)).cast("decimal(38,0)")
+    return out.cast("decimal(38,0)")
 
 
 def multiset_count(vals: list[Column], counts: list[Column]) -> Column:
@@ -296,7 +298,9 @@ def edit_distance_join(words: DataFrame, word: str, max_d: int = 1) -> DataFrame
 
 def sign_code(vec: Column, bits: int = 64) -> Column:
     """64-bit code: one bit per component, set when the component is positive
-    (first component in the highest bit; shifts never overflow)."""
+    (first component in the highest bit; shifts never overflow).  A vector of
+    more than ``bits`` components raises instead of losing some."""
+    vec = F.when(F.size(vec) <= bits, vec).otherwise(F.raise_error(F.lit(f"sign_code: more than {bits} components")))
     flags = F.transform(F.slice(vec, 1, bits), lambda x: F.when(x > 0, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long")))
     return F.aggregate(flags, F.lit(0).cast("long"), lambda acc, b: F.shiftleft(acc, 1).bitwiseOR(b))
 
@@ -369,7 +373,8 @@ def near_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str], va
         s = ordered_scan(df.select(*keys, val), keys, [val], [Agg("_pv", "last", F.col(val), exclusive=True)])
         g = s.groupBy(*keys).agg(F.min(F.col(val) - F.col("_pv")).alias("_mg"))
         return g.select(*keys, F.coalesce(F.col("_mg") <= t, F.lit(False)).alias(name))
-    r = row_index(df.select(*keys, *order, val), keys, order, name="_rn").select(*keys, "_rn", val)
+    # written once: every one of the k joins reads it
+    r = materialize(row_index(df.select(*keys, *order, val), keys, order, name="_rn").select(*keys, "_rn", val))
     hits = None
     for j in range(1, k + 1):
         o = r.select(*[F.col(c).alias(f"_o_{c}") for c in keys], (F.col("_rn") + j).alias("_o_rn"),
@@ -379,7 +384,7 @@ def near_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str], va
         hits = m if hits is None else hits.unionByName(m)
     allk = df.select(*keys).distinct()
     found = hits.distinct().withColumn(name, F.lit(True))
-    return allk.join(found, list(keys), "left").fillna(False, [name])
+    return key_join(allk, found, keys, "left").fillna(False, [name])
 
 
 def collision_check(df: DataFrame, word: str, abbr: Column) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import proper_case as _proper
-from ..plans.scan import row_index
+from ..plans.scan import Agg, ordered_scan, row_index
 
 # The ordered modulo rules of the label rule (first match wins).
 FIZZ_BUZZ = [(15, "FizzBuzz"), (5, "Buzz"), (3, "Fizz")]
@@ -51,10 +51,13 @@ def insert_rank(values: DataFrame, probes: DataFrame, key: str, val: str, probe:
                 name: str = "insert_pos") -> DataFrame:
     """Per probe row: the number of values of its key smaller than the probe
     (the insert position in the key's sorted values)."""
-    v = values.select(F.col(key).alias("_k"), F.col(val).alias("_v"))
-    j = probes.join(v, probes[key] == v["_k"], "left")
-    return (j.groupBy(*probes.columns)
-            .agg(F.sum(F.when(F.col("_v") < F.col(probe), 1).otherwise(0)).cast("long").alias(name)))
+    per = values.groupBy(F.col(key).alias("_k"), F.col(val).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    v = per.where(F.col("_v").isNotNull()).select("_k", "_v", F.lit(1).alias("_kind"), "_n")
+    rows = F.struct(*[F.col(c) for c in probes.columns])
+    p = probes.select(F.col(key).alias("_k"), F.col(probe).alias("_v"), F.lit(0).alias("_kind"), rows.alias("_row"))
+    # at equal value the probe comes first, so only smaller values are counted
+    s = ordered_scan(v.unionByName(p, allowMissingColumns=True), ["_k"], ["_v", "_kind"], [Agg("_less", "sum", F.col("_n"))])
+    return s.where(F.col("_kind") == 0).select("_row.*", F.coalesce("_less", F.lit(0)).cast("long").alias(name))
 
 
 def fixed_points(df: DataFrame, keys: Sequence[str], val: str, order: Sequence[str]) -> DataFrame:

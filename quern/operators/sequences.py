@@ -14,6 +14,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.keys import key_join
 from ..plans.scan import Agg, ordered_scan, previous, row_index
 
 
@@ -43,7 +44,7 @@ def greater_sum(df: DataFrame, keys: Sequence[str], val: str, name: str = "great
     """Sum of all values >= the row's value in its key (ties included)."""
     per_val = df.groupBy(*keys, val).agg(F.sum(val).alias("_s"))
     suff = ordered_scan(per_val, keys, [val], [Agg(name, "sum", F.col("_s"))], descending=True).drop("_s")
-    return df.join(suff, [*keys, val])
+    return key_join(df, suff, [*keys, val])
 
 
 def range_sum_query(series: DataFrame, queries: DataFrame, keys: Sequence[str], pos: str, val: str,
@@ -91,12 +92,15 @@ def range_update(updates: DataFrame, start: str, end: str, val: str | None = Non
 
 def moving_average(df: DataFrame, keys: Sequence[str], order: Sequence[str], val: str, n: int,
                    name: str = "moving_avg") -> DataFrame:
-    """Mean of the last n rows (fewer at the start): (P(i) - P(i-n)) / min(i, n)."""
-    s = ordered_scan(df, keys, order, [Agg("_rn", "count", F.lit(1)), Agg("_p", "sum", _c(val))])
+    """Mean of the non-null values of the last n rows (fewer at the start):
+    (P(i) - P(i-n)) / (C(i) - C(i-n)) with running sums P and counts C of
+    non-null values; null when there are none."""
+    s = ordered_scan(df, keys, order, [Agg("_rn", "count", F.lit(1)), Agg("_p", "sum", _c(val)), Agg("_n", "count", _c(val))])
     back = s.select(*[F.col(k).alias(f"_b_{k}") for k in keys], (F.col("_rn") + n).alias("_b_rn"),
-                    F.col("_p").alias("_pb"))
+                    F.col("_p").alias("_pb"), F.col("_n").alias("_nb"))
     j = s.join(back, [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys] + [F.col("_rn") == F.col("_b_rn")], "left")
-    avg = (F.col("_p") - F.coalesce("_pb", F.lit(0))) / F.least(F.col("_rn"), F.lit(n))
+    seen = F.col("_n") - F.coalesce("_nb", F.lit(0))
+    avg = F.when(seen > 0, (F.col("_p") - F.coalesce("_pb", F.lit(0))) / seen)
     return j.select(*df.columns, avg.cast("double").alias(name))
 
 
@@ -113,7 +117,7 @@ def recent_count(df: DataFrame, keys: Sequence[str], t: str, span, id_col: str,
                      [Agg("_c", "count", F.when(F.col("_kind") == 1, F.lit(1)))])
     r = s.groupBy(*keys, "_id").agg((F.max(F.when(F.col("_kind") == 2, F.col("_c")))
                                      - F.max(F.when(F.col("_kind") == 0, F.col("_c")))).alias(name))
-    return df.join(r.withColumnRenamed("_id", id_col), [*keys, id_col])
+    return key_join(df, r.withColumnRenamed("_id", id_col), [*keys, id_col])
 
 
 # ---------------------------------------------------------------- trades and segments
@@ -170,7 +174,7 @@ def segments_with_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     c = ordered_scan(u, [*keys, "_m"], ["_i", "_kind"], [Agg("_n", "count", F.when(F.col("_kind") == 1, 1))])
     probes = c.where(F.col("_kind") == 0)
     counts = probes.groupBy(*keys).agg(F.sum("_n").alias(name))
-    return df.select(*keys).distinct().join(counts, list(keys), "left").fillna(0, [name])
+    return key_join(df.select(*keys).distinct(), counts, keys, "left").fillna(0, [name])
 
 
 def balance_point(df: DataFrame, keys: Sequence[str], order: Sequence[str], val: str, pos: str,
@@ -178,7 +182,7 @@ def balance_point(df: DataFrame, keys: Sequence[str], order: Sequence[str], val:
     """First ``pos`` whose left sum equals its right sum, -1 if none."""
     s = ordered_scan(df, keys, order, [Agg("_l", "sum", _c(val), exclusive=True)])
     tot = df.groupBy(*keys).agg(F.sum(val).alias("_tot"))
-    j = s.join(tot, list(keys))
+    j = key_join(s, tot, keys)
     left = F.coalesce(F.col("_l"), F.lit(0))
     hit = F.when(left == F.col("_tot") - left - F.col(val),
                  F.struct(*[_c(o).alias(f"_o{i}") for i, o in enumerate(order)], F.col(pos).alias("_pos")))
@@ -192,7 +196,7 @@ def leave_one_out(df: DataFrame, keys: Sequence[str], val: str) -> DataFrame:
     g = df.groupBy(*keys).agg(F.sum(val).alias("_s"),
                               F.sum(F.when(F.col(val) == 0, 1).otherwise(0)).alias("_z"),
                               F.product(F.when(F.col(val) != 0, F.col(val)).otherwise(F.lit(1))).alias("_p"))
-    j = df.join(g, list(keys))
+    j = key_join(df, g, keys)
     prod = (F.when(F.col("_z") == 0, F.col("_p") / F.col(val))
             .when((F.col("_z") == 1) & (F.col(val) == 0), F.col("_p"))
             .otherwise(F.lit(0.0)))
@@ -220,7 +224,7 @@ def longest_run(df: DataFrame, keys: Sequence[str], order: Sequence[str], cond:
     runs_ = (s.where(F.col("_ok")).groupBy(*keys, (F.col("_rn") - F.col("_t")).alias("_g"))
              .agg(F.count(F.lit(1)).alias("_len")))
     best = runs_.groupBy(*keys).agg(F.max("_len").alias(name))
-    return df.select(*keys).distinct().join(best, list(keys), "left").fillna(0, [name])
+    return key_join(df.select(*keys).distinct(), best, keys, "left").fillna(0, [name])
 
 
 def longest_rising(df: DataFrame, keys: Sequence[str], order: Sequence[str], val: str,
@@ -262,7 +266,7 @@ def first_missing_positive(df: DataFrame, keys: Sequence[str], val: str,
     g = r.groupBy(*keys).agg(F.min(F.when(F.col(val) != F.col("_r"), F.col("_r"))).alias("_m"),
                              F.count(F.lit(1)).alias("_n"))
     res = g.select(*keys, F.coalesce("_m", F.col("_n") + 1).alias(name))
-    return df.select(*keys).distinct().join(res, list(keys), "left").fillna(1, [name])
+    return key_join(df.select(*keys).distinct(), res, keys, "left").fillna(1, [name])
 
 
 def kth_missing_positive(df: DataFrame, keys: Sequence[str], val: str, k: int,
@@ -274,7 +278,7 @@ def kth_missing_positive(df: DataFrame, keys: Sequence[str], val: str, k: int,
     r = row_index(d, keys, [val], name="_r")
     g = r.groupBy(*keys).agg(F.sum(F.when(F.col(val) - F.col("_r") < k, 1).otherwise(0)).alias("_c"))
     res = g.select(*keys, (F.col("_c") + k).cast("long").alias(name))
-    return df.select(*keys).distinct().join(res, list(keys), "left").fillna(k, [name])
+    return key_join(df.select(*keys).distinct(), res, keys, "left").fillna(k, [name])
 
 
 def has_multiple_segment(df: DataFrame, keys: Sequence[str], order: Sequence[str], val: str, m: int,
@@ -470,16 +474,16 @@ def ordered_funnel(df: DataFrame, keys: Sequence[str], t: str, step_col: str, st
     for i, s in enumerate(steps):
         rows = df.where(F.col(step_col) == s).select(*keys, F.col(t).alias("_t"))
         if reached is not None:
-            rows = rows.join(reached, list(keys)).where(F.col("_t") > F.col("_prev"))
+            rows = key_join(rows, reached, keys).where(F.col("_t") > F.col("_prev"))
         reached = rows.groupBy(*keys).agg(F.min("_t").alias("_prev")).withColumn(f"_s{i}", F.lit(1))
         if i == 0:
             acc = reached.select(*keys, F.lit(1).alias(name))
         else:
-            acc = acc.join(reached.select(*keys, F.lit(1).alias("_hit")), list(keys), "left") \
+            acc = key_join(acc, reached.select(*keys, F.lit(1).alias("_hit")), keys, "left") \
                 .select(*keys, (F.col(name) + F.coalesce("_hit", F.lit(0))).alias(name))
         reached = reached.select(*keys, "_prev")
     allk = df.select(*keys).distinct()
-    return allk.join(acc, list(keys), "left").fillna(0, [name]).withColumn(
+    return key_join(allk, acc, keys, "left").fillna(0, [name]).withColumn(
         "complete", F.col(name) == len(steps))
 
 
@@ -517,7 +521,7 @@ def interval_conflicts(df: DataFrame, keys: Sequence[str], start: str, end: str)
     s = ordered_scan(ev.withColumn("_net", F.col("_down") + F.col("_up")), keys, ["_t"],
                      [Agg("_run", "sum", F.col("_net"))])
     peak = s.groupBy(*keys).agg(F.max("_run").alias("max_concurrent"))
-    return conflict.join(peak, list(keys))
+    return key_join(conflict, peak, keys)
 
 
 # ---------------------------------------------------------------- rate limit

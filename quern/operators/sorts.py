@@ -13,7 +13,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.scan import as_number, row_index, text_rank_key
+from ..plans.keys import key_join
+from ..plans.scan import row_index
 
 
 def _c(c) -> Column:
@@ -50,9 +51,7 @@ def stable_partition(df: DataFrame, keys: Sequence[str], order: Sequence[str], p
     """Rows matching ``pred`` first, each class in its old order: the new
     position per key is the row number over (class, old order)."""
     c = df.withColumn("_cls", F.when(pred, 0).otherwise(1))
-    first = as_number(c, _c(order[0]))
-    proxy = F.col("_cls") * F.lit(float(1 << 62)) + first if first is not None else None
-    return row_index(c, keys, ["_cls", *order], name=name, chunk_by=proxy).drop("_cls")
+    return row_index(c, keys, ["_cls", *order], name=name).drop("_cls")
 
 
 def compound_sort(df: DataFrame, log_id: Column, content: Column, pos: Column, name: str = "sort_pos") -> DataFrame:
@@ -62,9 +61,7 @@ def compound_sort(df: DataFrame, log_id: Column, content: Column, pos: Column, n
     c = df.select("*", is_digit.alias("_dig"),
                   F.when(is_digit == 0, content).alias("_ct"), F.when(is_digit == 0, log_id).alias("_id"),
                   pos.alias("_pos"))
-    proxy = F.when(F.col("_dig") == 1, F.lit(float(1 << 62)) + F.col("_pos").cast("double")) \
-        .otherwise(text_rank_key(F.col("_ct")).cast("double"))
-    r = row_index(c, [], ["_dig", "_ct", "_id", "_pos"], name=name, chunk_by=proxy)
+    r = row_index(c, [], ["_dig", "_ct", "_id", "_pos"], name=name)
     return r.drop("_dig", "_ct", "_id", "_pos")
 
 
@@ -86,7 +83,7 @@ def rank_smaller(df: DataFrame, keys: Sequence[str], val: str, name: str = "n_sm
     c = df.groupBy(*keys, val).agg(F.count(F.lit(1)).alias("_c"))
     s = ordered_scan(c, keys, [val], [Agg(name, "sum", F.col("_c"), exclusive=True)])
     s = s.select(*keys, val, F.coalesce(F.col(name), F.lit(0)).alias(name))
-    return df.join(s, [*keys, val])
+    return key_join(df, s, [*keys, val])
 
 
 def weakest_groups(df: DataFrame, row: str, flag: Column, k: int, name: str = "ones") -> DataFrame:
@@ -95,9 +92,10 @@ def weakest_groups(df: DataFrame, row: str, flag: Column, k: int, name: str = "o
             .orderBy(name, row).limit(k))
 
 
-def shuffle_sample(df: DataFrame, seed: int, n: int) -> DataFrame:
-    """n rows in a uniform random order (seeded)."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def shuffle_sample(df: DataFrame, key: str, seed: int, n: int) -> DataFrame:
+    """n rows in a random order fixed by ``seed``: the order of the md5 of key
+    and seed, so neither the partitioning nor a re-run changes it."""
+    return df.orderBy(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))), key).limit(n)
 
 
 def intersect_distinct(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -3,7 +3,9 @@
 Each round is a set of joins and aggregates over the whole table; its result
 is written with ``checkpoint()`` to the shared folder named by
 ``spark.checkpoint.dir`` (lineage cut, survives lost executors), and the
-round's stop test is one count.  Every loop has a round cap that raises.
+round's stop test is one count.  Loops end by their own progress (labels
+that only fall, frontiers that empty); only doublings, which need 64 rounds at
+most, have a cap that raises.
 """
 
 from __future__ import annotations

@@ -2,40 +2,36 @@
 
 ``Window.partitionBy(key).orderBy(pos)`` sends every row of a key to one
 task; when one key holds a third of the data, that task holds a third of the
-data.  ``ordered_scan`` cuts such hot keys into chunks instead:
-
-1. per key: row count and range of the first order column (partial
-   aggregate).  A key is *hot* when its count is above
-   ``max(chunk_rows, total / max_hot_keys)``, so there are fewer than
-   ``max_hot_keys`` hot keys: the hot-key table has a proven size bound and
-   is broadcast;
-2. rows of a hot key fall into fine equal-width value bins (16 per chunk
-   the key needs); exact row counts per bin, cumulated in scan order, map
-   each bin to a chunk so chunks hold equal row counts (to within one bin)
-   however the values are spread.  The bin-to-chunk maps have at most
-   16 x 2 x ``max_hot_keys`` entries and ride on the broadcast hot table.
-   Bins are value ranges, so chunks are contiguous in order and equal
-   values share a chunk; all other rows get chunk 0.  Nothing is sampled,
-   so every re-computation gives the same chunks;
-3. one window keyed by ``(keys, chunk)`` computes the running aggregate
-   inside each chunk (one hash shuffle, sort-based and spillable);
-4. chunk totals of hot keys (a partial aggregate, no raw rows shuffled)
-   are turned into a carry-in per chunk by a small window; that table has
-   one row per chunk of a hot key (at most ``2 * max_hot_keys`` rows) and
-   is broadcast back.
-
-The input is read by three branches (statistics, totals, window); a derived
-input is checkpointed once (see :func:`reusable`) so chained scans stay linear
-in work and in plan size.
+data.  ``ordered_scan`` keeps that window for keys of at most ``chunk_rows``
+rows and splits the larger ones by rank of the whole order tuple:
+
+1. rows per key are counted (partial aggregate).  A key is *hot* when its
+   count is above ``max(chunk_rows, total / max_hot_keys)``, so there are
+   fewer than ``max_hot_keys`` hot keys: that table has a proven size bound
+   and is broadcast;
+2. rows of hot keys are range-partitioned by (keys, order, row id) into as
+   many partitions as their number of rows asks for.  The partitioner cuts by
+   rank, so outlying, tied, null or text values change nothing; the row id
+   splits even rows whose order values are all equal.  The result is written
+   once (``checkpoint()``) with its partition number, so every reader, and
+   every re-computation after a lost executor, sees the same cuts;
+3. one window keyed by (keys, partition) computes the running aggregate
+   inside each piece;
+4. totals per piece (a partial aggregate, one row per key and partition: at
+   most ``max_hot_keys`` plus the number of partitions) become a carry-in per
+   piece, broadcast back.
+
+A table without keys is one series and is split in the same way above
+``UNKEYED_ROWS`` rows.  A derived input is checkpointed once (see
+:func:`reusable`) so chained scans stay linear in work and in plan size.
 
 Supported operations (associative): ``sum``, ``count``, ``min``, ``max``, ``xor``,
 ``last`` (last non-null value), ``first`` (first non-null value).  Pass
 ``struct(col)`` to ``last`` for a null-preserving "previous row" value.
 
-Order: a list of columns, all ascending, or all descending with
-``descending=True``; the first must be numeric, date or timestamp to be
-split (other types leave hot keys unsplit).  The order should be unique
-within a key (add an id last) for deterministic ``last``/``first``.
+Order: a list of columns of any type, all ascending, or all descending with
+``descending=True``.  The order should be unique within a key (add an id last)
+for deterministic ``last``/``first``.
 """
 
 from __future__ import annotations
@@ -45,16 +41,15 @@ from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from .loops import materialize
 
 _CH = "_scan_chunk"
-_RN = "_scan_rn"
-_N = "_scan_n"
-_HOT = "_scan_hot"
+_TIE = "_scan_tie"
 
 DEFAULT_CHUNK_ROWS = 2_000_000
 DEFAULT_MAX_HOT_KEYS = 50_000
-BINS_PER_CHUNK = 16
+UNKEYED_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -130,18 +125,6 @@ def _conf_int(spark, key: str, default: int) -> int:
     return int(v) if v else default
 
 
-def as_number(df: DataFrame, c: Column) -> Column | None:
-    """The column as a double that keeps its order (timestamps in micros)."""
-    dt = df.select(c).schema.fields[0].dataType
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(dt, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dt, T.NumericType):
-        return c.cast("double")
-    return None
-
-
 _DERIVED = ("Join", "Aggregate", "Window", "Union", "Repartition", "Expand", "Generate", "Sort",
             "Distinct", "Intersect", "Except", "Sample")
 
@@ -159,14 +142,9 @@ def reusable(df: DataFrame) -> DataFrame:
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     if not any(tok in plan for tok in _DERIVED):
         return df
-    from .loops import materialize
     return materialize(df)
 
 
-def release() -> None:
-    """Kept for callers of earlier versions: nothing is cached any more."""
-
-
 def _keys_equal(keys: Sequence[str], prefix: str) -> Column:
     cond = None
     for k in keys:
@@ -177,125 +155,70 @@ def _keys_equal(keys: Sequence[str], prefix: str) -> Column:
 
 def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence, aggs: Iterable[Agg],
                  descending: bool = False, chunk_rows: int | None = None,
-                 max_hot_keys: int | None = None, chunk_by: Column | None = None) -> DataFrame:
+                 max_hot_keys: int | None = None) -> DataFrame:
     """Add running aggregates per key in ``order`` to every row of ``df``.
 
-    ``keys`` may be empty: the whole table is one series (then it is one hot
-    key split into chunks, the classic two-pass parallel prefix scan)."""
+    ``keys`` may be empty: the whole table is one series."""
     aggs = list(aggs)
+    keys = list(keys)
     spark = df.sparkSession
     chunk_rows = chunk_rows or _conf_int(spark, "quern.scan.chunkRows", DEFAULT_CHUNK_ROWS)
     max_hot = max_hot_keys or _conf_int(spark, "quern.scan.maxHotKeys", DEFAULT_MAX_HOT_KEYS)
-    base_cols = df.columns
-    keys = list(keys)
-    unkeyed = not keys
-    if unkeyed:
-        df = df.withColumn("_scan_k0", F.lit(0))
-        keys = ["_scan_k0"]
-    order_cols = [_col(o) for o in order]
-    sort_cols = [c.desc() for c in order_cols] if descending else order_cols
-    # chunk_by: a number that never decreases along the order (for orders that
-    # start with text or with a few distinct values); default the first column.
-    o0 = chunk_by.cast("double") if chunk_by is not None else as_number(df, order_cols[0])
-
-    if o0 is not None and unkeyed:
-        # One series: chunk geometry from scalar subqueries (no join at all).
-        df = reusable(df)
-        stats = df.agg(F.count(F.lit(1)).alias("_cnt"), F.min(o0).alias("_omin"), F.max(o0).alias("_omax"))
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-        cnt, omin, omax = (stats.select(c).scalar() for c in ("_cnt", "_omin", "_omax"))
-        threshold = F.greatest(F.lit(min(chunk_rows, 10_000)), F.ceil(cnt / F.lit(parts)))
-        nch = F.ceil(cnt / threshold)
-        width = (omax - omin) / nch
-        pos = F.floor((o0 - omin) / width)
-        if descending:
-            pos = nch - 1 - pos
-        pos = F.when(o0.isNull(), nch - 1 if descending else F.lit(0)).otherwise(pos)
-        chunk = F.when(width.isNull() | (width <= 0), F.lit(0)).otherwise(
-            F.least(F.greatest(pos, F.lit(0)), nch - 1)).cast("long")
-        chunked = df.withColumn(_CH, chunk).withColumn(_HOT, F.lit(True))
-    elif o0 is not None:
-        df = reusable(df)
-        stats = (df.groupBy(*keys)
-                 .agg(F.count(F.lit(1)).alias("_cnt"), F.min(o0).alias("_omin"), F.max(o0).alias("_omax")))
-        total = stats.select(F.sum("_cnt")).scalar()
-        threshold = F.greatest(F.lit(chunk_rows), F.ceil(total / F.lit(max_hot)))
-        hkeys = [f"_h_{k}" for k in keys]
-        # Hot keys: fewer than max_hot of them (count > total / max_hot); each
-        # is cut into BINS_PER_CHUNK fine value bins per chunk it needs.
-        hot0 = (stats.where(F.col("_cnt") > threshold)
-                .withColumn("_nch", F.ceil(F.col("_cnt") / threshold))
-                .select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_omin", "_nch",
-                        ((F.col("_omax") - F.col("_omin")) / (F.col("_nch") * BINS_PER_CHUNK)).alias("_w")))
-        nbins = F.col("_nch") * BINS_PER_CHUNK
-        fine = F.when(F.col("_w").isNull() | (F.col("_w") <= 0), F.lit(0)).otherwise(
-            F.least(F.greatest(F.floor((o0 - F.col("_omin")) / F.col("_w")), F.lit(0)), nbins - 1))
-        if descending:
-            fine = nbins - 1 - fine
-        # nulls sort first ascending and last descending
-        fine = F.when(o0.isNull(), nbins - 1 if descending else F.lit(0)).otherwise(fine).cast("long")
-        # Exact rows per fine bin, cumulated in scan order: a bin starts chunk
-        # floor(rows before it / threshold), so chunks hold equal row counts
-        # (to within one bin) however the values are spread.
-        counts = (df.join(F.broadcast(hot0), _keys_equal(keys, "_h_"))
-                  .groupBy(*hkeys, fine.alias("_bin")).agg(F.count(F.lit(1)).alias("_bc")))
-        before = Window.partitionBy(*hkeys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-        counts = counts.select(*hkeys, "_bin",
-                               F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_cum"))
-        counts = counts.select(*hkeys, "_bin", F.floor(F.col("_cum") / threshold).cast("long").alias("_bch"))
-        maps = counts.groupBy(*hkeys).agg(F.map_from_entries(F.collect_list(F.struct("_bin", "_bch"))).alias("_map"))
-        # at most BINS_PER_CHUNK * 2 * max_hot map entries: a proven bound, broadcast
-        hot = hot0.join(maps, hkeys)
-        chunk = F.coalesce(F.try_element_at(F.col("_map"), fine), F.lit(0)).cast("long")
-        chunked = (df.join(F.broadcast(hot), _keys_equal(keys, "_h_"), "left")
-                   .withColumn(_CH, F.when(F.col("_nch").isNull(), F.lit(0).cast("long")).otherwise(chunk))
-                   .withColumn(_HOT, F.col("_nch").isNotNull())
-                   .drop(*hkeys, "_omin", "_nch", "_w", "_map"))
-    else:
-        chunked = df.withColumn(_CH, F.lit(0).cast("long")).withColumn(_HOT, F.lit(False))
-
-    seg = Window.partitionBy(*keys, _CH).orderBy(*sort_cols)
+    df = reusable(df)
+    if not keys:
+        total = df.count()
+        limit = max(min(chunk_rows, UNKEYED_ROWS), -(-total // max_hot))
+        if total <= limit:
+            return _whole(df, keys, order, aggs, descending)
+        return _split(df, keys, order, aggs, descending, -(-total // limit))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
+    total, largest = counts.agg(F.sum("_cnt"), F.max("_cnt")).first()
+    limit = max(chunk_rows, -(-(total or 0) // max_hot))
+    if (largest or 0) <= limit:
+        return _whole(df, keys, order, aggs, descending)
+    # Fewer than max_hot keys have more than total / max_hot rows: a bounded broadcast.
+    hot = materialize(counts.where(F.col("_cnt") > limit).select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_cnt"))
+    rows = hot.agg(F.sum("_cnt")).first()[0]
+    is_hot = _keys_equal(keys, "_h_")
+    heavy = df.join(F.broadcast(hot.drop("_cnt")), is_hot, "left_semi")
+    light = df.join(F.broadcast(hot.drop("_cnt")), is_hot, "left_anti")
+    return (_split(heavy, keys, order, aggs, descending, -(-rows // limit))
+            .unionByName(_whole(light, keys, order, aggs, descending)))
+
+
+def _running(part: Sequence[str], sort_cols: list[Column], aggs: list[Agg]) -> list[Column]:
+    seg = Window.partitionBy(*part).orderBy(*sort_cols)
     incl = seg.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     excl = seg.rowsBetween(Window.unboundedPreceding, -1)
-    local_cols = []
-    for a in aggs:
-        local_cols.append(_window_agg(a.op, a.expr).over(incl).alias(f"_inc_{a.name}"))
-        if a.exclusive:
-            local_cols.append(_window_agg(a.op, a.expr).over(excl).alias(f"_exc_{a.name}"))
-    local = chunked.select("*", *local_cols)
-
-    if o0 is None:
-        out = [F.col(c) for c in base_cols]
-        for a in aggs:
-            out.append(F.col(f"_exc_{a.name}" if a.exclusive else f"_inc_{a.name}").alias(a.name))
-        return local.select(*out)
-
-    # Chunk totals of hot keys: a partial aggregate over the chunk's rows.
-    okey = F.struct(*order_cols)
-    totals = (chunked.where(F.col(_HOT)).groupBy(*keys, _CH)
+    return [_window_agg(a.op, a.expr).over(excl if a.exclusive else incl) for a in aggs]
+
+
+def _whole(df: DataFrame, keys: list[str], order: Sequence, aggs: list[Agg], descending: bool) -> DataFrame:
+    """One plain window per key (each of a bounded number of rows)."""
+    sort_cols = [_col(o).desc() if descending else _col(o) for o in order]
+    return df.select("*", *[c.alias(a.name) for a, c in zip(aggs, _running(keys, sort_cols, aggs))])
+
+
+def _split(df: DataFrame, keys: list[str], order: Sequence, aggs: list[Agg], descending: bool, pieces: int) -> DataFrame:
+    """Pieces of equal numbers of rows by rank, windows inside them, carry-ins."""
+    order_cols = [*[_col(o) for o in order], F.col(_TIE)]
+    sort_cols = [c.desc() for c in order_cols] if descending else order_cols
+    tied = df.withColumn(_TIE, F.monotonically_increasing_id())
+    ranged = materialize(tied.repartitionByRange(pieces + 1, *[F.col(k) for k in keys], *sort_cols)
+                         .withColumn(_CH, F.spark_partition_id().cast("long")))
+    local = ranged.select("*", *[c.alias(f"_run_{a.name}") for a, c in zip(aggs, _running([*keys, _CH], sort_cols, aggs))])
+    okey = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order_cols)])
+    totals = (ranged.groupBy(*keys, _CH)
               .agg(*[_total_agg(a.op, a.expr, okey, descending).alias(f"_tot_{a.name}") for a in aggs]))
     before = Window.partitionBy(*keys).orderBy(_CH).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(*[F.col(k).alias(f"_c_{k}") for k in keys], F.col(_CH).alias("_c_ch"),
-                          *[_carry_agg(a.op, F.col(f"_tot_{a.name}")).over(before).alias(f"_car_{a.name}")
-                            for a in aggs])
-    # carry has one row per chunk of a hot key: at most 2 * max_hot rows.
+                          *[_carry_agg(a.op, F.col(f"_tot_{a.name}")).over(before).alias(f"_car_{a.name}") for a in aggs])
     cond = F.col(_CH) == F.col("_c_ch")
-    if not unkeyed:
-        cond = _keys_equal(keys, "_c_") & cond
+    if keys:
+        cond = cond & _keys_equal(keys, "_c_")
+    # One row per key and piece: fewer than max_hot keys plus the number of pieces.
     joined = local.join(F.broadcast(carry), cond, "left")
-    out = [F.col(c) for c in base_cols]
-    for a in aggs:
-        src = f"_exc_{a.name}" if a.exclusive else f"_inc_{a.name}"
-        out.append(_combine(a.op, F.col(src), F.col(f"_car_{a.name}")).alias(a.name))
-    return joined.select(*out)
-
-
-def text_rank_key(s: Column) -> Column:
-    """Order-preserving number for text: its first 7 UTF-8 bytes read as a
-    big-endian integer (strings compare by bytes, so this never decreases
-    along the text order; equal prefixes share a chunk)."""
-    hexed = F.rpad(F.hex(F.substring(F.encode(s, "UTF-8"), 1, 7)), 14, "0")
-    return F.conv(hexed, 16, 10).cast("long")
+    return joined.select(*df.columns, *[_combine(a.op, F.col(f"_run_{a.name}"), F.col(f"_car_{a.name}")).alias(a.name) for a in aggs])
 
 
 def row_index(df: DataFrame, keys: Sequence[str], order: Sequence, name: str = "rn",

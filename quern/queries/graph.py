@@ -72,21 +72,22 @@ def q_component_sizes(spark, d):
     return gr.component_sizes(gr.connected_components(_ps_edges(spark, d)))
 
 
-_WORD4 = r"""(SELECT DISTINCT w FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS w FROM {t})
-             WHERE length(w) = 4)"""
+_WORDS = r"""(SELECT DISTINCT w FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS w FROM {t})
+            WHERE w <> '')"""
 
 
-def _words4(spark, d, t):
+def _all_words(spark, d, t):
     from ..functions.text import words
     w = table(spark, d, t).select(F.explode(words("text", "[^a-z]+")).alias("w"))
-    return w.where(F.length("w") == 4).distinct()
+    return w.where(F.col("w") != "").distinct()
 
 
 @query("bfs_distance", f"""
-WITH RECURSIVE w AS {_WORD4.format(t="documents")},
-pat AS (SELECT w, w[1:i - 1] || '*' || w[i + 1:] AS p FROM w, range(1, 5) r(i)),
+WITH RECURSIVE w AS {_WORDS.format(t="documents")},
+pos AS (SELECT w, unnest(range(1, length(w) + 1)) AS i FROM w),
+pat AS (SELECT w, w[1:i - 1] || '*' || w[i + 1:] AS p FROM pos),
 e AS (SELECT DISTINCT a.w AS s, b.w AS d FROM pat a JOIN pat b ON a.p = b.p AND a.w <> b.w),
-src AS (SELECT w AS node FROM w WHERE w IN (SELECT w FROM {_WORD4.format(t="benchmark")})),
+src AS (SELECT w AS node FROM w WHERE w IN (SELECT w FROM {_WORDS.format(t="benchmark")})),
 dist(node, d) USING KEY (node) AS (
   SELECT node, 0 FROM src
   UNION
@@ -100,9 +101,9 @@ np(node, d, n) AS (
 SELECT w.w AS node, CAST(dist.d AS BIGINT) AS dist, CAST(np.n AS BIGINT) AS paths
 FROM w LEFT JOIN dist ON dist.node = w.w LEFT JOIN np ON np.node = w.w""")
 def q_bfs_distance(spark, d):
-    w = _words4(spark, d, "documents")
+    w = _all_words(spark, d, "documents")
     e = gr.one_letter_edges(w, "w")
-    src = w.join(_words4(spark, d, "benchmark"), "w", "left_semi")
+    src = w.join(_all_words(spark, d, "benchmark"), "w", "left_semi")
     return gr.bfs_distance(e, src, nodes=w)
 
 

@@ -1,7 +1,7 @@
 """Grid operators bound to the driver tables (survey 2.11).
 
-Matrix M: row = user, col = event type (fixed order below), val = number of
-events.  Grid G: row = user, col = day of month - 1, val = events that day.
+Matrix M: row = user, col = event type (the table's types in text order),
+val = number of events.  Grid G: row = user, col = day of month - 1, val = events that day.
 """
 
 from __future__ import annotations
@@ -10,25 +10,22 @@ from pyspark.sql import functions as F
 
 from ..operators import grid as gd
 from ..sources.tables import table
+from ..plans.scan import row_index
 from .registry import query
-from .sequences import TYPES
 
-_TYPES_SQL = "[" + ", ".join(f"'{t}'" for t in TYPES) + "]"
-
-_M_SQL = f"""
-c AS (SELECT user_id AS row, CAST(list_position({_TYPES_SQL}, event_type) - 1 AS BIGINT) AS col, count(*) AS n
-      FROM events GROUP BY 1, 2),
+_M_SQL = """
+ty AS (SELECT event_type, row_number() OVER (ORDER BY event_type) - 1 AS col FROM (SELECT DISTINCT event_type FROM events)),
+c AS (SELECT user_id AS row, ty.col, count(*) AS n FROM events JOIN ty USING (event_type) GROUP BY 1, 2),
 m AS (SELECT u.row, t.col, coalesce(c.n, 0) AS val FROM (SELECT DISTINCT user_id AS row FROM events) u
-      CROSS JOIN (SELECT CAST(range AS BIGINT) AS col FROM range(0, {len(TYPES)})) t
-      LEFT JOIN c ON c.row = u.row AND c.col = t.col)"""
+      CROSS JOIN (SELECT col FROM ty) t LEFT JOIN c ON c.row = u.row AND c.col = t.col)"""
 
 
 def _matrix(spark, d):
     e = table(spark, d, "events")
-    types = F.array(*[F.lit(t) for t in TYPES])
-    c = e.groupBy(F.col("user_id").alias("row"), (F.array_position(types, F.col("event_type")) - 1).alias("col")) \
-        .agg(F.count(F.lit(1)).alias("val"))
-    return gd.dense_cells(c, e.select("user_id"), F.lit(len(TYPES)))
+    types = row_index(e.select("event_type").distinct(), [], ["event_type"], name="n")
+    c = (e.join(types, "event_type").groupBy(F.col("user_id").alias("row"), (F.col("n") - 1).cast("long").alias("col"))
+         .agg(F.count(F.lit(1)).alias("val")))
+    return gd.dense_cells(c, e.select("user_id"), types.agg(F.count(F.lit(1)).cast("int").alias("n")).scalar())
 
 
 _G_SQL = """
@@ -99,4 +96,5 @@ cc(node, comp) USING KEY (node) AS (
   JOIN recurring.cc r ON r.node = n.node WHERE n.m < r.comp)
 SELECT comp AS island, count(*) AS area FROM cc GROUP BY comp""")
 def q_grid_islands(spark, d):
-    return gd.grid_islands(_grid(spark, d), 2)
+    i = gd.grid_islands(_grid(spark, d), 2)
+    return i.select((F.col("island_row") * 1048576 + F.col("island_col")).alias("island"), "area")

@@ -80,7 +80,7 @@ def q_tree_summary(spark, d):
 WITH RECURSIVE {_A}
 SELECT id, path_text, psum AS path_sum, psum = 150 AS hits_target, digits AS digit_number FROM {_LEAVES_A}""")
 def q_root_paths(spark, d):
-    return hi.root_paths(_paths_a(spark, d), 150)
+    return hi.root_paths(_paths_a(spark, d), 150).drop("digit_text")
 
 
 @query("segment_paths", f"""
@@ -204,7 +204,7 @@ def _outline_lines(spark, d):
     parts = F.concat(F.array(scheme, host), segs,
                      F.array(F.concat(F.lit("page_"), F.col("page_id").cast("string"), F.lit(".html"))))
     e = p.select("page_id", F.posexplode(parts).alias("i", "name"))
-    return e.select((F.col("page_id") * 1000 + F.col("i")).alias("line_no"),
+    return e.select((F.col("page_id") * 2147483648 + F.col("i")).alias("line_no"),
                     F.concat(F.repeat(F.lit("\t"), F.col("i")), F.col("name")).alias("line"))
 
 
@@ -214,7 +214,7 @@ WITH RECURSIVE pg AS (SELECT page_id, list_concat([regexp_extract(url, '^([A-Za-
                            list_filter(string_split(regexp_extract(url, '^[A-Za-z]+://[^/?#]+([^?#]*)', 1), '/'),
                                        lambda s: s <> ''),
                            ['page_' || CAST(page_id AS VARCHAR) || '.html']) AS parts FROM pages),
-ln AS (SELECT page_id * 1000 + i - 1 AS ln, CAST(i - 1 AS BIGINT) AS lvl, parts[i] AS name
+ln AS (SELECT page_id * 2147483648 + i - 1 AS ln, CAST(i - 1 AS BIGINT) AS lvl, parts[i] AS name
        FROM pg, LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS i)),
 par AS (SELECT l.ln, l.lvl, l.name, p.ln AS parent FROM ln l ASOF LEFT JOIN ln p ON p.lvl = l.lvl - 1 AND p.ln < l.ln),
 pth(ln, path) AS (SELECT ln, name FROM par WHERE lvl = 0

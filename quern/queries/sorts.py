@@ -48,12 +48,12 @@ WITH l AS (SELECT conv_id, turn, CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS
                   CASE WHEN regexp_matches(substr(text, 1, 1), '^[0-9]') THEN 1 ELSE 0 END AS dig
            FROM conversations)
 SELECT conv_id, turn, row_number() OVER (ORDER BY dig, CASE WHEN dig = 0 THEN text END NULLS FIRST,
-                                         CASE WHEN dig = 0 THEN log_id END NULLS FIRST, conv_id * 1000 + turn) AS sort_pos
+                                         CASE WHEN dig = 0 THEN log_id END NULLS FIRST, conv_id * 2147483648 + turn) AS sort_pos
 FROM l""")
 def q_compound_sort(spark, d):
     c = table(spark, d, "conversations").select("conv_id", "turn", "text")
     log_id = F.concat(F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string"))
-    r = so.compound_sort(c, log_id, F.col("text"), F.col("conv_id") * 1000 + F.col("turn"))
+    r = so.compound_sort(c, log_id, F.col("text"), F.col("conv_id") * 2147483648 + F.col("turn"))
     return r.select("conv_id", "turn", "sort_pos")
 
 
@@ -97,11 +97,10 @@ def q_weakest_groups(spark, d):
     return r.withColumn("ones", F.col("ones").cast("long"))
 
 
-@query("shuffle_sample")
+@query("shuffle_sample", """
+SELECT o_orderkey, o_custkey FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR) || ':42'), o_orderkey LIMIT 20""")
 def q_shuffle_sample(spark, d):
-    """Seeded uniform sample of 20 orders (no value oracle: the random order
-    differs between engines; the row count is checked)."""
-    return so.shuffle_sample(table(spark, d, "orders").select("o_orderkey", "o_custkey"), 42, 20)
+    return so.shuffle_sample(table(spark, d, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", 42, 20)
 
 
 @query("intersect_distinct", """

@@ -21,9 +21,17 @@ from ..session import ensure_checkpoint_dir
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
              corrupt_column: str | None = None) -> DataFrame:
-    r = spark.read.option("header", True).option("encoding", "UTF-8").option("mode", "PERMISSIVE")
+    # Quoted fields may hold line breaks, and a quote inside one is doubled.
+    r = (spark.read.option("header", True).option("encoding", "UTF-8").option("mode", "PERMISSIVE")
+         .option("multiLine", True).option("quote", '"').option("escape", '"'))
     if corrupt_column:
         r = r.option("columnNameOfCorruptRecord", corrupt_column)
+        if schema is None:
+            schema = T.StructType([T.StructField(f.name, T.StringType()) for f in r.csv(path).schema])
+        elif isinstance(schema, str):
+            schema = T._parse_datatype_string(schema)
+        if corrupt_column not in schema.names:
+            schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
     if schema is not None:
         r = r.schema(schema)
     df = r.csv(path)
@@ -37,7 +45,7 @@ def write_csv(df: DataFrame, path: str, order: str | None = None, mode: str = "o
     """Write ``df`` with a header; with ``order`` the files hold rows in that
     order (range-partitioned sort, part files in order)."""
     out = df.orderBy(order) if order else df
-    out.write.mode(mode).option("header", True).csv(path)
+    out.write.mode(mode).option("header", True).option("escape", '"').csv(path)
     return path
 
 

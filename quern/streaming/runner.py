@@ -20,7 +20,8 @@ def file_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame
     """Stream over a parquet folder (or one local parquet file)."""
     schema = spark.read.parquet(path).schema
     r = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-    if os.path.isfile(path):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isFile():
         base, name = os.path.dirname(path), os.path.basename(path)
         # a one-file glob keeps the file source happy (it wants a folder)
         return r.option("basePath", base).parquet(os.path.join(base, f"{name[:-1]}[{name[-1]}]"))
@@ -37,11 +38,12 @@ def run_to_table(stream: DataFrame, name: str, path: str | None = None, checkpoi
     ck = checkpoint or out + "_checkpoint"
     q = (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
          .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    try:
-        return spark.read.schema(stream.schema).parquet(out)
-    except Exception:  # noqa: BLE001 - no output files yet
-        return spark.createDataFrame([], stream.schema)
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
+        q.stop()
+        raise TimeoutError(f"stream {name} did not end in {timeout_s} s; its sink is not complete")
+    return spark.read.schema(stream.schema).parquet(out)
 
 
 def run_stream(stream: DataFrame, name: str, path: str | None = None, checkpoint: str | None = None,

@@ -76,3 +76,51 @@ def test_bursty_hot_key(spark):
             .rowsBetween(Window.unboundedPreceding, 0)
         exp = df.select("*", F.sum("v").over(w).alias("s"), F.max("v").over(w).alias("mx"))
         assert sorted(got.collect()) == sorted(exp.collect())
+
+
+def _hot(spark, kind):
+    """20,000 rows of one key (and a few of others) in an order that values
+    alone do not split: one value, one outlier, text, null."""
+    from pyspark.sql import functions as F
+    o = {"constant": F.lit(7), "outlier": F.when(F.col("id") == 0, F.lit(253402214400)).otherwise(F.col("id")),
+         "text": F.concat(F.lit("same long prefix "), F.format_string("%06d", (F.col("id") * 7919 % 20000).cast("int"))),
+         "null": F.lit(None).cast("long")}[kind]
+    return spark.range(20_000).select(F.when(F.col("id") % 100 == 5, F.col("id") % 7).cast("long").alias("k"), o.alias("o"), "id",
+                                      (F.col("id") % 13).alias("v"))
+
+
+@pytest.mark.parametrize("kind", ["constant", "outlier", "text", "null"])
+@pytest.mark.parametrize("keyed", [True, False])
+@pytest.mark.parametrize("desc", [False, True])
+def test_hot_keys_split_by_rank_of_the_whole_order(spark, monkeypatch, kind, keyed, desc):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from quern.plans import scan
+    written = []
+    keep = scan.materialize
+    monkeypatch.setattr(scan, "materialize", lambda d: (written.append(keep(d)), written[-1])[1])
+    df = _hot(spark, kind)
+    keys = ["k"] if keyed else []
+    got = scan.ordered_scan(df, keys, ["o", "id"], [scan.Agg("s", "sum", F.col("v")), scan.Agg("p", "last", F.col("id"), exclusive=True)],
+                            descending=desc, chunk_rows=1000)
+    by = [F.col(c).desc() if desc else F.col(c) for c in ("o", "id")]
+    w = Window.partitionBy(*keys).orderBy(*by)
+    want = df.select("id", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"), F.lag("id").over(w).alias("p"))
+    assert sorted(map(tuple, got.select("id", "s", "p").collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    ranged = next(d for d in written if scan._CH in d.columns)
+    assert ranged.groupBy(scan._CH).count().agg(F.max("count")).first()[0] <= 2000
+    assert ranged.select(scan._CH).distinct().count() >= 15
+
+
+def test_rows_whose_order_is_wholly_tied_still_split(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from quern.plans import scan
+    written = []
+    keep = scan.materialize
+    monkeypatch.setattr(scan, "materialize", lambda d: (written.append(keep(d)), written[-1])[1])
+    got = scan.row_index(_hot(spark, "constant"), [], ["o"], chunk_rows=1000)
+    assert sorted(r.rn for r in got.select("rn").collect()) == list(range(1, 20_001))
+    ranged = next(d for d in written if scan._CH in d.columns)
+    assert ranged.groupBy(scan._CH).count().agg(F.max("count")).first()[0] <= 2000
