@@ -10,11 +10,13 @@ runs in event time: a row behind the watermark is not applied to the state
 and comes out marked ``late`` (so late rows are counted, never silently
 change a key).
 Per-key state is removed by event-time timers (rate limit) or stays bounded
-by n, k or the span.
+by n, k or the span; the overlap operator keeps the distinct ends of a key's
+spans, which grow with the key's bookings.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 from typing import Iterator, Sequence
 
@@ -98,14 +100,13 @@ class MovingAverageProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         pdf = _frame(rows, self.order)
         got = self.win.get()
-        held = list(got[0]) if got is not None else []
-        means = np.empty(len(pdf))
-        for i, v in enumerate(pdf[self.val].to_numpy(dtype=float)):
-            held.append(float(v))
-            if len(held) > self.n:
-                held = held[-self.n:]
-            means[i] = sum(held) / len(held)
-        self.win.update((held,))
+        held = np.array(got[0] if got is not None else [], dtype=float)
+        vals = np.concatenate([held, pdf[self.val].to_numpy(dtype=float)])
+        padded = np.concatenate([np.full(self.n - 1, np.nan), vals])
+        windows = np.lib.stride_tricks.sliding_window_view(padded, self.n)[len(held):]
+        seen = np.count_nonzero(~np.isnan(windows), axis=1)  # null values are no part of a mean
+        means = np.where(seen > 0, np.nansum(windows, axis=1) / np.maximum(seen, 1), np.nan)
+        self.win.update((vals[-self.n:].tolist(),))
         out = _keys_frame(self.keys, key, len(pdf))
         out.update({self.id: pdf[self.id].to_numpy(), "moving_avg": means})
         yield pd.DataFrame(out)
@@ -127,14 +128,14 @@ class RecentCountProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         pdf = _frame(rows, [self.t, self.id])
         got = self.times.get()
-        held = list(got[0]) if got is not None else []
-        counts = np.empty(len(pdf), dtype=np.int64)
-        for i, t in enumerate(pdf[self.t].to_numpy()):
-            t = int(t)
-            held = [x for x in held if x >= t - self.span]
-            held.append(t)
-            counts[i] = len(held)
-        self.times.update((held,))
+        held = np.sort(np.array(got[0] if got is not None else [], dtype=np.int64))
+        t = pdf[self.t].to_numpy(dtype=np.int64)  # ascending
+        # held rows in [t - span, t] (a held row may be later than t: files out
+        # of order), and the batch's own rows up to this one
+        counts = (np.searchsorted(held, t, "right") - np.searchsorted(held, t - self.span, "left")
+                  + np.arange(1, len(t) + 1) - np.searchsorted(t, t - self.span, "left"))
+        seen = np.concatenate([held, t])
+        self.times.update((np.sort(seen[seen >= seen.max() - self.span]).tolist(),))
         out = _keys_frame(self.keys, key, len(pdf))
         out.update({self.id: pdf[self.id].to_numpy(), "recent": counts})
         yield pd.DataFrame(out)
@@ -156,13 +157,15 @@ class KthLargestProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         pdf = _frame(rows, self.order)
         got = self.top.get()
-        held = sorted(got[0], reverse=True) if got is not None else []
+        held = list(got[0]) if got is not None else []
+        heapq.heapify(held)
         res = np.empty(len(pdf))
         for i, v in enumerate(pdf[self.val].to_numpy(dtype=float)):
-            held.append(float(v))
-            held.sort(reverse=True)
-            held = held[: self.k]
-            res[i] = held[-1]
+            if len(held) < self.k:
+                heapq.heappush(held, float(v))
+            elif v > held[0]:
+                heapq.heapreplace(held, float(v))
+            res[i] = held[0]
         self.top.update((held,))
         out = _keys_frame(self.keys, key, len(pdf))
         out.update({self.id: pdf[self.id].to_numpy(), "kth_largest": res})
@@ -208,32 +211,36 @@ class LatestValueProcessor(StatefulProcessor):
 
 
 class MaxOverlapProcessor(StatefulProcessor):
-    """Most bookings open at once (half-open spans) after each booking;
-    state: the key's held spans."""
+    """Most bookings open at once (half-open spans) after each booking; state:
+    the key's span ends in order with the number of spans open from each, and
+    the most so far.  A booking only raises the counts between its own ends."""
 
     def __init__(self, keys, order, id_col, start, end):
         self.keys, self.order, self.id, self.start, self.end = list(keys), list(order), id_col, start, end
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.spans = handle.getValueState("spans", "st array<long>, en array<long>")
+        self.spans = handle.getValueState("spans", "at array<long>, open array<long>, most long")
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = _frame(rows, self.order)
         got = self.spans.get()
-        st = list(got[0]) if got is not None else []
-        en = list(got[1]) if got is not None else []
+        start, end = (pdf[c].to_numpy(dtype=np.int64) for c in (self.start, self.end))
+        live = start < end  # an empty or inverted span holds nothing
+        old = np.array(got[0] if got is not None else [], dtype=np.int64)
+        at = np.unique(np.concatenate([old, start[live], end[live]]))
+        count = np.zeros(len(at), dtype=np.int64)
+        if len(old):  # a new end takes over the count of the segment it falls in
+            k = np.searchsorted(old, at, "right") - 1
+            count = np.where(k >= 0, np.array(got[1], dtype=np.int64)[np.maximum(k, 0)], 0)
+        most = int(got[2]) if got is not None else 0
         res = np.empty(len(pdf), dtype=np.int64)
-        for i, (s, e) in enumerate(zip(pdf[self.start].to_numpy(), pdf[self.end].to_numpy())):
-            st.append(int(s))
-            en.append(int(e))
-            live = [(a, b) for a, b in zip(st, en) if a < b]  # an empty or inverted span holds nothing
-            ev = sorted([(a, 1) for a, _ in live] + [(b, -1) for _, b in live], key=lambda p: (p[0], p[1]))
-            run = best = 0
-            for _, dlt in ev:
-                run += dlt
-                best = max(best, run)
-            res[i] = best
-        self.spans.update((st, en))
+        lo, hi = np.searchsorted(at, start), np.searchsorted(at, end)
+        for i in range(len(pdf)):
+            if live[i]:
+                count[lo[i]:hi[i]] += 1
+                most = max(most, int(count[lo[i]:hi[i]].max()))
+            res[i] = most
+        self.spans.update((at.tolist(), count.tolist(), most))
         out = _keys_frame(self.keys, key, len(pdf))
         out.update({self.id: pdf[self.id].to_numpy(), "max_overlap": res})
         yield pd.DataFrame(out)
