@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from . import bpe, quality_gam
 from .common import read
-from .license_scan import scan
+from .license_scan import PHRASES, TEMPLATES, scan
 from .line_dedup import dedup_lines
 from .mixing import mix
-from .quality_rules import quality
+from .quality_rules import BOILERPLATE, NAVIGATION, SYMBOLS, quality
 from .secret_scan import secrets
 from .simhash import components
 from .sketch import fingerprint_pairs
@@ -74,7 +74,32 @@ def op9_url_rules(spark, sf_dir):
     return filter_urls(read(spark, sf_dir, "pages"))
 
 
-@query("op6_line_quality")
+_LINE_SYMBOLS = SYMBOLS + "!{}=_~^\\"
+
+
+@query("op6_line_quality", rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+win AS (SELECT rid, i, array_to_string(ws[i:i + 4], ' ') AS g
+        FROM (SELECT rid, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)),
+rep AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM win) WHERE c > 1),
+cov AS (SELECT rid, count(DISTINCT p) AS n_repeat FROM (SELECT rid, unnest(range(i, i + 5)) AS p FROM rep) GROUP BY rid),
+lines AS (SELECT rid, unnest(string_split(t, chr(10))) AS x FROM d),
+judged AS (SELECT rid, x, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS n,
+                  length(x) - length(translate(x, '{_LINE_SYMBOLS}', '')) AS symbols,
+                  length(regexp_replace(x, '[^\p{{L}}]', '', 'g')) AS letters, length(regexp_replace(x, '[^\p{{Lu}}]', '', 'g')) AS capitals,
+                  len(list_distinct(regexp_extract_all(x, '[^\x20\x09-\x0D]+'))) AS uniq FROM lines),
+per AS (SELECT rid, sum(CASE WHEN symbols * 10 > length(x) OR (letters >= 20 AND capitals * 10 > letters * 6)
+                               OR (n >= 10 AND uniq * 100 < n * 30) OR regexp_matches(x, '{NAVIGATION}')
+                               OR regexp_matches(x, '{BOILERPLATE}') THEN n ELSE 0 END) AS lost,
+               count(*) FILTER (n > 0) - count(DISTINCT x) FILTER (n > 0) AS n_dup FROM judged GROUP BY rid),
+r AS (SELECT doc_id, len(ws) AS n_words, length(translate(t, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) AS word_chars,
+             length(t) - length(translate(t, '{SYMBOLS}', '')) AS n_symbols, n_dup AS n_dup_lines,
+             coalesce(n_repeat, 0) AS n_repeat_words, lost FROM w JOIN per USING (rid) LEFT JOIN cov USING (rid)),
+f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM r)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND lost <= n_words * 0.3::DOUBLE AS kept FROM f
+""")
 def op6_line_quality(spark, sf_dir):
     return quality(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -85,7 +110,30 @@ def op1_simhash_near_dedup(spark, sf_dir):
     return components(read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
-@query("op5_license_scan")
+_PHRASE_ROWS = ", ".join(f"('{p}', '{label}')" for p, label in PHRASES)
+_TEMPLATE_ROWS = ", ".join(f"({i}, '{label}', '{body}')" for i, (label, body) in enumerate(TEMPLATES))
+_LOWER_WORDS = r"regexp_extract_all(translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query("op5_license_scan", f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rid, doc_id, t, {_LOWER_WORDS.format(x='t')} AS ws FROM d),
+phrases(phrase, label) AS (VALUES {_PHRASE_ROWS}),
+p AS (SELECT string_split(phrase, ' ') AS ps, label FROM phrases),
+places AS (SELECT rid, i - 1 AS i, label FROM (SELECT rid, ws, unnest(range(1, len(ws) + 1)) AS i FROM w) x
+       JOIN p ON ws[i] = ps[1] AND ws[i:i + len(ps) - 1] = ps),
+base AS (SELECT rid, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list_sort(list(DISTINCT label)) AS labels FROM places GROUP BY rid),
+templates(k, label, body) AS (VALUES {_TEMPLATE_ROWS}),
+t AS (SELECT k, label, list_distinct(string_split(body, ' ')) AS ts FROM templates),
+lines AS (SELECT rid, {_LOWER_WORDS.format(x='line')} AS lw FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d)),
+m AS (SELECT rid, label, len(list_intersect(ts, lw)) AS held, len(ts) AS n FROM lines JOIN t ON list_has_any(lw, ts)),
+more AS (SELECT rid, list(DISTINCT label) AS labels, max(held::DOUBLE / n) AS held FROM m WHERE held >= ceil(0.8::DOUBLE * n - 1e-9) GROUP BY rid)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       array_to_string(coalesce(base.labels, []), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(more.labels, [])))), ',') AS labels,
+       greatest(CASE WHEN coalesce(n_base, 0) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END, coalesce(more.held, 0.0::DOUBLE)) AS score
+FROM w LEFT JOIN base USING (rid) LEFT JOIN more USING (rid)
+""")
 def op5_license_scan(spark, sf_dir):
     return scan(read(spark, sf_dir, "documents"))
 
