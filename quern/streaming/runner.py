@@ -21,7 +21,8 @@ def file_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame
     schema = spark.read.parquet(path).schema
     r = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isFile():
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(where) and fs.getFileStatus(where).isFile():
         base, name = os.path.dirname(path), os.path.basename(path)
         # a one-file glob keeps the file source happy (it wants a folder)
         return r.option("basePath", base).parquet(os.path.join(base, f"{name[:-1]}[{name[-1]}]"))
