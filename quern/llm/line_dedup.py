@@ -15,12 +15,19 @@ words are deleted, save for their first occurrence.
    at most ``min_words`` lines each way.  Within a run the selected grams lie
    closer than that, so neighbouring extensions meet and together give the
    maximal run, while one row stays small whatever the documents' lengths.
-5. Runs with ``min_words`` words or more are deleted from the later document.
+5. A place whose lines differ from the first place's within ``min_words`` words
+   of the gram may repeat another place instead.  Such a place names the least
+   runs of ``min_words`` words that hold its gram by a hash of their lines, and
+   these are joined with their own first place among the places of this kind.
+   Each fingerprint's places that agree with its first place all round need no
+   second look, nor does a fingerprint with two places.
+6. Runs with ``min_words`` words or more are deleted from the later document.
    Every deleted line has an equal line at an earlier place, so the first
    occurrence of any line stays.
 
-A run is looked up at the first place of its fingerprints: if that place has
-the gram but not the rest of the run, the run counts as far as it agrees there.
+Together the lines deleted are those of every run of ``min_words`` words or more
+that also stands at an earlier place: each line of such a run lies in a least
+run inside it, which holds a fingerprint of both places.
 
 Texts are read twice (to hash lines, to delete them); all joins between are on
 lines' hashes.  Line hashes are cut into overlapping blocks, so a document of
@@ -84,16 +91,40 @@ def _agree(top: Column, differs) -> Column:
     return F.when(top < 1, F.lit(0)).otherwise(F.coalesce(F.array_min(bad), top))
 
 
+def _least_runs(at: Column, min_words: int) -> Column:
+    """The least runs of ``min_words`` words around the line ``ib`` of a block, as
+    array of (key, at, raw): those that start there or before, shortest from each
+    first line, and the shortest to each last line that none of these ends with."""
+    lo = F.greatest(F.lit(0), F.col("ib") - min_words)
+    r = F.col("ib") - lo
+
+    def runs(p: Column) -> Column:  # p: words before each line of the stretch
+        last = F.size(p) - 1
+        ahead = F.transform(F.filter(F.sequence(F.lit(0), r), lambda s: F.get(p, r) - F.get(p, s) < min_words),
+                            lambda s: F.struct(s.alias("s"), F.size(F.filter(p, lambda x: x < F.get(p, s) + min_words)).alias("e")))
+        to = F.transform(F.sequence(r + 1, last), lambda e: F.struct(
+            (F.size(F.filter(p, lambda x: x <= F.get(p, e) - min_words)) - 1).alias("s"), e.alias("e")))
+        long = F.filter(to, lambda x: (x["s"] >= 0) & (x["s"] <= r) & (F.get(p, x["e"] - 1) - F.get(p, x["s"]) >= min_words))
+        return F.concat(F.filter(ahead, lambda x: x["e"] <= last), long)
+
+    stretch = F.slice("b_w", lo + 1, r + min_words)
+    before = F.aggregate(stretch, F.array(F.lit(0)), lambda a, x: F.array_append(a, F.element_at(a, -1) + x))
+    return F.transform(let(before, runs), lambda x: F.struct(
+        F.xxhash64(F.slice("b_h", lo + x["s"] + 1, x["e"] - x["s"])).alias("key"), (at + lo + x["s"]).alias("at"),
+        F.slice("b_raw", lo + x["s"] + 1, x["e"] - x["s"]).alias("raw")))
+
+
 def repeated_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """(doc_id, th, gone): numbers of the lines to delete, per document."""
     seqs = materialize(line_hashes(docs))
     marks = materialize(fingerprints(seqs, min_words // 2))
     place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("th"), F.col("pos"))
     first = (marks.groupBy(F.col("gram").alias("g")).agg(F.min(place).alias("f"), F.count(F.lit(1)).alias("times"))
-             .where("times > 1").select("g", F.col("f.doc_id").alias("fd"), F.col("f.th").alias("ft"), F.col("f.pos").alias("fp")))
+             .where("times > 1").select("g", F.col("f.doc_id").alias("fd"), F.col("f.th").alias("ft"), F.col("f.pos").alias("fp"),
+                                        (F.col("times") > 2).alias("others")))
     met = (marks.join(first, F.col("gram") == F.col("g"))
            .where(~(F.col("doc_id").eqNullSafe(F.col("fd")) & (F.col("th") == F.col("ft")) & (F.col("pos") == F.col("fp"))))
-           .select(*_KEY, "pos", "fd", "ft", "fp"))
+           .select(*_KEY, "pos", "fd", "ft", "fp", "others"))
     blocks = _blocks(seqs, min_words)
     here = blocks.select(*[F.col(c).alias(f"b_{c}") for c in blocks.columns])
     there = blocks.select(*[F.col(c).alias(f"a_{c}") for c in blocks.columns if c not in ("raw", "w")])
@@ -108,9 +139,22 @@ def repeated_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
                    lambda d: F.get("b_h", F.col("ib") + d) != F.get("a_h", F.col("ia") + d))
     runs = pairs.withColumn("back", back.cast("int")).withColumn("ahead", ahead.cast("int"))
     start, n = F.col("ib") - F.col("back") + 1, F.col("back") + F.col("ahead")
-    total = F.aggregate(F.slice("b_w", start, n), F.lit(0), lambda a, x: a + x)
-    return (runs.where(total >= min_words).select(*_KEY, F.explode(F.slice("b_raw", start, n)).alias("raw")).distinct()
-            .groupBy(*_KEY).agg(F.collect_list("raw").alias("gone")))
+    total = lambda first, count: F.aggregate(F.slice("b_w", first, count), F.lit(0), lambda a, x: a + x)
+    # All round: as far as the document goes, or far enough for every least run that holds the gram.
+    all_back = (F.col("back") == F.least("ib", F.lit(min_words))) | (total(start, F.col("back")) >= min_words)
+    all_ahead = ((F.col("ahead") == F.least(F.size("b_h") - F.col("ib"), F.lit(min_words)))
+                 | (total(F.col("ib") + 2, F.greatest(F.col("ahead") - 1, F.lit(0))) >= min_words))
+    looked = materialize(runs.select(
+        *_KEY, F.when(total(start, n) >= min_words, F.slice("b_raw", start, n)).alias("found"),
+        F.when(F.col("others") & ~(all_back & all_ahead), _least_runs(F.col("b_lo"), min_words)).alias("tries"))
+        .where("found IS NOT NULL OR size(tries) > 0"))
+    tries = looked.select(*_KEY, F.explode("tries").alias("t")).select(*_KEY, "t.key", "t.at", "t.raw")
+    earliest = (tries.groupBy(F.col("key").alias("k"))
+                .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("th"), F.col("at"))).alias("f")))
+    later = (tries.join(earliest, F.col("key") == F.col("k"))
+             .where(~(F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("th") == F.col("f.th")) & (F.col("at") == F.col("f.at")))))
+    return (looked.select(*_KEY, F.explode("found").alias("raw")).unionByName(later.select(*_KEY, F.explode("raw").alias("raw")))
+            .distinct().groupBy(*_KEY).agg(F.collect_list("raw").alias("gone")))
 
 
 def dedup_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
