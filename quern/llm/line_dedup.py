@@ -149,8 +149,10 @@ def repeated_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
         F.when(F.col("others") & ~(all_back & all_ahead), _least_runs(F.col("b_lo"), min_words)).alias("tries"))
         .where("found IS NOT NULL OR size(tries) > 0"))
     tries = looked.select(*_KEY, F.explode("tries").alias("t")).select(*_KEY, "t.key", "t.at", "t.raw")
-    earliest = (tries.groupBy(F.col("key").alias("k"))
-                .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("th"), F.col("at"))).alias("f")))
+    at = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("th"), F.col("at"))
+    # A plain table: the places of a run that stands everywhere can then be split in the join.
+    earliest = materialize(tries.groupBy(F.col("key").alias("k")).agg(F.min(at).alias("f"), F.max(at).alias("to"))
+                           .where(F.col("f") != F.col("to")).select("k", "f"))
     later = (tries.join(earliest, F.col("key") == F.col("k"))
              .where(~(F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("th") == F.col("f.th")) & (F.col("at") == F.col("f.at")))))
     return (looked.select(*_KEY, F.explode("found").alias("raw")).unionByName(later.select(*_KEY, F.explode("raw").alias("raw")))
