@@ -8,9 +8,9 @@ reach.
 
 Search: Hamming distance over a block of the bits is a metric too, and of two
 fingerprints within ``max_bits`` at least one of ``blocks`` equal blocks is
-within ``max_bits // blocks``.  So there is one vantage-point tree per block
-(``blocks=1``: a single tree over all bits).  A node of a tree splits its
-values by their distance to a vantage point at the median; a fingerprint is
+within ``max_bits // blocks``.  So there is one vantage-point tree per block, of
+``WIDEST`` bits at most (a tree is laid out over all values of its block).  A
+node of a tree splits its values by their distance to a vantage point at the median; a fingerprint is
 stored in one leaf (shard) and also sent, as a query, to every shard whose
 side of a split the triangle bound cannot rule out.  Narrow blocks make the
 bound sharp: with 16-bit blocks and radius 1 a query visits at most 17 leaves
@@ -50,6 +50,7 @@ from ..operators.graph import connected_components
 from ..plans.loops import materialize
 
 BITS = 64
+WIDEST = 16
 TASKS = 1 << 13  # stored parts, and query parts, of one shard at most
 _HASH = functools.partial(xxhash.xxh64_intdigest, seed=42)
 
@@ -164,8 +165,10 @@ def near_links(fps: DataFrame, max_bits: int = 4, blocks: int = 4, per_shard: in
                seed: int = 7) -> DataFrame:
     """(a, b) links that join every two of the distinct fingerprints ``fps``
     (column fp) within ``max_bits``, directly or through others."""
-    n = fps.count()
     width = BITS // blocks
+    if BITS % blocks or width > WIDEST:
+        raise ValueError(f"{blocks} blocks: {BITS} bits need equal blocks of {WIDEST} bits or fewer")
+    n = fps.count()
     leaves = max(1, min(1 << width, -(-n // per_shard)))
     plan = (blocks, max_bits // blocks, leaves, seed)
 

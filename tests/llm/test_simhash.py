@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 from llm_fixtures import WORD, edge_docs, empty_docs
 
@@ -102,3 +103,10 @@ def test_keep_one_leaves_one_row_of_each_group(spark):
     want = sorted({c for d, _, c in slow_components(rows) if c is not None and d is not None})
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == want
     assert kept.where("doc_id is null").count() == 2
+
+
+def test_blocks_wider_than_a_tree_can_hold_raise(spark):
+    fps = spark.createDataFrame([(1,), (2,)], "fp long")
+    for blocks in (1, 2, 3):
+        with pytest.raises(ValueError):
+            simhash.near_links(fps, blocks=blocks)
