@@ -2,8 +2,8 @@
 
 Every algorithm is a driver loop of whole-table joins and aggregates; each
 round is checkpointed (lineage cut) and the loop stops on a count of changed
-rows, with a round cap that raises.  Hub nodes are handled by partial
-aggregation and AQE skew joins; no adjacency list is ever gathered.
+rows.  Hub nodes are handled by partial aggregation and AQE skew joins; no
+adjacency list is ever gathered.
 """
 
 from __future__ import annotations
@@ -78,20 +78,26 @@ def bfs_distance(edges: DataFrame, sources: DataFrame, src: str = "src", dst: st
     e = materialize(edges.select(F.col(src).alias("s"), F.col(dst).alias("d")).distinct())
     front = materialize(sources.select(F.col(sources.columns[0]).alias("node")).distinct()
                         .select("node", F.lit(0).cast("long").alias("dist"), F.lit(1).cast("long").alias("paths")))
-    found = [front]
-    seen = front
+    found, sizes = [front], [0]
     r = 0
     while True:
         r += 1
+        seen = union_all(found)
         nxt = (front.join(e, front["node"] == e["s"]).groupBy(F.col("d").alias("node"))
                .agg(F.sum("paths").alias("paths")))
-        nxt = materialize(nxt.join(seen.select("node"), "node", "left_anti")
-                          .select("node", F.lit(r).cast("long").alias("dist"), "paths"))
-        if nxt.count() == 0:
+        front = materialize(nxt.join(seen.select("node"), "node", "left_anti")
+                            .select("node", F.lit(r).cast("long").alias("dist"), "paths"))
+        n = front.count()
+        if n == 0:
             break
-        found.append(nxt)
-        seen = union_all(found)
-        front = nxt
+        found.append(front)
+        sizes.append(n)
+        # Visited rounds are merged by size, so a long path keeps few tables and a row is rewritten log n times.
+        k = len(sizes) - 1
+        while k and sizes[k - 1] <= sum(sizes[k:]):
+            k -= 1
+        if len(sizes) - k > 2:
+            found[k:], sizes[k:] = [materialize(union_all(found[k:]))], [sum(sizes[k:])]
     if nodes is None:
         nodes = e.select(F.col("s").alias("node")).unionByName(e.select(F.col("d").alias("node")))
     allnodes = nodes.select(F.col(nodes.columns[0]).alias("node")).unionByName(seen.select("node")).distinct()
@@ -101,16 +107,18 @@ def bfs_distance(edges: DataFrame, sources: DataFrame, src: str = "src", dst: st
 def shortest_paths(edges: DataFrame, sources: DataFrame, src: str = "src", dst: str = "dst", w: str = "w",
                    max_rounds: int | None = None) -> DataFrame:
     """Least total weight from the sources (non-negative or not: Bellman-Ford
-    rounds of join + min until nothing improves; the cap is the node count)."""
+    rounds of join + min until nothing improves; the cap is the node count).
+    A round follows the edges of the nodes that the last one improved."""
     e = materialize(edges.groupBy(F.col(src).alias("s"), F.col(dst).alias("d")).agg(F.min(w).alias("w")))
     dist = materialize(sources.select(F.col(sources.columns[0]).alias("node")).distinct()
                        .select("node", F.lit(0).cast("long").alias("dist")))
     cap = max_rounds or (e.select(F.col("s").alias("n")).union(e.select(F.col("d").alias("n"))).distinct().count() + 1)
+    front = dist
     r = 0
     while True:
         check_cap(r, cap, "shortest_paths")
         r += 1
-        cand = dist.join(e, dist["node"] == e["s"]).groupBy(F.col("d").alias("node")).agg(
+        cand = front.join(e, front["node"] == e["s"]).groupBy(F.col("d").alias("node")).agg(
             F.min(F.col("dist") + F.col("w")).alias("cand"))
         new = materialize(dist.join(cand, "node", "full").select(
             "node", F.least("dist", "cand").alias("dist"),
@@ -119,6 +127,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, src: str = "src", dst:
         dist = new.select("node", "dist")
         if changed == 0:
             return dist
+        front = new.where("_better").select("node", "dist")
 
 
 def delay_answer(dist: DataFrame, nodes: DataFrame) -> DataFrame:

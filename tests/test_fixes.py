@@ -174,3 +174,19 @@ def test_stream_processors_over_many_batches():
         vals = [v for _, _, _, v in seen[-4:] if v is not None]
         assert mean[i] == pytest.approx(sum(vals) / len(vals)) if vals else np.isnan(mean[i])
         assert third[i] == sorted((b for _, _, b, _ in seen), reverse=True)[:3][-1]
+
+
+def test_long_path_distances(spark):
+    edges = [(i, i + 1, 2) for i in range(40)] + [(0, 20, 30), (0, 30, 100), (5, 3, 1), (40, 0, 1)]
+    e = spark.createDataFrame(edges, "src long, dst long, w long")
+    start = spark.createDataFrame([(0,)], "node long")
+    hops, ways, cost = {0: 0}, {0: 1}, {n: (0 if n == 0 else 10 ** 9) for n in range(41)}
+    for r in range(41):
+        for a, b, _ in edges:
+            if hops.get(a) == r and hops.get(b, r + 1) == r + 1:
+                hops[b] = r + 1
+                ways[b] = ways.get(b, 0) + ways[a]
+        for a, b, w in edges:
+            cost[b] = min(cost[b], cost[a] + w)
+    assert {r.node: (r.dist, r.paths) for r in gr.bfs_distance(e, start).collect()} == {n: (hops[n], ways[n]) for n in hops}
+    assert {r.node: r.dist for r in gr.shortest_paths(e, start).collect()} == cost
