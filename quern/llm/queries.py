@@ -140,7 +140,7 @@ def op5_license_scan(spark, sf_dir):
 
 @query("op7_scaled_sketch")
 def op7_scaled_sketch(spark, sf_dir):
-    return fingerprint_pairs(read(spark, sf_dir, "documents"))
+    return fingerprint_pairs(read(spark, sf_dir, "documents"), scale=2)
 
 
 @query("op10_line_dedup")

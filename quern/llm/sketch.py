@@ -12,6 +12,13 @@ is left, so it stays exact.
 A shingle's hash is the xxhash64 of its words' xxhash64 values.  A text of
 fewer than five words is one shingle; one without words has an empty sketch.
 Likeness is the Jaccard estimate of two sketches; two empty ones are alike.
+A sketch tells all hashes below the threshold or, when it holds only its least
+one, up to that.  Containment is taken over the range both sketches tell and
+is null where that range holds none of a's hashes; likeness is the same over
+that range as over the sketches, since a lone hash above it is never shared.
+
+The scale sets the error: 16 leaves a text of less than 100 words a handful of
+hashes, 2 halves the text's shingles (the query's).
 
 ``next_documents`` gives every row the text and sketch of the next document by
 ascending id with one shuffle of the texts: rows are grouped by id // 64, at
@@ -61,9 +68,13 @@ def merge(a: Column, b: Column, scale: int = SCALE) -> Column:
         lambda s: F.when((F.size(s) > 0) | (F.size(u) == 0), s).otherwise(F.array(F.array_min(u)))))
 
 
-def containment(a: Column, b: Column) -> Column:
-    """Estimated share of a's shingles that b has."""
-    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
+def containment(a: Column, b: Column, scale: int = SCALE) -> Column:
+    """Estimated share of a's shingles that b has; null where b's sketch does
+    not tell (a holds only its least hash, above what b tells of)."""
+    told = F.greatest(F.coalesce(F.array_min(b), F.lit((1 << 63) - 1)), F.lit(threshold(scale) - 1))
+    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(let(told, lambda t: let(
+        F.filter(a, lambda x: x <= t),
+        lambda s: F.when(F.size(s) > 0, F.size(F.array_intersect(s, b)) / F.size(s)))))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -106,13 +117,13 @@ def next_documents(docs: DataFrame, value: Column) -> DataFrame:
 def fingerprint_pairs(docs: DataFrame, scale: int = SCALE) -> DataFrame:
     """Sketch of each document, of its edited text (the last quarter replaced by
     the next document's beginning), and the likeness to that and to the next."""
-    rows = next_documents(docs, sketch(F.col("text"), scale))
+    # The sketches are made after the shuffle: of random hashes, they would fill it more than the texts.
+    rows = next_documents(docs, F.lit(0))
     n = F.length("text")
     q = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - q), F.substring(F.col("next.text"), F.lit(1), q))
-    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), "value", F.col("next.value").alias("next_value"),
-                       edited.alias("edited"))
-    rows = rows.select("*", sketch(F.col("edited"), scale).alias("edited_value"))
+    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), sketch(F.col("text"), scale).alias("value"),
+                       sketch(F.col("next.text"), scale).alias("next_value"), sketch(edited, scale).alias("edited_value"))
     return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
                        as_text(F.col("value")).alias("fingerprint"), as_text(F.col("edited_value")).alias("edited_fingerprint"),
                        likeness(F.col("value"), F.col("edited_value")).alias("near_edited"),

@@ -72,3 +72,36 @@ def test_merge_is_the_sketch_of_both(spark):
     assert row.m == sorted(x for x in hs["a"] | hs["b"] if x < sketch.threshold(16))
     part = df.select(sketch.containment(sketch.sketch(F.expr("substr(a, 1, 1200)")), sketch.sketch(F.col("a"))).alias("c")).first()
     assert part.c > 0.9
+
+
+def test_containment_where_a_sketch_does_not_tell(spark):
+    low, high, higher = -(1 << 63) + 5, 7, 9  # below and above the threshold
+    cases = [([high], [low], None), ([low], [high], 0.0), ([high], [high], 1.0), ([high], [higher], 0.0), ([higher], [high], None),
+             ([], [high], 1.0), ([low], [], 0.0), ([low, low + 1], [low], 0.5)]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(cases)], "i int, a array<long>, b array<long>")
+    got = {r.i: r.c for r in df.select("i", sketch.containment(F.col("a"), F.col("b")).alias("c")).collect()}
+    assert [got[i] for i in range(len(cases))] == [c for _, _, c in cases]
+
+
+def test_query_is_near_the_exact_jaccard(spark, tmp_path):
+    """The query's likeness against the Jaccard of the shingles themselves, on short and long texts."""
+    import random
+
+    from quern.llm.queries import QUERIES
+    rng = random.Random(11)
+    sizes = [20, 40, 80, 150, 400, 2000]
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(sizes[i % 6])) for i in range(600)]
+    docs_of(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+
+    def grams(t):
+        w = WORD.findall(t)
+        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+    got = {r.doc_id: r for r in QUERIES["op7_scaled_sketch"](spark, str(tmp_path)).collect()}
+    errors, zeros = {n: [] for n in sizes}, 0
+    for i, t in enumerate(texts):
+        edited = t[: len(t) - len(t) // 4] + texts[(i + 1) % len(texts)][: len(t) // 4]
+        true = jaccard(grams(t), grams(edited))
+        errors[sizes[i % 6]].append(abs(got[i].near_edited - true))
+        zeros += true >= 0.5 and got[i].near_edited == 0
+    mean = {n: sum(e) / len(e) for n, e in errors.items()}
+    assert zeros == 0 and max(mean[n] for n in sizes[:3]) < 0.12 and max(mean[n] for n in sizes[3:]) < 0.05, (zeros, mean)
