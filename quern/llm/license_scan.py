@@ -1,8 +1,13 @@
 """License scans: exact set-similarity join of text blocks with license templates.
 
 Base: places where a phrase's words stand one after another.  The method adds
-labels: a block (a line) gets a template's label when it holds at least
-``threshold`` of the template's distinct words.
+labels: a block gets a template's label when it holds at least ``threshold``
+of the template's distinct words.  A block is a line, or the words around the
+end of a line: its last and the next following words (of as many lines as that
+takes), each as many as the longest template has, so that a wrapped notice
+stands in one block.  Lines without words are passed over.  Across a line end
+the template's beginning is looked for before it and its rest after it, so that
+words of a neighbouring line do not complete another notice.
 
 1. Words of the templates are counted over the whole corpus and put in one
    global order, rarest first (a table of template words, a parameter's size).
@@ -44,7 +49,6 @@ TEMPLATES = [
     ("reserved", "all rights reserved no part may be reproduced without permission"),
 ]
 
-
 def word_count(pieces: Column) -> Column:
     """Words among the pieces of a split (its first and last may be empty)."""
     n = F.size(pieces)
@@ -74,6 +78,23 @@ def _phrase_places(w: Column, phrase: str) -> Column:
         F.array().cast("array<int>"))
 
 
+def wrapped(text: Column, longest: int, ordered: Column, prefix: Column) -> Column:
+    """Per line end with a prefix word around it: the words of ``ordered`` among
+    the last ``longest`` words of the line (before), as many following it (after)
+    and both (known)."""
+    def around(lines: Column) -> Column:
+        heads = F.transform(lines, lambda w: F.slice(w, 1, longest))
+        def block(i: Column, h: Column) -> Column:
+            w = F.get(lines, i)
+            tail = F.slice(w, F.greatest(F.size(w) - longest + 1, F.lit(1)), F.lit(longest))
+            after = F.slice(F.flatten(F.slice(h, i + 2, F.lit(longest))), 1, longest)
+            return F.struct(F.array_intersect(ordered, tail).alias("before"), F.array_intersect(ordered, after).alias("after"),
+                            F.array_intersect(ordered, F.concat(tail, after)).alias("known"))
+        known = let(heads, lambda h: F.transform(F.sequence(F.lit(0), F.size(lines) - 2), lambda i: block(i, h)))
+        return F.when(F.size(lines) > 1, F.filter(known, lambda k: F.arrays_overlap(k["known"], prefix)))
+    return let(F.filter(F.transform(F.split(text, "\n"), exact_words), lambda w: F.size(w) > 0), around)
+
+
 def block_matches(docs: DataFrame, templates, order: list[str], threshold: float) -> DataFrame:
     """(doc_id, th, block, label, held): blocks that meet a template's threshold."""
     rank = {w: i for i, w in enumerate(order)}
@@ -82,22 +103,34 @@ def block_matches(docs: DataFrame, templates, order: list[str], threshold: float
         t = sorted(set(body.split()), key=rank.get)
         need = math.ceil(threshold * len(t) - 1e-9)
         for i, w in enumerate(t[: len(t) - need + 1]):
-            rows.append((number, label, w, i, need, " ".join(t)))
+            rows.append((number, label, w, i, need, " ".join(t), body))
             prefix_words.add(w)
     spark: SparkSession = docs.sparkSession
-    table = (literal_table(spark, rows, [("number", "int"), ("label", "string"), ("word", "string"), ("i", "int"), ("need", "int"), ("body", "string")])
-             .withColumn("t", F.split("body", " ")).drop("body"))
+    table = (literal_table(spark, rows, [("number", "int"), ("label", "string"), ("word", "string"), ("i", "int"), ("need", "int"), ("sorted", "string"), ("body", "string")])
+             .withColumns({"t": F.split("sorted", " "), "body": F.split("body", r"\s+")}).drop("sorted"))
     prefix = F.array(*[F.lit(w) for w in sorted(prefix_words)])
     hit = docs.where(F.arrays_overlap(F.split(F.lower("text"), SEPARATORS), prefix))
-    blocks = (hit.select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n")).alias("block", "line"))
-              .where(F.arrays_overlap(F.split(F.lower("line"), SEPARATORS), prefix))
-              .select("doc_id", "th", "block", F.array_distinct(exact_words(F.col("line"))).alias("words"))
-              .select("doc_id", "th", "block", F.size("words").alias("n"),
-                      F.array_intersect(F.array(*[F.lit(w) for w in order]), F.col("words")).alias("known")))
+    ordered = F.array(*[F.lit(w) for w in order])
+    lines = (hit.select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n")).alias("block", "line"))
+             .where(F.arrays_overlap(F.split(F.lower("line"), SEPARATORS), prefix))
+             .select("doc_id", "th", "block", F.array_distinct(exact_words(F.col("line"))).alias("words"))
+             .select("doc_id", "th", "block", F.size("words").alias("n"), F.array_intersect(ordered, F.col("words")).alias("known"))
+             .withColumns({"before": F.col("known"), "after": F.col("known")}))
+    longest = max(len(body.split()) for _, body in templates)
+    # Blocks across line ends are numbered -1, -2, ...; only their template words leave the row.
+    across = (hit.where(F.instr("text", "\n") > 0)
+              .select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(wrapped(F.col("text"), longest, ordered, prefix)).alias("at", "around"))
+              .select("doc_id", "th", (-1 - F.col("at")).alias("block"), F.size("around.known").alias("n"), "around.known", "around.before", "around.after"))
+    blocks = lines.unionByName(across)
     meets = blocks.select("*", F.explode(F.array_intersect(F.col("known"), prefix)).alias("w")).join(table, F.col("w") == F.col("word"))
     left = F.least(F.size("t") - F.col("i"), F.size("known") - F.array_position("known", F.col("word")).cast("int") + 1)
     pairs = meets.where((F.col("n") >= F.col("need")) & (left >= F.col("need")))
-    held = F.size(F.array_intersect("t", "known"))
+    # The template is cut at every word: its first part before the line end, the rest after it (for a line, both are the line).
+    def parts(c: Column) -> Column:
+        first = F.array_intersect(F.slice("body", F.lit(1), c), F.col("before"))
+        rest = F.array_intersect(F.slice("body", c + 1, F.size("body")), F.col("after"))
+        return F.when(F.size(first) > 0, F.size(F.array_union(first, rest))).otherwise(0)
+    held = F.array_max(F.transform(F.sequence(F.lit(1), F.size("body")), parts))
     return (pairs.select("doc_id", "th", "block", "number", "label", "need", F.size("t").alias("size"), held.alias("held"))
             .where(F.col("held") >= F.col("need")).select("doc_id", "th", "block", "number", "label", (F.col("held") / F.col("size")).alias("held"))
             .distinct())

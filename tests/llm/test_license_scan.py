@@ -57,3 +57,17 @@ def test_edges(spark):
     assert ls.scan(empty_docs(spark)).collect() == []
     bare = ls.scan(docs_of(spark, ["cc by", "x"]), phrases=[], templates=[]).collect()
     assert sorted((r.doc_id, r.n_words, r.n_base, r.labels) for r in bare) == [(0, 2, 0, ""), (1, 1, 0, "")]
+
+
+BSD = "Redistribution and use in source and binary forms, with or without{}modification, are permitted provided that"
+
+
+def test_wrapped_notices(spark):
+    lorem = " ".join(f"z{i}" for i in range(300))
+    cases = [(BSD.format("\n"), "bsd", 1.0), (BSD.format(" "), "bsd", 1.0), (f"{lorem}\n{lorem} {BSD.format(chr(10))} {lorem}\n{lorem}", "bsd", 1.0),
+             (BSD.format("\r\n").replace(" ", "\n# "), "bsd", 1.0), (BSD.format("\n\n * \n"), "bsd", 1.0),
+             (f"x\n{BSD.format(chr(10))}\nLicensed under the\nApache License,\nVersion 2.0\n", "apache,bsd", 1.0),
+             (BSD.format("\n" + lorem + "\n"), "", 0.0), ("und mit dem\nLicensed under the Apache License, Version 2.0.", "apache", 1.0),
+             ("Permission is hereby granted,\nfree of charge, to any\nperson obtaining\na copy of this\nsoftware", "mit", 1.0)]
+    got = {r.doc_id: (r.labels, r.score) for r in ls.scan(docs_of(spark, [t for t, _, _ in cases])).collect()}
+    assert [got[i] for i in range(len(cases))] == [(label, score) for _, label, score in cases]
