@@ -7,7 +7,8 @@ end of a line: its last and the next following words (of as many lines as that
 takes), each as many as the longest template has, so that a wrapped notice
 stands in one block.  Lines without words are passed over.  Across a line end
 the template's beginning is looked for before it and its rest after it, so that
-words of a neighbouring line do not complete another notice.
+words of a neighbouring line do not complete another notice.  A template with a
+license's name in it (``NAMES``) also needs the block to hold that name.
 
 1. Words of the templates are counted over the whole corpus and put in one
    global order, rarest first (a table of template words, a parameter's size).
@@ -48,6 +49,8 @@ TEMPLATES = [
     ("cc-by", "licensed under cc by 4 0"),
     ("reserved", "all rights reserved no part may be reproduced without permission"),
 ]
+NAMES = {"apache", "mit", "bsd"}
+
 
 def word_count(pieces: Column) -> Column:
     """Words among the pieces of a split (its first and last may be empty)."""
@@ -103,10 +106,10 @@ def block_matches(docs: DataFrame, templates, order: list[str], threshold: float
         t = sorted(set(body.split()), key=rank.get)
         need = math.ceil(threshold * len(t) - 1e-9)
         for i, w in enumerate(t[: len(t) - need + 1]):
-            rows.append((number, label, w, i, need, " ".join(t), body))
+            rows.append((number, label, w, i, need, " ".join(t), body, next((n for n in t if n in NAMES), None)))
             prefix_words.add(w)
     spark: SparkSession = docs.sparkSession
-    table = (literal_table(spark, rows, [("number", "int"), ("label", "string"), ("word", "string"), ("i", "int"), ("need", "int"), ("sorted", "string"), ("body", "string")])
+    table = (literal_table(spark, rows, [("number", "int"), ("label", "string"), ("word", "string"), ("i", "int"), ("need", "int"), ("sorted", "string"), ("body", "string"), ("name", "string")])
              .withColumns({"t": F.split("sorted", " "), "body": F.split("body", r"\s+")}).drop("sorted"))
     prefix = F.array(*[F.lit(w) for w in sorted(prefix_words)])
     hit = docs.where(F.arrays_overlap(F.split(F.lower("text"), SEPARATORS), prefix))
@@ -124,7 +127,8 @@ def block_matches(docs: DataFrame, templates, order: list[str], threshold: float
     blocks = lines.unionByName(across)
     meets = blocks.select("*", F.explode(F.array_intersect(F.col("known"), prefix)).alias("w")).join(table, F.col("w") == F.col("word"))
     left = F.least(F.size("t") - F.col("i"), F.size("known") - F.array_position("known", F.col("word")).cast("int") + 1)
-    pairs = meets.where((F.col("n") >= F.col("need")) & (left >= F.col("need")))
+    named = F.col("name").isNull() | F.array_contains("known", F.col("name"))
+    pairs = meets.where((F.col("n") >= F.col("need")) & (left >= F.col("need")) & named)
     # The template is cut at every word: its first part before the line end, the rest after it (for a line, both are the line).
     def parts(c: Column) -> Column:
         first = F.array_intersect(F.slice("body", F.lit(1), c), F.col("before"))

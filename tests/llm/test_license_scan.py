@@ -71,3 +71,11 @@ def test_wrapped_notices(spark):
              ("Permission is hereby granted,\nfree of charge, to any\nperson obtaining\na copy of this\nsoftware", "mit", 1.0)]
     got = {r.doc_id: (r.labels, r.score) for r in ls.scan(docs_of(spark, [t for t, _, _ in cases])).collect()}
     assert [got[i] for i in range(len(cases))] == [(label, score) for _, label, score in cases]
+
+
+def test_a_named_license_needs_its_name(spark):
+    cases = [("Released under the Apache License.", ""), ("Released under the BSD License.", ""), ("Under MIT license, released.", "mit"),
+             ("The license was released under pressure from the board.", ""), ("Licensed under the Foo License, Version 2.0", ""),
+             ("Licensed under the Apache License, Version 2", "apache"), ("Released under the\nMIT License.", "mit")]
+    got = {r.doc_id: r.labels for r in ls.scan(docs_of(spark, [t for t, _ in cases])).collect()}
+    assert [got[i] for i in range(len(cases))] == [label for _, label in cases]
