@@ -84,13 +84,15 @@ def tree_levels(paths: DataFrame) -> DataFrame:
 
 def tree_summary(paths: DataFrame) -> DataFrame:
     """Max depth (levels), least leaf depth, depth-weighted sum, sum of left
-    leaves and the sum of the root-to-leaf digit numbers."""
+    leaves and the sum of the root-to-leaf digit numbers (null when any of
+    them does not fit 38 digits)."""
     lv = leaves(paths)
+    number = F.expr("try_cast(digits AS DECIMAL(38,0))")
     a = paths.agg((F.max("level") + 1).alias("max_depth"),
                   F.sum(F.col("val") * (F.col("level") + 1)).alias("weighted_sum"))
     b = lv.agg((F.min("level") + 1).alias("min_leaf_depth"),
                F.coalesce(F.sum(F.when(F.col("side") == "L", F.col("val"))), F.lit(0)).alias("left_leaf_sum"),
-               F.sum(F.expr("try_cast(digits AS DECIMAL(38,0))")).alias("digit_sum"))
+               F.when(F.count("digits") == F.count(number), F.sum(number)).alias("digit_sum"))
     return a.unionByName(b, allowMissingColumns=True).agg(
         *[F.max(c).alias(c) for c in ["max_depth", "weighted_sum", "min_leaf_depth", "left_leaf_sum", "digit_sum"]])
 
