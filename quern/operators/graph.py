@@ -1,7 +1,7 @@
 """Graph operators on edge tables (survey 2.9).
 
 Every algorithm is a driver loop of whole-table joins and aggregates; each
-round is checkpointed (lineage cut) and the loop stops on a count of changed
+round is written to the shared folder (lineage cut) and the loop stops on a count of changed
 rows.  Hub nodes are handled by partial aggregation and AQE skew joins; no
 adjacency list is ever gathered.
 """
@@ -13,45 +13,91 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.loops import check_cap, materialize, union_all
-
-
-def undirected(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where(F.col("u").isNotNull() & F.col("v").isNotNull())
-    return e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u != v").distinct()
+from ..plans.loops import check_cap, discard, materialize, union_all
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", nodes: DataFrame | None = None,
                          initial: DataFrame | None = None) -> DataFrame:
-    """(node, component) with component = smallest node id of the component.
-
-    Min-label propagation with pointer jumping: each round a node takes the
-    least label among itself and its neighbours, then the label of its
-    label.  ``nodes`` adds isolated nodes (their own component).
-    ``initial`` (node, comp) continues from saved labels: a batch of new
-    edges only has to merge components, not rediscover them; pass the edges
-    that made the saved labels' components (or a spanning subset) too."""
-    und = materialize(undirected(edges, src, dst))
-    ns = und.select(F.col("u").alias("node"))
+    """(node, comp) with comp = smallest node id of the component.
+
+    Contraction in a logarithmic number of rounds.  In a round every node
+    points to its neighbour of least priority (itself, when its own is less),
+    takes the pointer of that node, and nodes of one pointer become one node of
+    the next round's edges.  Priorities are hashes of (node, round), so by
+    expectation at most half of the nodes are kept each round whatever the
+    order of the ids, and the rounds' tables shrink geometrically.  Labels
+    come back by joining the rounds' maps from the last to the first.
+
+    ``nodes`` adds isolated nodes (their own component).  ``initial`` (node,
+    comp) continues from saved labels: saved components are single nodes from
+    the start, so a batch of new edges only has to merge them; pass only the new
+    edges.  Null ends and loops are left out."""
+    one = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where(F.col("u").isNotNull() & F.col("v").isNotNull())
+    ends = one.select(F.col("u").alias("node")).unionByName(one.select(F.col("v").alias("node")))
     if nodes is not None:
-        ns = ns.unionByName(nodes.select(F.col(nodes.columns[0]).alias("node")))
-    labels = ns.distinct().select("node", F.col("node").alias("comp"))
+        ends = ends.unionByName(nodes.select(F.col(nodes.columns[0]).alias("node")).where("node IS NOT NULL"))
     if initial is not None:
-        saved = initial.select("node", "comp")
-        labels = (labels.join(saved.select("node"), "node", "left_anti").unionByName(saved))
-    labels = materialize(labels)
-    while True:  # labels only fall and every round but the last lowers one, so it ends
-        nb = (und.join(labels.select(F.col("node").alias("v"), F.col("comp").alias("lv")), "v")
-              .groupBy("u").agg(F.min("lv").alias("m")))
-        l1 = (labels.join(nb, labels["node"] == nb["u"], "left")
-              .select("node", F.col("comp").alias("old"), F.least("comp", "m").alias("comp")))
-        jump = l1.select(F.col("node").alias("_n"), F.col("comp").alias("_c"))
-        l2 = materialize(l1.join(jump, l1["comp"] == jump["_n"], "left")
-                         .select("node", "old", F.least("comp", F.coalesce("_c", "comp")).alias("comp")))
-        changed = l2.where(F.col("comp") != F.col("old")).count()
-        labels = l2.select("node", "comp")
-        if changed == 0:
-            return labels
+        saved = materialize(initial.select(F.col("node").alias("member"), F.col("comp").alias("class")))
+        one = _relabel(one, saved)
+        known = ends.distinct().join(saved, F.col("node") == F.col("member"), "left").where(F.col("member").isNull())
+        start = saved.unionByName(known.select(F.col("node").alias("member"), F.col("node").alias("class")))
+    else:
+        saved = None
+        start = ends.distinct().select(F.col("node").alias("member"), F.col("node").alias("class"))
+    e = materialize(_simple(one))
+    maps: list[DataFrame] = []
+    while e.count():
+        m = materialize(_contract(e, maps[-1] if maps else None, len(maps)))
+        smaller = materialize(_simple(_relabel(e, m)))
+        discard(e)
+        e = smaller
+        maps.append(m)
+    label = None
+    for m in reversed(maps):
+        least = m.groupBy("class").agg(F.min("least").alias("comp"))
+        here = m.select("member", "class")
+        if label is None:
+            label = here.join(least, "class").select("member", "comp")
+        else:
+            later = label.select(F.col("member").alias("class"), F.col("comp").alias("_later"))
+            label = (here.join(least, "class").join(later, "class", "left")
+                     .select("member", F.coalesce("_later", "comp").alias("comp")))
+    if label is None:
+        out = start.select(F.col("member").alias("node"), F.col("class").alias("comp"))
+    else:
+        out = (start.join(label.select(F.col("member").alias("class"), "comp"), "class", "left")
+               .select(F.col("member").alias("node"), F.coalesce("comp", "class").alias("comp")))
+    out = materialize(out)
+    discard(e, *maps, *([saved] if saved is not None else []))
+    return out
+
+
+def _simple(edges: DataFrame) -> DataFrame:
+    """Each undirected edge once, without loops."""
+    return edges.where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
+def _relabel(edges: DataFrame, m: DataFrame) -> DataFrame:
+    """Edges between the classes of their ends (an end without a row keeps its name)."""
+    a = m.select(F.col("member").alias("_mu"), F.col("class").alias("_cu"))
+    b = m.select(F.col("member").alias("_mv"), F.col("class").alias("_cv"))
+    return (edges.join(a, edges["u"] == a["_mu"], "left").join(b, edges["v"] == b["_mv"], "left")
+            .select(F.coalesce("_cu", "u").alias("u"), F.coalesce("_cv", "v").alias("v")))
+
+
+def _contract(e: DataFrame, before: DataFrame | None, r: int) -> DataFrame:
+    """(member, class, least): the class each node of ``e`` joins in round ``r``
+    and the least id of the original nodes it stands for."""
+    both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    rank = lambda c: F.struct(F.xxhash64(c, F.lit(r)).alias("h"), F.col(c).alias("x"))
+    hook = both.groupBy("u").agg(F.min(rank("v")).alias("best"))
+    hook = hook.select("u", F.least(rank("u"), F.col("best"))["x"].alias("p"))
+    up = hook.select(F.col("u").alias("_p"), F.col("p").alias("class"))
+    joined = hook.join(up, hook["p"] == up["_p"]).select(F.col("u").alias("member"), "class")
+    if before is None:
+        return joined.withColumn("least", F.col("member"))
+    known = before.groupBy("class").agg(F.min("least").alias("least")).select(F.col("class").alias("_m"), "least")
+    return joined.join(known, joined["member"] == known["_m"]).select("member", "class", "least")
 
 
 def component_sizes(labels: DataFrame) -> DataFrame:
