@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 # Word separators: space and the control characters 09 to 0D.
 WS = " \t\n\x0b\x0c\r"
 WS_RUN = r"[\x20\x09-\x0D]+"
+# str.translate table that lowers A-Z and nothing else.
+LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,3 +41,20 @@ def literal_table(spark: SparkSession, rows: list[tuple], schema: list[tuple[str
         return spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in schema])
     structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(r, schema)]) for r in rows]
     return spark.range(1).select(F.inline(F.array(*structs)))
+
+
+def spread_join(big: DataFrame, small: DataFrame, keys: list[str], limit: int = 100_000) -> DataFrame:
+    """Inner join of ``big`` with ``small`` (one or few rows per key, no null
+    keys).  A key with more than ``limit`` rows of ``big``, and more than a
+    thousandth of them, is dealt to as many parts as its rows ask for and its rows of
+    ``small`` are repeated for each: fewer than a thousand keys, a bounded table."""
+    per = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total, most = per.agg(F.sum("_n"), F.max("_n")).first()
+    bound = max(limit, (total or 0) // 1000)
+    if (most or 0) <= bound:
+        return big.join(small, keys)
+    hot = F.broadcast(per.where(F.col("_n") > bound).select(*keys, F.ceil(F.col("_n") / bound).cast("int").alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1))
+    dealt = big.join(hot, keys, "left").withColumn("_part", F.pmod(F.xxhash64(*big.columns), parts).cast("int")).drop("_parts")
+    copies = small.join(hot, keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return dealt.join(copies, [*keys, "_part"]).drop("_part")

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, quality_gam
+from .collocation import collocations
 from .common import read
+from .contamination import contamination
 from .license_scan import PHRASES, TEMPLATES, scan
 from .line_dedup import dedup_lines
 from .mixing import mix
@@ -17,6 +19,7 @@ from .quality_rules import BOILERPLATE, NAVIGATION, SYMBOLS, quality
 from .secret_scan import secrets
 from .simhash import components
 from .sketch import fingerprint_pairs
+from .spelling import variants
 from .url_filter import filter_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,3 +168,54 @@ def op4_bpe_prefix_dp(spark, sf_dir):
     import public_tokenizers
     path = public_tokenizers.path("word_bpe_49k.json")
     return bpe.digests(bpe.encode(read(spark, sf_dir, "documents"), path), path)
+
+
+_ITEM_WINDOW = 10
+
+
+@query("op11_benchmark_join", f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_LOWER_WORDS.format(x="coalesce(text, '')")} AS ws FROM documents),
+b AS (SELECT item_id::VARCHAR AS item, {_LOWER_WORDS.format(x="coalesce(text, '')")} AS ws FROM benchmark),
+listed AS (SELECT DISTINCT item, array_to_string(ws[i:i + least({_ITEM_WINDOW}, len(ws)) - 1], ' ') AS phrase, least({_ITEM_WINDOW}, len(ws)) AS n
+           FROM (SELECT item, ws, unnest(range(1, greatest(len(ws) - {_ITEM_WINDOW} + 1, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT n FROM listed),
+spots AS (SELECT rid, ws, unnest(range(1, len(ws) + 1)) AS i FROM d),
+places AS (SELECT rid, i, n, phrase FROM (SELECT rid, i, n, array_to_string(ws[i:i + n - 1], ' ') AS phrase FROM spots JOIN sizes ON i + n - 1 <= len(ws))
+           WHERE (phrase, n) IN (SELECT phrase, n FROM listed)),
+hit AS (SELECT rid, count(DISTINCT p)::BIGINT AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM places) GROUP BY rid),
+held AS (SELECT rid, list_sort(list(DISTINCT item)) AS items FROM places JOIN listed USING (phrase) WHERE item IS NOT NULL GROUP BY rid)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, len(coalesce(items, [])) AS n_items,
+       sha256(array_to_string(coalesce(items, []), ',')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN held USING (rid)
+""")
+def op11_benchmark_join(spark, sf_dir):
+    return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=_ITEM_WINDOW)
+
+
+@query("op12_collocations", r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+spots AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+grams AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase FROM spots JOIN (VALUES (1), (2), (3)) AS s(k) ON i + k - 1 <= len(ws)),
+f AS (SELECT lang, k, phrase, count(*)::BIGINT AS n FROM grams GROUP BY lang, k, phrase),
+total AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND n >= 10),
+inner2 AS (SELECT lang, p, max(a) AS longer FROM (SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS p FROM c WHERE k = 3)
+           GROUP BY lang, p),
+kept AS (SELECT c.* FROM c LEFT JOIN inner2 ON c.lang = inner2.lang AND c.phrase = p WHERE k = 3 OR longer IS NULL OR 100 * longer < 50 * a),
+cuts AS (SELECT lang, phrase, a, cut, array_to_string(ws[1:cut], ' ') AS lp, array_to_string(ws[cut + 1:k], ' ') AS rp
+         FROM (SELECT *, unnest(range(1, k)) AS cut FROM kept)),
+scored AS (SELECT cuts.*, fl.n AS l, fr.n AS r, ((1000000::HUGEINT * a * a) // (fl.n::HUGEINT * fr.n))::BIGINT AS score
+           FROM cuts JOIN f fl ON fl.lang = cuts.lang AND fl.phrase = lp JOIN f fr ON fr.lang = cuts.lang AND fr.phrase = rp),
+low AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, total.n AS n, score
+FROM low JOIN total USING (lang) QUALIFY rank <= 2000
+""")
+def op12_collocations(spark, sf_dir):
+    return collocations(read(spark, sf_dir, "documents"), max_words=3, min_count=10, cover=50, top=2000)
+
+
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark, sf_dir):
+    return variants(read(spark, sf_dir, "documents"), min_len=7, min_count=2, noise=31, ratio=10)
