@@ -196,14 +196,15 @@ def list_keys(points: np.ndarray, c: int, dictionary: list[np.ndarray]) -> tuple
     a, b = np.where(a > 0, a, n + 2), np.where(b > 0, b, n + 2)
     # An edit at i leaves i code points before it and c - 1 - i (replaced) or c - i
     # (inserted) behind; it affects both grams if both are longer than that.
+    places = range(max(0, c - int(b.max())), min(c + 1, int(a.max())))  # others are in no overlap
     if n == c:
-        for i in range(c):
+        for i in places[:c - places.start]:
             rows = np.flatnonzero((a > i) & (b > c - 1 - i))
             if len(rows):
                 rest = begin[rows, i] * _power(c - 1 - i) + end[rows, c - 1 - i]
                 out.append((rows, _mixed(rest, c, 2, i)))
     whole = np.zeros(len(points), bool)
-    for i in range(c + 1):
+    for i in places:
         both = (a > i) & (b > c - i)
         if n == c:
             whole |= both
