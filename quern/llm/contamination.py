@@ -123,7 +123,7 @@ def _chunks(texts: list[bytes | None]) -> Iterator[tuple[int, int]]:
 
 
 def document_runs(docs: DataFrame, bits: bytes, shortest: dict[int, int]) -> DataFrame:
-    """(doc_id, n_words, runs of struct(start, k, text)): per shingle length k the
+    """(doc_id, n_words, runs of struct(start, k, words)): per shingle length k the
     runs of at least ``shortest[k]`` words whose shingles all fall on ``bits``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(bits, np.uint8)
@@ -145,25 +145,24 @@ def document_runs(docs: DataFrame, bits: bytes, shortest: dict[int, int]) -> Dat
                     long = last - first >= least
                     for x, y in zip(first[long].tolist(), last[long].tolist()):
                         d = int(np.searchsorted(begins, x, "right")) - 1
-                        runs[d].append({"start": x - int(begins[d]), "k": k, "text": b" ".join(tokens[x:y])})
+                        runs[d].append({"start": x - int(begins[d]), "k": k, "words": tokens[x:y]})
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0)[lo:hi], pa.array(ends - begins, pa.int64()),
-                     pa.array(runs, pa.list_(pa.struct([("start", pa.int32()), ("k", pa.int32()), ("text", pa.binary())])))],
+                     pa.array(runs, pa.list_(pa.struct([("start", pa.int32()), ("k", pa.int32()), ("words", pa.list_(pa.binary()))])))],
                     ["doc_id", "n_words", "runs"])
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(
-        run, "doc_id long, n_words long, runs array<struct<start int, k int, text binary>>")
+        run, "doc_id long, n_words long, runs array<struct<start int, k int, words array<binary>>>")
 
 
 def _places(runs: DataFrame, windows: DataFrame, window: int) -> DataFrame:
     """(rid, start, length, phrase): the places where a window stands."""
-    words = F.split("text", " ")
-    at = runs.select("rid", "start", "k", words.alias("ws"), F.posexplode(_shingles(words, F.col("k"))).alias("i", "shingle"))
-    # The shingle with the words around it that a window could take in.
     reach = F.lit(window) - F.col("k")
-    low = F.greatest(F.lit(0), F.col("i") - reach)
-    at = at.select("rid", "shingle", (F.col("start") + F.col("i")).alias("pos"), (F.col("i") - low).alias("before"),
-                   F.slice("ws", low + 1, F.col("i") - low + F.lit(window)).alias("around"))
-    at = materialize(at)
+
+    def entry(i):  # a shingle with the words around it that a window could take in
+        low = F.greatest(F.lit(0), i - reach)
+        return F.struct(F.array_join(F.slice("words", i + 1, F.col("k")), " ").alias("shingle"), (F.col("start") + i).alias("pos"),
+                        (i - low).alias("before"), F.slice("words", low + 1, i - low + F.lit(window)).alias("around"))
+    at = materialize(runs.select("rid", F.inline(F.transform(F.sequence(F.lit(0), F.size("words") - F.col("k")), entry))))
     rarity = at.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
     cut = windows.select("phrase", "length", F.least("length", F.lit(SHINGLE)).alias("k"), F.split("phrase", " ").alias("ws"))
     cut = cut.select("phrase", "length", F.posexplode(_shingles(F.col("ws"), F.col("k"))).alias("offset", "shingle"))
@@ -185,7 +184,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFr
     shortest = {r["k"]: r["least"] for r in windows.groupBy(k.alias("k")).agg(F.min("length").alias("least")).collect()}
     shingles = windows.select(F.explode(_shingles(F.split("phrase", " "), k)).alias("shingle")).distinct()
     marked = materialize(document_runs(docs, _slot_bits(shingles), shortest).withColumn("rid", F.monotonically_increasing_id()))
-    runs = marked.select("rid", F.explode("runs").alias("r")).select("rid", "r.start", "r.k", F.col("r.text").cast("string").alias("text"))
+    # Written with the words as an array: an expression for it would be computed again for every shingle.
+    runs = marked.select("rid", F.explode("runs").alias("r")).select("rid", "r.start", "r.k", F.col("r.words").cast("array<string>").alias("words"))
     places = materialize(_places(runs, windows, window))
     end = F.col("start") + F.col("length")
     before = Window.partitionBy("rid").orderBy("start", "length").rowsBetween(Window.unboundedPreceding, -1)
