@@ -25,7 +25,7 @@ floor(10^6 a a / (l r)) with the counts of both parts, computed in 38-digit
 integers, and the lowest cut counts.  A candidate inside a longer one with at
 least ``cover`` percent of its occurrences is dropped.
 
-Scale: a task counts about ``CHUNK`` words of a language at a time before the
+Scale: a task counts about ``CHUNK`` bytes of a language at a time before the
 shuffle by (language, phrase), so a common word is one row of each chunk.  Joins
 with the counts of parts split the parts that many candidates share
 (``spread_join``).  Ranks come from the best rows of each of many parts of a
@@ -45,16 +45,17 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.loops import discard, materialize, scratch_folder
+from ..plans.loops import discard, materialize, scratch_folder, union_all
 from ..session import shuffle_partitions
 from .common import spread_join
 
-SHARDS = 3
+SHARDS = 2
 SLOT_BITS = 23
 CHUNK = 6 << 20  # bytes of text
 _STOP = b"\xff"  # in no UTF-8 text
@@ -88,9 +89,20 @@ class Reached:
         return (np.frombuffer(self.bits, np.uint8)[s >> 3] >> (7 - (s & 7)).astype(np.uint8) & 1).astype(bool)
 
 
-def _count_chunk(lang: str, texts: list[bytes], max_words: int, first_cycle: bool, now: list[Reached],
-                 old: list[Reached]) -> Iterator[tuple]:
-    """(length, phrases, hashes, counts) of the active phrases of some texts."""
+def _hashed(phrases: list[bytes], seed: int) -> np.ndarray:
+    """Hashes of whole phrases of one length."""
+    columns = [np.array([xxhash.xxh64_intdigest(w, seed) for w in ws], np.uint64) for ws in zip(*[p.split(b" ") for p in phrases])]
+    h = columns[0]
+    for word in columns[1:]:
+        h = _next_hash(h, word)
+    return h
+
+
+def _count_chunk(lang: str, texts: list[bytes], max_words: int, step: int, shards: int,
+                 past: list[list[Reached]]) -> Iterator[tuple]:
+    """(phrases, last steps of their cycles, counts) of the active phrases of
+    some texts.  ``past`` tells what was reached before this step and before
+    each of the ``shards`` steps back."""
     tokens = _CUT.sub(b" \xff ", b"\n".join(texts).translate(_LOWER)).split()
     ids_of: defaultdict = defaultdict()
     ids_of.default_factory = ids_of.__len__
@@ -98,48 +110,52 @@ def _count_chunk(lang: str, texts: list[bytes], max_words: int, first_cycle: boo
     ids = np.fromiter(map(ids_of.__getitem__, tokens), np.int64, len(tokens))
     del tokens
     vocab = list(ids_of)
-    seed = xxhash.xxh32_intdigest(lang)
-    word = np.array([xxhash.xxh64_intdigest(w, seed) for w in vocab], np.uint64)
-    if first_cycle:
+    if step < shards:
         n = np.bincount(ids, minlength=len(vocab))
         n[0] = 0
         at = np.flatnonzero(n)
-        yield 0, [b""], np.zeros(1, np.uint64), np.array([n.sum()])
-        yield 1, [vocab[i] for i in at.tolist()], word[at], n[at]
-    # Places where the phrase of k - 1 words has reached the threshold, now and a cycle ago.
-    h = word[ids]
-    inside = ids > 0
+        yield [b""], np.array([shards - 1]), np.array([n.sum()])
+        yield [vocab[i] for i in at.tolist()], np.full(len(at), shards - 1), n[at]
+    seed = xxhash.xxh32_intdigest(lang)
+    word = np.array([xxhash.xxh64_intdigest(w, seed) for w in vocab], np.uint64)
+    h, inside = word[ids], ids > 0
     for k in range(2, max_words + 1):
         if len(ids) < k:
             return
-        is_now, is_old = inside & now[k - 1].has(h), inside & old[k - 1].has(h)
-        active = is_now[:-1] & is_now[1:] & ~(is_old[:-1] & is_old[1:])
+        # How many of the steps looked back at already had both parts: 0 is inactive, all is complete.
+        at = np.flatnonzero(inside[:-1] & (ids[k - 1:] > 0))
+        left, right = h[at], h[at + 1]
+        age = np.zeros(len(at), np.int64)
+        live = np.arange(len(at))
+        for then in past:
+            live = live[then[k - 1].has(left[live]) & then[k - 1].has(right[live])]
+            age[live] += 1
         inside = inside[:-1] & (ids[k - 1:] > 0)
-        at = np.flatnonzero(active & inside)
         h = _next_hash(h[:-1], word[ids[k - 1:]])
+        active = (age > 0) & (age <= shards)
+        at, age = at[active], age[active]
         code = ids[at]
         for j in range(1, k):  # exact: by the words, not by the hash
-            code = np.unique(code, return_inverse=True)[1] * len(vocab) + ids[at + j]
+            code = (np.unique(code, return_inverse=True)[1] if j > 1 else code) * len(vocab) + ids[at + j]
         _, first, n = np.unique(code, return_index=True, return_counts=True)
         for i in range(0, len(first), 1 << 17):
-            some = at[first[i:i + (1 << 17)]]
-            cols = [ids[some + j].tolist() for j in range(k)]
-            yield k, [b" ".join([vocab[x] for x in row]) for row in zip(*cols)], h[some], n[i:i + (1 << 17)]
+            some = first[i:i + (1 << 17)]
+            cols = [ids[at[some] + j].tolist() for j in range(k)]
+            yield ([b" ".join([vocab[x] for x in row]) for row in zip(*cols)], step + shards - age[some], n[i:i + (1 << 17)])
 
 
-def _step_counts(shard: DataFrame, step: int, max_words: int, first_cycle: bool, now: list[Reached], old: list[Reached]) -> DataFrame:
-    """(lang, k, phrase, h, seen, n) of the active phrases in a shard."""
+def _step_counts(shard: DataFrame, step: int, max_words: int, shards: int, past: list[list[Reached]]) -> DataFrame:
+    """(lang, phrase, done, n) of the active phrases in a shard, by chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = defaultdict(list)
         size: dict[str, int] = defaultdict(int)
 
         def out(lang):
-            for k, phrases, h, n in _count_chunk(lang, held.pop(lang), max_words, first_cycle, now, old):
-                size[lang] = 0
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(phrases), pa.string()), pa.array(np.full(len(phrases), k, np.int32)), pa.array(phrases, pa.binary()),
-                     pa.array(h.view(np.int64)), pa.array(np.asarray(n, np.int64))], ["lang", "k", "phrase", "h", "n"])
             size[lang] = 0
+            for phrases, done, n in _count_chunk(lang, held.pop(lang), max_words, step, shards, past):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary()),
+                     pa.array(np.asarray(done, np.int32)), pa.array(np.asarray(n, np.int64))], ["lang", "phrase", "done", "n"])
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 held[lang].append(text)
@@ -150,8 +166,22 @@ def _step_counts(shard: DataFrame, step: int, max_words: int, first_cycle: bool,
                 yield from out(max(size, key=size.get))
         for lang in list(held):
             yield from out(lang)
-    rows = shard.select("lang", F.col("text").cast("binary")).mapInArrow(run, "lang string, k int, phrase binary, h long, n long")
-    return rows.groupBy("lang", "k", "phrase", "h").agg(F.lit(step).alias("seen"), F.sum("n").alias("n"))
+    return shard.select("lang", F.col("text").cast("binary")).mapInArrow(run, "lang string, phrase binary, done int, n long")
+
+
+def _new_slots(counting: DataFrame, min_count: int, max_words: int) -> pd.DataFrame:
+    """(k, slot) of the phrases that have reached the threshold."""
+    def run(batches):
+        for b in batches:
+            by = defaultdict(list)
+            for lang, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                by[lang, p.count(b" ") + 1].append(p)
+            for (lang, k), phrases in by.items():
+                if k < max_words:
+                    slot = np.unique(_slot(_hashed(phrases, xxhash.xxh32_intdigest(lang))))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(slot), k, np.int32)), pa.array(slot.astype(np.int32))], ["k", "slot"])
+    rows = counting.where((F.col("n") >= min_count) & (F.length("phrase") > 0)).select("lang", "phrase")
+    return rows.mapInArrow(run, "k int, slot int").distinct().toPandas()
 
 
 def phrase_counts(docs: DataFrame, max_words: int = 3, min_count: int = 10, shards: int = SHARDS) -> DataFrame:
@@ -164,31 +194,31 @@ def phrase_counts(docs: DataFrame, max_words: int = 3, min_count: int = 10, shar
     dealt.write.partitionBy("shard").parquet(folder)
     stored = spark.read.schema(dealt.schema).parquet(folder)
     stored._table_path = folder
-    history = [[Reached() for _ in range(max_words)]]  # before each step, by length
+    none = [Reached() for _ in range(max_words)]
+    past = [none] * (shards + 1)  # before this step, before the last one, .. a cycle ago
     counting: DataFrame | None = None
+    complete: list[DataFrame] = []
     step = 0
-    while True:
-        now, old = history[step], history[max(0, step - shards)]
-        if step >= shards and all(a.bits == b.bits for a, b in zip(now, old)):
-            break  # nothing is active any more
-        fresh = _step_counts(stored.where(F.col("shard") == step % shards), step, max_words, step < shards, now, old)
+    while step < shards or any(a.bits != b.bits for a, b in zip(past[0], past[shards])):  # some phrase is active
+        rows = _step_counts(stored.where(F.col("shard") == step % shards), step, max_words, shards, past)
         if counting is not None:
-            fresh = (fresh.unionByName(counting).groupBy("lang", "k", "phrase", "h")
-                     .agg(F.min("seen").alias("seen"), F.sum("n").alias("n")))
-        # First seen a cycle ago: it was active since, and its cycle is complete.
-        kept = materialize(fresh.where((F.col("n") >= min_count) | (F.col("k") == 0) | (F.col("seen") > step + 1 - shards)))
+            rows = rows.unionByName(counting.where(F.col("done") >= step))
+        # Dealt as they are: chunks share few phrases, so adding up before the shuffle would save little.
+        totals = (rows.repartition(shuffle_partitions(spark), "lang", "phrase").groupBy("lang", "phrase")
+                  .agg(F.max("done").alias("done"), F.sum("n").alias("n")))
+        enough = (F.col("n") >= min_count) | (F.length("phrase") == 0)
+        now = materialize(totals.where(enough | (F.col("done") > step)))
+        complete.append(materialize(now.where(F.col("done") == step)))
+        slots = _new_slots(now, min_count, max_words)
+        past = [[was if k == 0 else was.with_slots(slots["slot"].to_numpy()[slots["k"].to_numpy() == k])
+                 for k, was in enumerate(past[0])], *past[:shards]]
         discard(*([counting] if counting is not None else []))
-        counting = kept
-        slots = (counting.where((F.col("n") >= min_count) & F.col("k").between(1, max_words - 1))
-                 .select("k", F.shiftrightunsigned("h", 64 - SLOT_BITS).cast("int").alias("slot")).distinct().toPandas())
-        history.append([was if k == 0 else was.with_slots(slots["slot"].to_numpy()[slots["k"].to_numpy() == k])
-                        for k, was in enumerate(now)])
+        counting = now
         step += 1
-        if step > shards:
-            history[step - shards - 1] = []
-    discard(stored)
-    return counting.where((F.col("n") >= min_count) | (F.col("k") == 0)).select(
-        "lang", "k", F.col("phrase").cast("string").alias("phrase"), "n")
+    discard(stored, counting)
+    phrase = F.col("phrase").cast("string")
+    k = F.when(phrase == "", 0).otherwise(F.size(F.split(phrase, " ")))
+    return union_all(complete).select("lang", k.alias("k"), phrase.alias("phrase"), "n")
 
 
 def _part(words, first, count):
@@ -198,7 +228,7 @@ def _part(words, first, count):
 def collocations(docs: DataFrame, max_words: int = 3, min_count: int = 10, cover: int = 50, top: int = 2000,
                  shards: int = SHARDS) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the ``top`` phrases of each language."""
-    counts = phrase_counts(docs, max_words, min_count, shards)
+    counts = materialize(phrase_counts(docs, max_words, min_count, shards))
     found = materialize(counts.where("k >= 2").select("lang", "k", "phrase", F.col("n").alias("a"), F.split("phrase", " ").alias("words")))
     # Inside longer candidates.
     spans = [F.struct(F.lit(i).alias("i"), F.lit(k).alias("k")) for k in range(2, max_words) for i in range(1, max_words - k + 2)]

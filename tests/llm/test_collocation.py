@@ -86,7 +86,7 @@ def test_longer_phrases_start_before_the_first_cycle_ends(spark, rows, monkeypat
 
     def step(shard, at, *a):
         out = real(shard, at, *a)
-        seen.append((at, {r.k for r in out.select("k").distinct().collect()}))
+        seen.append((at, {len(r.phrase.split()) for r in out.select("phrase").distinct().collect()}))
         return out
     monkeypatch.setattr(co, "_step_counts", step)
     co.phrase_counts(frame(spark, rows), 3, 3, 4)
