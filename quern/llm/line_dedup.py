@@ -159,15 +159,21 @@ def repeated_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
             .distinct().groupBy(*_KEY).agg(F.collect_list("raw").alias("gone")))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = 50, info: str | None = "_dedup") -> DataFrame:
     """``docs`` with ``text`` freed of later repeated runs, and n_lines and
-    n_removed (long) in ``_dedup``, a struct."""
-    gone = repeated_lines(docs, min_words).select(F.col("doc_id").alias("_gd"), F.col("th").alias("_gt"), F.col("gone").alias("_gone"))
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gd")) & (F.xxhash64("text") == F.col("_gt")), "left")
-    lines = F.split("text", "\n")
+    n_removed (long) in the struct column ``info`` (none for None).  Other
+    columns may have any names but that one."""
+    if info in docs.columns:
+        raise ValueError(f"the table has a column {info} already")
+    gone = repeated_lines(docs, min_words).select(F.col("doc_id").alias("of"), "th", "gone")
+    # The caller's row is one column: its names cannot clash with these.
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("row_th"))
+    joined = rows.join(gone, F.col("row.doc_id").eqNullSafe(F.col("of")) & (F.col("row_th") == F.col("th")), "left")
+    lines = F.split("row.text", "\n")
     left = let(lines, lambda a: F.array_join(F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size(a) - 1), F.col("_gone")), lambda i: F.get(a, i)), "\n"))
+        F.array_except(F.sequence(F.lit(0), F.size(a) - 1), F.col("gone")), lambda i: F.get(a, i)), "\n"))
     counts = F.struct(F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-                      F.greatest(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"))
-    return joined.select(*[F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left).alias("text") if c == "text" else F.col(c)
-                           for c in docs.columns], counts.alias("_dedup"))
+                      F.greatest(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"))
+    text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(left)
+    return joined.select(*[text.alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns],
+                         *([counts.alias(info)] if info else []))

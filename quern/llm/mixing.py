@@ -82,15 +82,16 @@ def mixed_documents(docs: DataFrame, **kw) -> DataFrame:
 
     Rows that agree in id, source and size are interchangeable to the mix:
     the copies of such a group are dealt to its rows as evenly as they came."""
-    keyed = docs.select("*", F.coalesce("doc_id", F.lit(0)).alias("_i"), F.col("doc_id").isNull().alias("_in"),
-                        F.coalesce("source", F.lit("")).alias("_s"), F.col("source").isNull().alias("_sn"),
-                        F.size(words(text_of())).cast("long").alias("_z"))
-    m = mix(docs, **kw).groupBy(F.coalesce("doc_id", F.lit(0)).alias("_i"), F.col("doc_id").isNull().alias("_in"),
-                                F.coalesce("source", F.lit("")).alias("_s"), F.col("source").isNull().alias("_sn"),
-                                F.col("size").alias("_z")).agg(F.sum("copies").alias("_c"), F.count(F.lit(1)).alias("_m"))
-    on = ["_i", "_in", "_s", "_sn", "_z"]
+    # The caller's row is one column: its names cannot clash with these.
+    keyed = docs.select(F.struct("*").alias("row"), F.coalesce("doc_id", F.lit(0)).alias("i"), F.col("doc_id").isNull().alias("i_null"),
+                        F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("s_null"),
+                        F.size(words(text_of())).cast("long").alias("z"), F.xxhash64("text").alias("th"))
+    m = mix(docs, **kw).groupBy(F.coalesce("doc_id", F.lit(0)).alias("i"), F.col("doc_id").isNull().alias("i_null"),
+                                F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("s_null"),
+                                F.col("size").alias("z")).agg(F.sum("copies").alias("c"), F.count(F.lit(1)).alias("m"))
+    on = ["i", "i_null", "s", "s_null", "z"]
     joined = keyed.join(m, on)
-    nth = F.row_number().over(Window.partitionBy(*on).orderBy(F.xxhash64("text")))
-    times = F.floor(F.col("_c") / F.col("_m")).cast("int") + (nth <= F.col("_c") % F.col("_m")).cast("int")
-    return (joined.withColumn("_t", times).where("_t > 0")
-            .select(*docs.columns, F.explode(F.array_repeat(F.lit(1), F.col("_t"))).alias("_x")).drop("_x"))
+    nth = F.row_number().over(Window.partitionBy(*on).orderBy("th"))
+    times = F.floor(F.col("c") / F.col("m")).cast("int") + (nth <= F.col("c") % F.col("m")).cast("int")
+    return (joined.withColumn("t", times).where("t > 0")
+            .select("row", F.explode(F.array_repeat(F.lit(1), F.col("t")))).select("row.*"))

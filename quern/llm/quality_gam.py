@@ -59,8 +59,7 @@ def features(text: str | None) -> list[float]:
     digits = len(raw) - len(raw.translate(None, b"0123456789"))
     lines = [x for x in t.split("\n") if x.strip()]
     parts = [w[i:i + _PART] for i in range(0, n, _PART)]
-    if len(parts) > 1 and len(parts[-1]) < _PART // 2:
-        parts.pop()
+    parts[-1] = w[-_PART:]  # the text's last words, none left out
     worst_d = min(len(set(p)) / len(p) for p in parts)
     worst_s = max(sum(map(p.count, _SYMBOLS + "|!")) / len(p) for p in map(" ".join, parts))
     return [float(np.log1p(n)), c / n, len(set(w)) / n, sum(map(operator.eq, w, w[1:])) / n, symbols / c, t.count("|") / n,

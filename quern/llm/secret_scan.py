@@ -59,7 +59,7 @@ MORE = (
 )
 RULES = BASE + MORE
 
-SPAN = "struct<kind:string,start:int,end:int>"
+SPAN = "struct<rule:string,kind:string,start:int,end:int>"  # rule: name and version that found it
 LEDGER = f"blob string, rules array<string>, spans array<{SPAN}>"
 
 
@@ -88,9 +88,9 @@ def scan(todo: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             spans = []
             for text, names in zip(b.column("text"), b.column("todo").to_pylist()):
                 t = text.as_py()
-                spans.append([{"kind": r.kind, "start": m.start(), "end": m.end()}
+                spans.append([{"rule": r.name, "kind": r.kind, "start": m.start(), "end": m.end()}
                               for r, p in map(compiled.__getitem__, names) for m in p.finditer(t) if len(m[r.group]) >= r.least])
-            kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+            kind = pa.list_(pa.struct([("rule", pa.string()), ("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
             yield pa.RecordBatch.from_arrays([b.column("blob"), b.column("todo"), pa.array(spans, kind)], ["blob", "rules", "spans"])
     return todo.select("blob", "text", "todo").mapInArrow(run, LEDGER)
 
@@ -102,10 +102,11 @@ def update(docs: DataFrame, rules: Sequence[Rule] = RULES, ledger: DataFrame | N
 
 def findings(docs: DataFrame, ledger: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """(doc_id, spans) of every row of ``docs``: the ledger's spans of its blob,
-    by start, then in the order of ``rules``."""
-    order = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (r.kind, i)])
+    by start, then in the order of ``rules``.  Spans that a version found which
+    is not among ``rules`` any more are left out."""
+    order = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (r.name, i)])
     per = ledger.groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    keyed = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), order[s["kind"]].alias("rank"),
+    keyed = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), order[s["rule"]].alias("rank"),
                                                     s["kind"].alias("kind"), s["end"].alias("end")))
     per = per.select("blob", F.array_sort(F.array_distinct(F.filter(keyed, lambda s: s["rank"].isNotNull()))).alias("spans"))
     per = materialize(per)  # a plain table: a blob with very many paths can then be split in the join

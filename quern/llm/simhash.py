@@ -43,7 +43,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
@@ -74,12 +74,13 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp) of every row."""
+    """(doc_id, fp, th) of every row; th is a hash of the whole text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = pa.array([fingerprint(t.as_py(), shingle) for t in b.column(1)], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), fps], ["doc_id", "fp"])
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, "doc_id long, fp long")
+            yield pa.RecordBatch.from_arrays([b.column(0), fps, b.column(2)], ["doc_id", "fp", "th"])
+    return docs.select(F.col("doc_id").cast("long"), F.col("text"), F.xxhash64("text").alias("th")).mapInArrow(
+        run, "doc_id long, fp long, th long")
 
 
 class BlockTree:
@@ -214,25 +215,35 @@ def near_links(fps: DataFrame, max_bits: int = 4, blocks: int = 4, per_shard: in
     return rows.groupBy("k").applyInPandas(compare, "a long, b long")
 
 
-def components(docs: DataFrame, shingle: int = 4, max_bits: int = 4, **search) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row of ``docs``."""
-    marked = materialize(fingerprints(docs, shingle))
+def _grouped(marked: DataFrame, max_bits: int, **search) -> DataFrame:
+    """(fp, least, comp) of every fingerprint: its least id and its component's name."""
     nodes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
     links = materialize(near_links(nodes, max_bits, **search))
     merged = connected_components(links, "a", "b").select(F.col("node").alias("fp"), "comp")
-    grouped = nodes.join(merged, "fp", "left").select("fp", "least", F.coalesce("comp", "fp").alias("comp"))
+    return nodes.join(merged, "fp", "left").select("fp", "least", F.coalesce("comp", "fp").alias("comp"))
+
+
+def components(docs: DataFrame, shingle: int = 4, max_bits: int = 4, **search) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every row of ``docs``."""
+    marked = materialize(fingerprints(docs, shingle))
+    grouped = _grouped(marked, max_bits, **search)
     least = grouped.groupBy("comp").agg(F.min("least").alias("component_id"))
     label = grouped.join(least, "comp").select("fp", "component_id")
     return marked.join(label, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, **kw) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, **search) -> DataFrame:
     """The rows of ``docs`` without near copies: of each component the row with
-    its id stays (one of equal rows).  Rows without an id cannot be told apart
-    by one and stay."""
-    kept = (components(docs, **kw).where(F.col("doc_id") == F.col("component_id"))
-            .select(F.col("doc_id").alias("_kept")).distinct())
-    named = docs.where(F.col("doc_id").isNotNull()).join(kept, F.col("doc_id") == F.col("_kept")).drop("_kept")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns)))
-    one = named.withColumn("_first", first).where("_first = 1").drop("_first")
-    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+    the least id stays (null last; of equal ids the one with the least
+    fingerprint, then text hash), whatever else has that id.  Of rows equal in
+    id and text one stays.  The columns may have any names."""
+    marked = materialize(fingerprints(docs, shingle))
+    at = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("fp"), F.col("th"))
+    # Least row of a fingerprint first, so a large component's rows are not joined.
+    first = marked.groupBy("fp").agg(F.min(at).alias("at"))
+    kept = (first.join(_grouped(marked, max_bits, **search).select("fp", "comp"), "fp").groupBy("comp").agg(F.min("at").alias("at"))
+            .select(F.col("at.id").alias("kept_id"), F.col("at.th").alias("kept_th")))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("th"))
+    named = rows.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("th") == F.col("kept_th")))
+    # An aggregate, not a window: a row repeated very often is reduced before the shuffle.
+    return named.groupBy("id", "th").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
