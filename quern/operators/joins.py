@@ -49,9 +49,9 @@ def first_complement_pair(df: DataFrame, keys: Sequence[str], val: str, id_col:
     smallest (i, j) among all pairs summing to target, without listing pairs:
     per value the two smallest ids are enough."""
     c = df.groupBy(*keys, val).agg(F.min(id_col).alias("_i1"))
-    second = (df.join(c.select(*keys, val, "_i1"), [*keys, val])
+    second = (key_join(df, c.select(*keys, val, "_i1"), [*keys, val])
               .where(F.col(id_col) > F.col("_i1")).groupBy(*keys, val).agg(F.min(id_col).alias("_i2")))
-    c = c.join(second, [*keys, val], "left")
+    c = key_join(c, second, [*keys, val], "left")
     a = c.select(*[F.col(k).alias(f"_a_{k}") for k in keys], F.col(val).alias("_va"), F.col("_i1").alias("_ai1"),
                  F.col("_i2").alias("_ai2"))
     b = c.select(*[F.col(k).alias(f"_b_{k}") for k in keys], F.col(val).alias("_vb"), F.col("_i1").alias("_bi1"))

@@ -14,7 +14,9 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.asof import asof_lookup
 from ..plans.keys import key_join
+from ..plans.loops import materialize
 from ..plans.scan import Agg, ordered_scan, previous, row_index
 
 
@@ -55,16 +57,15 @@ def range_sum_query(series: DataFrame, queries: DataFrame, keys: Sequence[str],
     Optional point updates ``(keys, pos, val, ts)``: the latest update of a
     position replaces its value.  Prefix table once, then two as-of reads at
     ``hi`` and ``lo - 1`` (missing positions are fine)."""
-    s = series.select(*keys, pos, val)
-    if updates is not None:
-        last = updates.groupBy(*keys, pos).agg(F.max_by(val, upd_ts).alias("_new"))
-        s = (s.join(last, [*keys, pos], "full")
-             .select(*keys, pos, F.coalesce("_new", val).alias(val)))
     # one value per position, so the as-of read sees one prefix per position
     fold = F.bit_xor(val) if op == "xor" else F.sum(val)
-    s = s.groupBy(*keys, pos).agg(fold.alias(val))
+    s = series.groupBy(*keys, pos).agg(fold.alias(val))
+    if updates is not None:  # by union, not by join: null keys and new positions count like others
+        last = updates.groupBy(*keys, pos).agg(F.max_by(val, upd_ts).alias("_new"))
+        s = (s.withColumn("_new", F.lit(None).cast(last.schema["_new"].dataType))
+             .unionByName(last.withColumn(val, F.lit(None).cast(s.schema[val].dataType)))
+             .groupBy(*keys, pos).agg(F.coalesce(F.max("_new"), F.max(val)).alias(val)))
     pre = ordered_scan(s, keys, [pos], [Agg("_p", op, F.col(val))])
-    from ..plans.asof import asof_lookup
     q = queries
     a = asof_lookup(q, pre, keys, F.col(hi), F.col(pos), ["_p"], prefix="_hi")
     b = asof_lookup(a, pre, keys, F.col(lo) - 1, F.col(pos), ["_p"], prefix="_lo")
@@ -73,6 +74,41 @@ def range_sum_query(series: DataFrame, queries: DataFrame, keys: Sequence[str],
     return b.withColumn(name, res).drop("_hi_p", "_lo_p")
 
 
+def timed_range_sums(updates: DataFrame, queries: DataFrame, keys: Sequence[str], pos: str, val: str, ts: str,
+                     lo: str = "lo", hi: str = "hi", name: str = "range_sum") -> DataFrame:
+    """Sum of the values at positions lo..hi as they were at each query's
+    ``ts``: an update at or before it sets its position's value (a position without one
+    is 0, a null value counts as 0; times of one position should differ).
+
+    Offline dominance sums: an update adds the difference to its position's
+    last value to every block of 2^l positions that holds it; a query's prefix
+    of positions is cut into at most one block per l, each read as of the
+    query's time.  Rows grow by the logarithm of the span of positions, and a
+    hot key or block is split by the scan."""
+    keys = list(keys)
+    u = updates.select(*keys, F.col(pos).cast("long").alias("_pos"), F.col(ts).alias("_ts"), F.coalesce(F.col(val), F.lit(0)).alias("_v"))
+    first, last = updates.agg(F.min(pos), F.max(pos)).first()
+    first, last = int(first or 0), int(last or 0)
+    levels = max(1, (last - first + 1).bit_length())
+    u = previous(u, [*keys, "_pos"], ["_ts"], ["_v"], prefix="_old")
+    u = u.select(*keys, "_ts", (F.col("_v") - F.coalesce("_old_v", F.lit(0))).alias("_d"), (F.col("_pos") - first).alias("_at"),
+                 F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("_lv"))
+    u = u.withColumn("_block", F.expr("shiftright(_at, _lv)")).groupBy(*keys, "_lv", "_block", "_ts").agg(F.sum("_d").alias("_d"))
+    pre = ordered_scan(u, [*keys, "_lv", "_block"], ["_ts"], [Agg("_p", "sum", F.col("_d"))])
+    q = materialize(queries.withColumn("_q", F.monotonically_increasing_id()))
+    clip = lambda c: F.least(F.greatest(c - first, F.lit(0)), F.lit(last - first + 1)).cast("long")
+    ends = [(clip(F.col(hi) + 1), 1), (clip(F.col(lo)), -1)]  # prefixes of so many positions
+    cut = q.select("_q", *keys, ts, F.explode(F.array(*[F.struct(n.alias("n"), F.lit(sign).alias("sign")) for n, sign in ends])).alias("e"))
+    cut = (cut.select("_q", *keys, ts, "e.n", "e.sign", F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("_lv"))
+           .where(F.expr("shiftright(n, _lv) % 2 = 1")).withColumn("_block", F.expr("shiftright(n, _lv) - 1")))
+    top = cut.where(F.col("_lv") < levels)
+    read = asof_lookup(top, pre, [*keys, "_lv", "_block"], F.col(ts), F.col("_ts"), ["_p"])
+    sums = read.groupBy(F.col("_q").alias("_of")).agg(F.sum(F.col("sign") * F.col("_p")).alias("_sum"))
+    zero = F.lit(0).cast(sums.schema["_sum"].dataType)
+    return (q.join(sums, F.col("_q") == F.col("_of"), "left")
+            .select(*queries.columns, F.when(F.col(lo) <= F.col(hi), F.coalesce("_sum", zero)).otherwise(zero).alias(name)))
+
+
 def range_update(updates: DataFrame, start: str, end: str, val: str | None = None,
                  keys: Sequence[str] = (), name: str = "value") -> DataFrame:
     """Add ``val`` (1 by default) to every position start..end; return every
@@ -86,7 +122,7 @@ def range_update(updates: DataFrame, start: str, end: str, val: str | None = Non
               .groupBy(*keys, "pos").agg(F.sum("d").alias("d")))
     bounds = updates.groupBy(*keys).agg(F.min(start).alias("_lo"), F.max(end).alias("_hi"))
     spine = bounds.select(*keys, F.explode(F.sequence("_lo", "_hi")).alias("pos"))
-    filled = spine.join(deltas, [*keys, "pos"], "left").fillna(0, ["d"])
+    filled = key_join(spine, deltas, [*keys, "pos"], "left").fillna(0, ["d"])
     return ordered_scan(filled, keys, ["pos"], [Agg(name, "sum", F.col("d"))]).drop("d")
 
 
@@ -393,18 +429,31 @@ def last_repeat_window(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return c.groupBy(*keys).agg(F.max(F.col("_pos") - F.col("_st") + 1).alias(name))
 
 
-def k_distinct_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], item: str,
-                      items: Sequence[str], k: int, name: str = "longest_k_distinct") -> DataFrame:
-    """Longest window with at most k distinct items, for a known item set:
-    per item its last position so far; the window starts after the (k+1)-th
-    most recent of them."""
-    a = row_index(df, keys, order, name="_pos")
-    aggs = [Agg(f"_l{i}", "last", F.when(F.col(item) == x, F.col("_pos"))) for i, x in enumerate(items)]
-    b = ordered_scan(a, keys, order, aggs)
-    lasts = F.array_sort(F.array(*[F.coalesce(F.col(f"_l{i}"), F.lit(0)) for i in range(len(items))]),
-                         lambda x, y: F.when(x > y, -1).when(x < y, 1).otherwise(0))
-    start = F.when(F.size(lasts) > k, F.element_at(lasts, k + 1)).otherwise(F.lit(0)) + 1
-    return b.groupBy(*keys).agg(F.max(F.col("_pos") - start + 1).alias(name))
+def k_distinct_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], item: str, k: int,
+                      name: str = "longest_k_distinct") -> DataFrame:
+    """Longest window with at most k distinct items per key, whatever the items
+    (null is an item).
+
+    Level j knows, for each row, where the longest window of j distinct items
+    that ends there starts and which item stands before it.  A row whose item is
+    none of the last j starts a new window of level j: the one of level j - 1
+    that ends at the row before, and this row.  So a level is the previous
+    row's state of the level below and a running maximum: 2 k scans, no list of items."""
+    a = row_index(df.select(*keys, *order, F.struct(F.col(item).alias("v")).alias("_item")), keys, order, name="_pos")
+    rows = previous(a, keys, order, ["_item"], prefix="_last")
+    last = [F.col("_last_item")]  # the distinct items before the row, latest first
+    start, before = F.col("_pos"), F.col("_last_item")
+    for j in range(1, k + 1):
+        fresh = before.isNotNull()
+        for x in last:
+            fresh = fresh & ~F.col("_item").eqNullSafe(x)
+        state = F.when(fresh, F.struct(start.alias("start"), before.alias("before")))
+        rows = ordered_scan(rows, keys, order, [Agg(f"_s{j}", "max", state)])
+        if j < k:
+            rows = previous(rows, keys, order, [f"_s{j}"], prefix="_last")
+            start, before = F.col(f"_last_s{j}")["start"], F.col(f"_last_s{j}")["before"]
+            last.append(before)
+    return rows.groupBy(*keys).agg(F.max(F.col("_pos") - F.coalesce(F.col(f"_s{k}")["start"], F.lit(1)) + 1).alias(name))
 
 
 def bag_match_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str], item: str,
@@ -535,7 +584,6 @@ def rate_limit(df: DataFrame, keys: Sequence[str], t: str, id_col: str, span, ma
     chain is marked by pointer doubling: after round j the marked set holds
     the first 2^j chain rows, so a chain of n rows takes log2(n) rounds of
     joins on the unique id -- no key is ever processed by one task."""
-    from ..plans.asof import asof_lookup
     from ..plans.loops import check_cap, materialize
     base = df.select(*keys, t, id_col)
     probes = base.select(*keys, id_col, (F.col(t) + span).alias("_probe"))

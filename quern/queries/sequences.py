@@ -104,6 +104,22 @@ def q_range_sum_query(spark, d):
     return sq.range_sum_query(lines(spark, d), qs, ["l_orderkey"], "l_linenumber", "q")
 
 
+@query("timed_range_sums", """
+WITH u AS (SELECT o_orderpriority AS p, o_custkey % 100 AS pos, o_orderkey AS t, CAST(floor(o_totalprice) AS BIGINT) AS v FROM orders),
+dl AS (SELECT p, pos, t, v - coalesce(lag(v) OVER (PARTITION BY p, pos ORDER BY t), 0) AS dv FROM u)
+SELECT q.o_orderkey, CAST(coalesce(sum(dl.dv), 0) AS BIGINT) AS range_sum
+FROM orders q LEFT JOIN dl ON dl.p = q.o_orderpriority AND dl.t <= q.o_orderkey AND dl.pos BETWEEN q.o_custkey % 50 AND q.o_custkey % 50 + 20
+GROUP BY 1""")
+def q_timed_range_sums(spark, d):
+    o = table(spark, d, "orders")
+    updates = o.select("o_orderpriority", (F.col("o_custkey") % 100).alias("pos"), F.col("o_orderkey").alias("t"),
+                       F.floor("o_totalprice").cast("long").alias("v"))
+    asked = o.select("o_orderpriority", "o_orderkey", F.col("o_orderkey").alias("t"), (F.col("o_custkey") % 50).alias("lo"),
+                     (F.col("o_custkey") % 50 + 20).alias("hi"))
+    out = sq.timed_range_sums(updates, asked, ["o_orderpriority"], "pos", "v", "t")
+    return out.select("o_orderkey", F.col("range_sum").cast("long").alias("range_sum"))
+
+
 @query("range_update", f"""
 WITH s AS {S},
 dl AS (SELECT pos, sum(dv) AS dv FROM (SELECT st AS pos, 1 AS dv FROM s UNION ALL SELECT en + 1, -1 FROM s) GROUP BY pos),
@@ -380,21 +396,13 @@ def q_last_repeat_window(spark, d):
     return sq.last_repeat_window(events(spark, d), ["user_id"], ORDER, "event_type")
 
 
-TYPES = ["view", "signup", "error", "click", "purchase"]
-
-
 @query("k_distinct_window", f"""
-WITH a AS (SELECT user_id, event_type, ts, event_id, row_number() OVER ({W}) AS pos FROM {E}),
-b AS (SELECT user_id, pos, list_sort([
-          coalesce(last(CASE WHEN event_type = 'view' THEN pos END IGNORE NULLS) OVER ({W} ROWS UNBOUNDED PRECEDING), 0),
-          coalesce(last(CASE WHEN event_type = 'signup' THEN pos END IGNORE NULLS) OVER ({W} ROWS UNBOUNDED PRECEDING), 0),
-          coalesce(last(CASE WHEN event_type = 'error' THEN pos END IGNORE NULLS) OVER ({W} ROWS UNBOUNDED PRECEDING), 0),
-          coalesce(last(CASE WHEN event_type = 'click' THEN pos END IGNORE NULLS) OVER ({W} ROWS UNBOUNDED PRECEDING), 0),
-          coalesce(last(CASE WHEN event_type = 'purchase' THEN pos END IGNORE NULLS) OVER ({W} ROWS UNBOUNDED PRECEDING), 0)
-       ], 'DESC') AS lasts FROM a)
-SELECT user_id, max(pos - (lasts[3] + 1) + 1) AS longest_k_distinct FROM b GROUP BY 1""")
+WITH a AS (SELECT user_id, event_type, row_number() OVER ({W}) AS pos FROM {E}),
+l AS (SELECT x.user_id, x.pos, max(y.pos) AS last FROM a x JOIN a y ON x.user_id = y.user_id AND y.pos <= x.pos GROUP BY x.user_id, x.pos, y.event_type),
+n AS (SELECT user_id, pos, coalesce(list_sort(list(last), 'DESC')[3], 0) AS before FROM l GROUP BY user_id, pos)
+SELECT user_id, max(pos - before) AS longest_k_distinct FROM n GROUP BY 1""")
 def q_k_distinct_window(spark, d):
-    return sq.k_distinct_window(events(spark, d), ["user_id"], ORDER, "event_type", TYPES, 2)
+    return sq.k_distinct_window(events(spark, d), ["user_id"], ORDER, "event_type", 2)
 
 
 @query("bag_match_windows", f"""

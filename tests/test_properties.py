@@ -82,7 +82,7 @@ def test_k_distinct_and_repeat_windows(spark):
     rnd = random.Random(4)
     rows = [(k, i, rnd.choice("abcd")) for k in range(5) for i in range(rnd.randint(1, 30))]
     df = spark.createDataFrame(rows, "k long, pos long, item string")
-    got2 = {r.k: r.longest_k_distinct for r in sq.k_distinct_window(df, ["k"], ["pos"], "item", list("abcd"), 2).collect()}
+    got2 = {r.k: r.longest_k_distinct for r in sq.k_distinct_window(df, ["k"], ["pos"], "item", 2).collect()}
     got1 = {r.k: r.longest_distinct for r in sq.last_repeat_window(df, ["k"], ["pos"], "item").collect()}
     for k in range(5):
         s = [it for kk, _, it in rows if kk == k]
