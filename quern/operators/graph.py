@@ -100,6 +100,30 @@ def _contract(e: DataFrame, before: DataFrame | None, r: int) -> DataFrame:
     return joined.join(known, joined["member"] == known["_m"]).select("member", "class", "least")
 
 
+def spanning_forest(edges: DataFrame, src: str = "src", dst: str = "dst", w: str = "w") -> DataFrame:
+    """(src, dst, w) of a minimum spanning forest: in a round every component
+    takes its least outgoing edge (ties by the ends) and the components these
+    edges join become one; half of them at least go each round."""
+    e = materialize(edges.where(F.col(src) != F.col(dst)).select(
+        F.struct(F.col(w).alias("w"), F.least(src, dst).alias("u"), F.greatest(src, dst).alias("v")).alias("edge"))
+        .distinct().select("edge", F.col("edge.u").alias("u"), F.col("edge.v").alias("v")))
+    taken = []
+    while e.count():
+        ends = e.select("edge", "u", "v").unionByName(e.select("edge", F.col("v").alias("u"), F.col("u").alias("v")))
+        best = ends.groupBy("u").agg(F.min(F.struct("edge", "v")).alias("b"))
+        taken.append(materialize(best.select(F.col("b.edge").alias("edge"), "u", F.col("b.v").alias("v"))))
+        m = connected_components(taken[-1], "u", "v").select(F.col("node").alias("member"), F.col("comp").alias("class"))
+        a, b = (m.select(F.col("member").alias(f"_m{x}"), F.col("class").alias(f"_c{x}")) for x in "uv")
+        left = materialize(e.join(a, F.col("u") == F.col("_mu")).join(b, F.col("v") == F.col("_mv")).where("_cu != _cv")
+                           .select("edge", F.col("_cu").alias("u"), F.col("_cv").alias("v")))
+        discard(e)
+        e = left
+    if not taken:
+        return e.select(F.col("edge.u").alias(src), F.col("edge.v").alias(dst), F.col("edge.w").alias(w))
+    return (union_all(taken).select("edge").distinct()
+            .select(F.col("edge.u").alias(src), F.col("edge.v").alias(dst), F.col("edge.w").alias(w)))
+
+
 def component_sizes(labels: DataFrame) -> DataFrame:
     return labels.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
 

@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.loops import materialize
 from ..plans.scan import Agg, ordered_scan
-from .graph import component_sizes, connected_components
+from .graph import component_sizes, connected_components, spanning_forest
 
 
 def dense_cells(cells: DataFrame, rows: DataFrame, n_cols: Column) -> DataFrame:
@@ -85,16 +86,68 @@ def region_boundary(cells: DataFrame, q) -> DataFrame:
     return both.select("land", "shared", (4 * F.col("land") - 2 * F.col("shared")).alias("perimeter"))
 
 
+def cell_links(cells: DataFrame, same=None) -> DataFrame:
+    """(src, dst) ids of neighbouring cells (right and down), a cell's id being
+    the pair (row, col); ``same`` names a column in which they must agree."""
+    agree = [F.lit(None).alias("_same")] if same is None else [F.col(same).alias("_same")]
+    here = cells.select(F.struct("row", "col").alias("src"), F.col("row").alias("_r"), F.col("col").alias("_c"), *agree)
+    out = []
+    for r, c in ((0, 1), (1, 0)):
+        there = cells.select(F.struct("row", "col").alias("dst"), (F.col("row") - r).alias("_r2"), (F.col("col") - c).alias("_c2"),
+                             *[x.alias("_same2") for x in agree])
+        on = (F.col("_r") == F.col("_r2")) & (F.col("_c") == F.col("_c2"))
+        if same is not None:
+            on = on & F.col("_same").eqNullSafe(F.col("_same2"))
+        out.append(here.join(there, on).select("src", "dst"))
+    return out[0].unionByName(out[1])
+
+
 def grid_islands(cells: DataFrame, q) -> DataFrame:
     """4-neighbour islands of the cells with val > q: (island_row, island_col,
-    area).  A cell's id is the pair (row, col), whatever the grid's size; an
-    island is named by its smallest cell."""
-    land = cells.where(F.col("val") > q).select(F.struct("row", "col").alias("id"), "row", "col")
-    right = land.select(F.col("id").alias("dst"), F.col("row").alias("_r"), (F.col("col") - 1).alias("_c"))
-    down = land.select(F.col("id").alias("dst"), (F.col("row") - 1).alias("_r"), F.col("col").alias("_c"))
-    e = (land.join(right, (F.col("row") == F.col("_r")) & (F.col("col") == F.col("_c"))).select(F.col("id").alias("src"), "dst")
-         .unionByName(land.join(down, (F.col("row") == F.col("_r")) & (F.col("col") == F.col("_c")))
-                      .select(F.col("id").alias("src"), "dst")))
-    labels = connected_components(e, nodes=land.select("id"))
+    area).  An island is named by its smallest cell."""
+    land = cells.where(F.col("val") > q)
+    labels = connected_components(cell_links(land), nodes=land.select(F.struct("row", "col").alias("id")))
     return component_sizes(labels).select(F.col("comp.row").alias("island_row"), F.col("comp.col").alias("island_col"),
                                          F.col("size").alias("area"))
+
+
+def flooded_region(cells: DataFrame, seeds: DataFrame, val: str = "val") -> DataFrame:
+    """(row, col) of the cells that a fill from any of the ``seeds`` (row, col)
+    reaches over neighbours of the seed's value (null is a value).  A label join: the
+    regions of equal values are components, those of the seeds stay."""
+    labels = connected_components(cell_links(cells, val), nodes=cells.select(F.struct("row", "col").alias("id")))
+    marked = seeds.select(F.struct("row", "col").alias("node")).join(labels, "node").select("comp").distinct()
+    return labels.join(marked, "comp", "left_semi").select("node.row", "node.col")
+
+
+def enclosed_cells(cells: DataFrame, q) -> DataFrame:
+    """(row, col) of the cells with val <= q in regions that touch no border: not
+    the first or last row or column of the table."""
+    open_ = cells.where(F.col("val") <= q).select("row", "col")
+    labels = connected_components(cell_links(open_), nodes=open_.select(F.struct("row", "col").alias("id")))
+    edge = cells.agg(F.min("row").alias("r1"), F.max("row").alias("r2"), F.min("col").alias("c1"), F.max("col").alias("c2"))
+    r, c = F.col("node.row"), F.col("node.col")
+    # One row of four numbers.
+    touching = (labels.join(F.broadcast(edge), r.isin(F.col("r1"), F.col("r2")) | c.isin(F.col("c1"), F.col("c2")))
+                .select("comp").distinct())
+    return labels.join(touching, "comp", "left_anti").select("node.row", "node.col")
+
+
+def islands_after_additions(additions: DataFrame, t: str = "t") -> DataFrame:
+    """(t, islands): how many islands there are after each addition of a cell
+    (row, col) at a time of its own; adding a cell again changes nothing.
+
+    Two neighbours are linked when the later one is added.  A link merges two
+    islands exactly if it is in the minimum spanning forest by that time, so
+    the count is a running sum of +1 for a new cell and -1 for a forest link."""
+    first = materialize(additions.groupBy("row", "col").agg(F.min(t).alias("_t")))
+    at = first.select(F.struct("row", "col").alias("_id"), "_t")
+    links = (cell_links(first).join(at.select(F.col("_id").alias("src"), F.col("_t").alias("_ts")), "src")
+             .join(at.select(F.col("_id").alias("dst"), F.col("_t").alias("_td")), "dst")
+             .select("src", "dst", F.greatest("_ts", "_td").alias("w")))
+    forest = spanning_forest(links)
+    steps = (first.select(F.col("_t").alias("t"), F.lit(1).cast("long").alias("d"))
+             .unionByName(forest.select(F.col("w").alias("t"), F.lit(-1).cast("long").alias("d")))
+             .unionByName(additions.select(F.col(t).alias("t"), F.lit(0).cast("long").alias("d")))
+             .groupBy("t").agg(F.sum("d").alias("d")))
+    return ordered_scan(steps, [], ["t"], [Agg("islands", "sum", F.col("d"))]).select(F.col("t").alias(t), "islands")

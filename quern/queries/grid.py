@@ -98,3 +98,38 @@ SELECT comp AS island, count(*) AS area FROM cc GROUP BY comp""")
 def q_grid_islands(spark, d):
     i = gd.grid_islands(_grid(spark, d), 2)
     return i.select((F.col("island_row") * 1048576 + F.col("island_col")).alias("island"), "area")
+
+
+@query("flooded_region", f"""
+WITH RECURSIVE {_G_SQL},
+k AS (SELECT row, col, least(val, 3) AS v FROM g),
+seed AS (SELECT row, col, v FROM k ORDER BY row, col LIMIT 1),
+reach(row, col, v) AS (
+  SELECT row, col, v FROM seed
+  UNION
+  SELECT k.row, k.col, k.v FROM reach r JOIN k ON k.v = r.v AND abs(k.row - r.row) + abs(k.col - r.col) = 1)
+SELECT row, col FROM reach""")
+def q_flooded_region(spark, d):
+    g = _grid(spark, d).withColumn("val", F.least("val", F.lit(3)))
+    seed = g.agg(F.min(F.struct("row", "col")).alias("s")).select("s.row", "s.col")
+    return gd.flooded_region(g, seed)
+
+
+@query("enclosed_cells", f"""
+WITH RECURSIVE {_G_SQL},
+o AS (SELECT row, col FROM g WHERE val <= 1),
+b AS (SELECT min(row) AS r1, max(row) AS r2, min(col) AS c1, max(col) AS c2 FROM g),
+reach(row, col) AS (
+  SELECT row, col FROM o, b WHERE row IN (r1, r2) OR col IN (c1, c2)
+  UNION
+  SELECT o.row, o.col FROM reach r JOIN o ON abs(o.row - r.row) + abs(o.col - r.col) = 1)
+SELECT row, col FROM o WHERE (row, col) NOT IN (SELECT row, col FROM reach)""")
+def q_enclosed_cells(spark, d):
+    return gd.enclosed_cells(_grid(spark, d), 1)
+
+
+@query("islands_after_additions")
+def q_islands_after_additions(spark, d):
+    e = table(spark, d, "events")
+    return gd.islands_after_additions(e.select(F.col("user_id").alias("row"), (F.dayofmonth("ts") - 1).cast("long").alias("col"),
+                                               F.col("event_id").alias("t")))
