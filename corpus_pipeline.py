@@ -5,6 +5,13 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the
 last keep the columns of ``documents``.  ``run`` writes every stage's result as
 Parquet into the shared folder that ``spark.checkpoint.dir`` names and reads it
 again for the next, so a lost executor costs no more than the stage at hand.
+
+Defined results of the stages: null and empty texts are scored like any text
+without words, have no lines to lose, share fingerprint zero, size 0 and no
+tokens; null ids and sources are values of their own; of rows equal in id and
+text near-dedup keeps one; ties go to the least id; texts of any length are
+taken whole; an empty table gives an empty one.  Extra columns of any name are
+carried to the last stage, which returns its own.
 """
 
 from __future__ import annotations
@@ -16,7 +23,8 @@ from pyspark.sql import functions as F
 
 from quern.llm import bpe, line_dedup, mixing, quality_gam, simhash
 from quern.llm.common import read
-from quern.session import ensure_checkpoint_dir, ship_package
+from quern.plans.loops import scratch_folder
+from quern.session import ship_package
 
 # Classifier, component search and BPE have no SQL form.
 ORACLE_SQL = None
@@ -62,7 +70,7 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the last one's rows."""
     ship_package(spark)
-    folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{scratch_folder(spark)}/pipeline-{uuid.uuid4().hex}"  # deleted when the application ends
     docs = read(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
         path = f"{folder}/{number}"

@@ -102,17 +102,16 @@ def q_grid_islands(spark, d):
 
 @query("flooded_region", f"""
 WITH RECURSIVE {_G_SQL},
-k AS (SELECT row, col, least(val, 3) AS v FROM g),
-seed AS (SELECT row, col, v FROM k ORDER BY row, col LIMIT 1),
+k AS (SELECT row, col, least(val, 2) AS v FROM g),
+seed AS (SELECT row, col, v FROM k WHERE col = 0),
 reach(row, col, v) AS (
   SELECT row, col, v FROM seed
   UNION
   SELECT k.row, k.col, k.v FROM reach r JOIN k ON k.v = r.v AND abs(k.row - r.row) + abs(k.col - r.col) = 1)
 SELECT row, col FROM reach""")
 def q_flooded_region(spark, d):
-    g = _grid(spark, d).withColumn("val", F.least("val", F.lit(3)))
-    seed = g.agg(F.min(F.struct("row", "col")).alias("s")).select("s.row", "s.col")
-    return gd.flooded_region(g, seed)
+    g = _grid(spark, d).withColumn("val", F.least("val", F.lit(2)))
+    return gd.flooded_region(g, g.where("col = 0").select("row", "col"))
 
 
 @query("enclosed_cells", f"""
