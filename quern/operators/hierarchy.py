@@ -1,22 +1,39 @@
 """Hierarchy operators on a parent-child table ``(id, parent, side, val)``
 (survey 2.10).
 
-``tree_paths`` walks down from the roots one level per round (join of the
-frontier with the children, checkpointed) and gives every node its level, a
-path code (``0`` left, ``1`` right), its ancestors and running values; every
-other operator reads that table with joins, aggregates and the skew-safe
-scan.  Bottom-up values (heights, path gains) are aggregates over
-(ancestor, descendant) pairs.  Nothing gathers a subtree into one row: subtree identity
-is an order-free sum of hashes of (relative path, value) pairs.
+``tree_paths`` climbs from every node to its root by pointer doubling
+(``plans/lifting.py``): level, root sum and the like in log2(depth) rounds of
+one join, and the pointers of each round.  Subtree values are folds over the
+same pointers, preorder positions are root sums of the sizes to the left, and
+orders, neighbours and stabbing counts are skew-safe scans over positions.  A
+path is written out only where it is the result (``root_paths``,
+``merge_trees``, ``outline_paths``); no row holds its ancestors or a subtree.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.loops import materialize, union_all
-from ..plans.scan import previous, row_index
+from ..plans.lifting import ancestor_pairs, ascend, descend
+from ..plans.loops import materialize
+from ..plans.scan import previous, reusable, row_index
+from .sequences import running_sum
+
+
+@dataclass
+class Tree:
+    """Rows (id, parent, side, val, level, psum, run, rights, digits; ``code``
+    when asked for), the lifts, and the preorder once it was needed."""
+    rows: DataFrame
+    lifts: list[DataFrame]
+    order: DataFrame | None = field(default=None, repr=False)
+
+
+def _rows(tree: Tree | DataFrame) -> DataFrame:
+    return tree.rows if isinstance(tree, Tree) else tree
 
 
 def binary_heap_tree(df: DataFrame, key: str, val: Column) -> DataFrame:
@@ -29,105 +46,163 @@ def binary_heap_tree(df: DataFrame, key: str, val: Column) -> DataFrame:
                      val.cast("long").alias("val"))
 
 
-def tree_paths(nodes: DataFrame) -> DataFrame:
-    """Every node with level, path code, ancestors (root..self), root-to-node
-    sum, ancestor prefix sums (root-side, 0 first), +1-run length, the digits
-    of the path (as text: any depth) and the path text.  The loop ends with
-    the deepest level; rows on a cycle have no root and are left out."""
-    n = materialize(nodes.select("id", "parent", "side", "val"))
-    ids = n.select(F.col("id").alias("_pid"))
-    roots = n.join(ids, n["parent"] == ids["_pid"], "left_anti")
-    front = materialize(roots.select(
-        "id", "parent", "side", "val", F.lit(0).cast("long").alias("level"), F.lit("").alias("code"),
-        F.array(F.col("id")).alias("anc"), F.col("val").alias("psum"), F.array(F.lit(0).cast("long")).alias("prefixes"),
-        F.lit(1).cast("long").alias("run"), F.pmod("val", F.lit(10)).cast("string").alias("digits"),
-        F.col("val").cast("string").alias("path_text")))
-    levels = [front]
-    lvl = 0
-    while True:
-        lvl += 1
-        p = front.select(F.col("id").alias("_p"), F.col("code").alias("_code"), F.col("anc").alias("_anc"),
-                         F.col("psum").alias("_psum"), F.col("prefixes").alias("_pre"), F.col("run").alias("_run"),
-                         F.col("val").alias("_pval"), F.col("digits").alias("_dig"), F.col("path_text").alias("_txt"))
-        c = n.join(p, n["parent"] == p["_p"])
-        front = materialize(c.select(
-            "id", "parent", "side", "val", F.lit(lvl).cast("long").alias("level"),
-            F.concat("_code", F.when(F.col("side") == "L", "0").otherwise("1")).alias("code"),
-            F.array_append("_anc", F.col("id")).alias("anc"), (F.col("_psum") + F.col("val")).alias("psum"),
-            F.array_append("_pre", F.col("_psum")).alias("prefixes"),
-            F.when(F.col("val") == F.col("_pval") + 1, F.col("_run") + 1).otherwise(1).cast("long").alias("run"),
-            F.concat("_dig", F.pmod("val", F.lit(10)).cast("string")).alias("digits"),
-            F.concat("_txt", F.lit("->"), F.col("val").cast("string")).alias("path_text")))
-        if front.count() == 0:
-            break
-        levels.append(front)
-    return union_all(levels)
-
-
-def leaves(paths: DataFrame) -> DataFrame:
+def _number(low, high) -> Column:
+    """Digits of the upper part before those of the lower; null beyond 38."""
+    power = F.expr("CASE WHEN length < 38 THEN CAST(rpad('1', CAST(length AS INT) + 1, '0') AS DECIMAL(38,0)) END")
+    return (F.when(high("number") == 0, low("number"))
+            .otherwise(F.try_add(F.try_multiply(high("number"), power), low("number")).cast("decimal(38,0)")))
+
+
+def tree_paths(nodes: DataFrame, codes: bool = False) -> Tree:
+    """Every node with its level, root-to-node sum, the length of the +1 run
+    ending at it, the number of right steps on its path and the number its
+    path's digits spell (as text; null when it does not fit 38 digits); with
+    ``codes`` also the path code (``0`` left, ``1`` right), as long as the path.
+
+    Ids are unique; a node whose parent is null or has no row is a root; rows
+    on a cycle have no root and are left out, as is a cycle's whole subtree.  A
+    null value makes the sums below it null."""
+    n = reusable(nodes.select("id", "parent", "side", "val"))
+    above = n.select(F.col("id").alias("up"), F.col("val").alias("_pval"))
+    inner = n.where("parent IS NOT NULL").join(above, F.col("parent") == F.col("up"), "left")
+    top = n.where("parent IS NULL").select("*", F.lit(None).cast(n.schema["id"].dataType).alias("up"),
+                                           F.lit(None).cast(n.schema["val"].dataType).alias("_pval"))
+    linked = F.coalesce(F.col("val") == F.col("_pval") + 1, F.lit(False))
+    right = F.when(F.col("up").isNull() | F.coalesce(F.col("side") == "L", F.lit(False)), 0).otherwise(1)
+    step = F.when(F.col("up").isNull(), "").when(F.col("side") == "L", "0").otherwise("1")
+    start = inner.unionByName(top).select(
+        "id", "parent", "side", "val", "up", F.lit(1).cast("long").alias("length"), F.col("val").cast("long").alias("psum"),
+        linked.cast("long").alias("links"), linked.alias("whole"), right.cast("long").alias("rights"),
+        F.pmod("val", F.lit(10)).cast("decimal(38,0)").alias("number"), *([step.alias("code")] if codes else []))
+    add = lambda c: lambda low, high: low(c) + high(c)
+    combine = {"length": add("length"), "psum": add("psum"), "rights": add("rights"), "number": _number,
+               "links": lambda low, high: low("links") + F.when(low("whole"), high("links")).otherwise(0),
+               "whole": lambda low, high: low("whole") & high("whole")}
+    if codes:
+        combine["code"] = lambda low, high: F.concat(high("code"), low("code"))
+    rows, lifts = ascend(start, combine)
+    rows = rows.select("id", "parent", "side", "val", (F.col("length") - 1).alias("level"), "psum",
+                       (F.col("links") + 1).alias("run"), "rights", F.col("number").cast("string").alias("digits"),
+                       *(["code"] if codes else []))
+    return Tree(rows, lifts)
+
+
+def preorder(tree: Tree) -> DataFrame:
+    """(id, val, side, parent, level, psum, run, rights, size, n_left, n_right,
+    left_size, pre_pos): subtree sizes by a fold; a node's preorder position is
+    the sum, over its path, of one and the sizes of earlier siblings.  Siblings
+    go left before right, then by id; roots by id."""
+    if tree.order is not None:
+        return tree.order
+    sizes = descend(tree.rows.withColumn("size", F.lit(1).cast("long")), tree.lifts, {"size": F.sum})
+    cols = ["id", "val", "side", "parent", "level", "psum", "run", "rights"]
+    rows = tree.rows.select(cols).join(sizes, "id")
+    kids = rows.where("level > 0").groupBy(F.col("parent").alias("_p")).agg(
+        F.count(F.when(F.col("side") == "L", 1)).alias("n_left"), F.count(F.lit(1)).alias("_n"),
+        F.sum(F.when(F.col("side") == "L", F.col("size"))).alias("_ls"))
+    rows = rows.join(kids, rows["id"] == kids["_p"], "left").select(
+        *cols, "size", F.coalesce("n_left", F.lit(0)).alias("n_left"),
+        (F.coalesce("_n", F.lit(0)) - F.coalesce("n_left", F.lit(0))).alias("n_right"),
+        F.coalesce("_ls", F.lit(0)).alias("left_size"))
+    rows = rows.withColumn("up", F.when(F.col("level") > 0, F.col("parent")))
+    rows = rows.withColumn("_right", F.when(F.col("level") == 0, 0).when(F.col("side") == "L", 0).otherwise(1))
+    before = running_sum(rows, ["up"], ["_right", "id"], "size", "_upto")
+    start = before.select(*cols, "size", "n_left", "n_right", "left_size", "up",
+                          (F.col("_upto") - F.col("size") + 1).alias("pre_pos"))
+    tree.order = ascend(start, {"pre_pos": lambda low, high: low("pre_pos") + high("pre_pos")})[0]
+    return tree.order
+
+
+def leaves(tree: Tree | DataFrame) -> DataFrame:
+    paths = _rows(tree)
     kids = paths.select(F.col("parent").alias("_pp")).where(F.col("_pp").isNotNull()).distinct()
     return paths.join(kids, paths["id"] == kids["_pp"], "left_anti")
 
 
-def tree_levels(paths: DataFrame) -> DataFrame:
+def tree_levels(tree: Tree) -> DataFrame:
     """Per node: level, position in its level (left to right), zigzag
     position (odd levels right to left) and the right neighbour in the level."""
-    # codes of one level have one length, so text order is left-to-right order
-    p = paths.select("id", "level", F.col("code").alias("_pos_key"))
-    r = row_index(p, ["level"], ["_pos_key", "id"], name="pos_in_level")
-    r = previous(r, ["level"], ["_pos_key", "id"], ["id"], prefix="_nx_", descending=True)
-    sizes = paths.groupBy("level").agg(F.count(F.lit(1)).alias("_size"))
+    p = preorder(tree).select("id", "level", "pre_pos")
+    r = row_index(p, ["level"], ["pre_pos"], name="pos_in_level")
+    r = previous(r, ["level"], ["pre_pos"], ["id"], prefix="_nx_", descending=True)
+    sizes = p.groupBy("level").agg(F.count(F.lit(1)).alias("_size"))
     r = r.join(sizes, "level")
     zig = F.when(F.col("level") % 2 == 1, F.col("_size") - F.col("pos_in_level") + 1).otherwise(F.col("pos_in_level"))
     return r.select("id", "level", "pos_in_level", zig.alias("zigzag_pos"), F.col("_nx_id").alias("right_neighbour"))
 
 
-def tree_summary(paths: DataFrame) -> DataFrame:
+def tree_summary(tree: Tree | DataFrame) -> DataFrame:
     """Max depth (levels), least leaf depth, depth-weighted sum, sum of left
     leaves and the sum of the root-to-leaf digit numbers (null when any of
     them does not fit 38 digits)."""
-    lv = leaves(paths)
+    lv = leaves(tree)
     number = F.expr("try_cast(digits AS DECIMAL(38,0))")
-    a = paths.agg((F.max("level") + 1).alias("max_depth"),
+    a = _rows(tree).agg((F.max("level") + 1).alias("max_depth"),
                   F.sum(F.col("val") * (F.col("level") + 1)).alias("weighted_sum"))
     b = lv.agg((F.min("level") + 1).alias("min_leaf_depth"),
                F.coalesce(F.sum(F.when(F.col("side") == "L", F.col("val"))), F.lit(0)).alias("left_leaf_sum"),
-               F.when(F.count("digits") == F.count(number), F.sum(number)).alias("digit_sum"))
+               F.when(F.count(F.lit(1)) == F.count(number), F.sum(number)).alias("digit_sum"))
     return a.unionByName(b, allowMissingColumns=True).agg(
         *[F.max(c).alias(c) for c in ["max_depth", "weighted_sum", "min_leaf_depth", "left_leaf_sum", "digit_sum"]])
 
 
-def root_paths(paths: DataFrame, target: int) -> DataFrame:
+def root_paths(tree: Tree, target: int) -> DataFrame:
     """Root-to-leaf paths: text, sum, whether the sum hits ``target``, and the
-    path's digits (text, and the number where it fits 64 bits)."""
-    return leaves(paths).select("id", "path_text", F.col("psum").alias("path_sum"),
-                                (F.col("psum") == target).alias("hits_target"), F.col("digits").alias("digit_text"),
-                                F.expr("try_cast(digits AS BIGINT)").alias("digit_number"))
-
-
-def segment_paths(paths: DataFrame, k: int) -> DataFrame:
-    """Per node: downward paths ending at it with sum k (an ancestor prefix
-    equal to psum - k), and the length of the +1 run ending at it."""
-    n = F.size(F.filter("prefixes", lambda p: F.col("psum") - p == k))
-    return paths.select("id", n.cast("long").alias("n_paths"), "run")
-
-
-def subtree_stats(nodes: DataFrame, paths: DataFrame) -> DataFrame:
+    path's digits (text, and the number where it fits 64 bits).  The rows of a
+    leaf's ancestors are gathered, as the result holds them in one text; a null
+    value makes the texts null."""
+    lv = leaves(tree).select("id", F.col("psum").alias("path_sum"))
+    own = tree.rows.select(F.col("id").alias("_n"), "val")
+    pairs = ancestor_pairs(lv, tree.lifts)
+    steps = pairs.join(own, F.col("ancestor") == F.col("_n")).groupBy("id").agg(
+        F.sort_array(F.collect_list(F.struct((-F.col("dist")).alias("at"), "val"))).alias("steps"),
+        (F.count("val") == F.count(F.lit(1))).alias("full"))
+    digit = lambda s: F.pmod(s["val"], F.lit(10)).cast("string")
+    text = steps.select("id", F.when(F.col("full"), F.array_join(F.transform("steps", lambda s: s["val"].cast("string")), "->"))
+                        .alias("path_text"),
+                        F.when(F.col("full"), F.array_join(F.transform("steps", digit), "")).alias("digits"))
+    return lv.join(text, "id").select("id", "path_text", "path_sum", (F.col("path_sum") == target).alias("hits_target"),
+                                      F.col("digits").alias("digit_text"),
+                                      F.expr("try_cast(digits AS BIGINT)").alias("digit_number"))
+
+
+def segment_paths(tree: Tree, k: int) -> DataFrame:
+    """Per node: downward paths ending at it with sum k, and the length of the
+    +1 run ending at it.
+
+    A path from ancestor a has sum k when the root sum before a is the node's
+    less k.  Ancestors are the nodes whose preorder range holds the node's
+    position, so the count is a running sum, per root sum, of +1 where a range
+    with it opens and -1 behind its end."""
+    p = preorder(tree)
+    before = F.col("psum") - F.col("val")
+    none = F.lit(None).cast(p.schema["id"].dataType)
+    event = lambda pos, delta: p.where(before.isNotNull()).select(
+        none.alias("id"), before.alias("total"), pos.alias("pos"), F.lit(0).alias("kind"),
+        F.lit(delta).cast("long").alias("delta"), F.lit(None).cast("long").alias("run"))
+    ask = p.select("id", (F.col("psum") - k).alias("total"), F.col("pre_pos").alias("pos"), F.lit(1).alias("kind"),
+                   F.lit(0).cast("long").alias("delta"), "run")
+    events = event(F.col("pre_pos"), 1).unionByName(event(F.col("pre_pos") + F.col("size"), -1)).unionByName(ask)
+    counted = running_sum(events, ["total"], ["pos", "kind"], "delta", "n_paths")
+    return counted.where("kind = 1").select("id", "n_paths", "run")
+
+
+def subtree_stats(tree: Tree) -> DataFrame:
     """Per node: height (edges to the deepest leaf), balanced (child heights
     differ by at most 1, a missing child counts -1), diameter through the
     node, best gain (best downward path sum starting at the node) and the best
     path sum through the node.
 
-    No level loop: over (ancestor, descendant) pairs, height = max descendant
-    level - level and gain = max descendant root sum - root sum + value (the
-    best path from the node down to any descendant); one join then brings
-    each node its two children's values."""
-    ap = paths.select("level", "psum", F.explode("anc").alias("ancestor"))
-    down = ap.groupBy(F.col("ancestor").alias("id")).agg(F.max("level").alias("_maxlvl"), F.max("psum").alias("_maxsum"))
-    base = paths.select("id", "parent", "side", "val", "level", "psum").join(down, "id")
-    stats = base.select("id", "parent", "side", "val", (F.col("_maxlvl") - F.col("level")).alias("height"),
-                        (F.col("_maxsum") - F.col("psum") + F.col("val")).alias("gain"))
-    kids = stats.groupBy(F.col("parent").alias("_p")).agg(
+    Two folds over the subtree: height = max descendant level - level and gain
+    = max descendant root sum - root sum + value (the best path from the node
+    down to any descendant); one join then brings each node its two children's
+    values."""
+    rows = tree.rows.select("id", "parent", "side", "val", "level", "psum")
+    down = descend(rows.select("id", F.col("level").alias("_maxlvl"), F.col("psum").alias("_maxsum")), tree.lifts,
+                   {"_maxlvl": F.max, "_maxsum": F.max})
+    stats = rows.join(down, "id").select("id", "parent", "side", "val", (F.col("_maxlvl") - F.col("level")).alias("height"),
+                                         (F.col("_maxsum") - F.col("psum") + F.col("val")).alias("gain"))
+    kids = stats.where("parent IS NOT NULL").groupBy(F.col("parent").alias("_p")).agg(
         F.max(F.when(F.col("side") == "L", F.col("height"))).alias("_hl"),
         F.max(F.when(F.col("side") == "R", F.col("height"))).alias("_hr"),
         F.max(F.when(F.col("side") == "L", F.col("gain"))).alias("_gl"),
@@ -139,52 +214,66 @@ def subtree_stats(nodes: DataFrame, paths: DataFrame) -> DataFrame:
                     "gain", (F.col("val") + gl + gr_).alias("best_path_through"))
 
 
-def ancestor_pairs(paths: DataFrame) -> DataFrame:
-    """(ancestor, node, relative code) for every node and each of its
-    ancestors including itself: n x depth rows."""
-    e = paths.select("id", "code", "val", F.posexplode("anc").alias("_i", "ancestor"))
-    return e.select("ancestor", "id", "val", F.expr("substring(code, _i + 1)").alias("rel"))
-
-
-def lowest_common_ancestor(paths: DataFrame, pairs: DataFrame, a: str, b: str) -> DataFrame:
-    """Deepest shared ancestor of each pair (a node is its own ancestor)."""
-    pa = paths.select(F.col("id").alias("_a"), F.col("anc").alias("_anc_a"))
-    pb = paths.select(F.col("id").alias("_b"), F.col("anc").alias("_anc_b"))
-    j = pairs.join(pa, pairs[a] == pa["_a"]).join(pb, pairs[b] == pb["_b"])
-    same = F.zip_with("_anc_a", "_anc_b", lambda x, y: F.when(x == y, x))
-    common = F.filter(same, lambda x: x.isNotNull())
-    return j.select(*pairs.columns, F.element_at(common, -1).alias("lca"))
-
-
-def leaf_order(paths: DataFrame) -> DataFrame:
-    """Leaves left to right with their position (preorder of the path code)."""
-    lv = leaves(paths).select("id", "val", "side", "code")
-    r = row_index(lv, [], ["code", "id"], name="leaf_pos")
-    return r.drop("code")
-
-
-def leaf_similar(paths_a: DataFrame, paths_b: DataFrame) -> DataFrame:
+def lowest_common_ancestor(tree: Tree, pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """Deepest shared ancestor of each pair (a node is its own ancestor); null
+    for nodes of two trees; pairs with a node that has no row are left out.
+
+    All pairs at once over the lifts: the deeper node climbs by the bits of the
+    difference in level, then both climb by falling powers of two as long as
+    their ancestors differ."""
+    lv = tree.rows.select(F.col("id").alias("_n"), F.col("level").alias("_l"))
+    la, lb = (lv.select(F.col("_n").alias(f"_{x}"), F.col("_l").alias(f"_l{x}")) for x in "ab")
+    row = pairs.select(F.struct(*[F.col(c) for c in pairs.columns]).alias("_row"), F.col(a).alias("_va"), F.col(b).alias("_vb"))
+    j = row.join(la, F.col("_va") == F.col("_a")).join(lb, F.col("_vb") == F.col("_b"))
+    deeper = F.col("_la") >= F.col("_lb")
+    j = materialize(j.select("_row", F.when(deeper, F.col("_a")).otherwise(F.col("_b")).alias("_x"),
+                             F.when(deeper, F.col("_b")).otherwise(F.col("_a")).alias("_y"),
+                             F.abs(F.col("_la") - F.col("_lb")).alias("_gap")))
+
+    def lift(k: int, name: str) -> DataFrame:
+        return tree.lifts[k].select(F.col("id").alias(f"_from{name}"), F.col("up").alias(f"_up{name}"))
+
+    for k in range(len(tree.lifts)):
+        bit = F.col("_gap").bitwiseAND(F.lit(1 << k).cast("long")) != 0
+        climbed = j.where(bit).join(lift(k, "x"), F.col("_x") == F.col("_fromx"))
+        j = materialize(j.where(~bit).unionByName(climbed.select("_row", F.col("_upx").alias("_x"), "_y", "_gap")))
+    for k in reversed(range(len(tree.lifts))):
+        up = j.join(lift(k, "x"), F.col("_x") == F.col("_fromx"), "left").join(lift(k, "y"), F.col("_y") == F.col("_fromy"), "left")
+        apart = F.coalesce(F.col("_upx") != F.col("_upy"), F.lit(False))
+        j = materialize(up.select("_row", F.when(apart, F.col("_upx")).otherwise(F.col("_x")).alias("_x"),
+                                  F.when(apart, F.col("_upy")).otherwise(F.col("_y")).alias("_y")))
+    if tree.lifts:
+        j = j.join(lift(0, "x"), F.col("_x") == F.col("_fromx"), "left")
+        lca = F.when(F.col("_x") == F.col("_y"), F.col("_x")).otherwise(F.col("_upx"))
+    else:
+        lca = F.when(F.col("_x") == F.col("_y"), F.col("_x"))
+    return j.select("_row.*", lca.alias("lca"))
+
+
+def leaf_order(tree: Tree) -> DataFrame:
+    """Leaves left to right with their position."""
+    lv = preorder(tree).where("size = 1").select("id", "val", "side", "pre_pos")
+    return row_index(lv, [], ["pre_pos"], name="leaf_pos").drop("pre_pos")
+
+
+def leaf_similar(tree_a: Tree, tree_b: Tree) -> DataFrame:
     """Do two trees have the same leaf value sequence?  Positions joined."""
-    a = leaf_order(paths_a).select("leaf_pos", F.col("val").alias("va"))
-    b = leaf_order(paths_b).select("leaf_pos", F.col("val").alias("vb"))
+    a = leaf_order(tree_a).select("leaf_pos", F.col("val").alias("va"))
+    b = leaf_order(tree_b).select("leaf_pos", F.col("val").alias("vb"))
     j = a.join(b, "leaf_pos", "full")
     return j.agg(F.coalesce(F.bool_and(F.col("va").eqNullSafe(F.col("vb"))), F.lit(True)).alias("similar"),
                  F.count("va").alias("n_leaves_a"), F.count("vb").alias("n_leaves_b"),
                  F.min(F.when(~F.col("va").eqNullSafe(F.col("vb")), F.col("leaf_pos"))).alias("first_difference"))
 
 
-def traversal_order(paths: DataFrame) -> DataFrame:
-    """Pre-, in- and post-order positions from path codes: preorder sorts by
-    the code (parent first); in-order maps left/right to 0/2 and the node to
-    1; post-order appends 2 to a 0/1 code (children first)."""
-    p = paths.select("id", "val", "code")
-    inkey = F.concat(F.translate("code", "1", "2"), F.lit("1"))
-    postkey = F.concat(F.col("code"), F.lit("2"))
-    p = p.select("id", "val", F.col("code").alias("_pre"), inkey.alias("_in"), postkey.alias("_post"))
-    out = row_index(p, [], ["_pre", "id"], name="pre_pos")
-    out = row_index(out, [], ["_in", "id"], name="in_pos")
-    out = row_index(out, [], ["_post", "id"], name="post_pos")
-    return out.drop("_pre", "_in", "_post")
+def traversal_order(tree: Tree) -> DataFrame:
+    """Pre-, in- and post-order positions.  Before a node in post-order come
+    the nodes before it in preorder that are not its ancestors, and its
+    subtree; in in-order the former, its left subtree, and the ancestors in
+    whose right subtree it lies."""
+    apart = F.col("pre_pos") - 1 - F.col("level")
+    return preorder(tree).select("id", "val", "pre_pos", (apart + F.col("left_size") + F.col("rights") + 1).alias("in_pos"),
+                                 (apart + F.col("size")).alias("post_pos"))
 
 
 def is_search_tree(order: DataFrame) -> DataFrame:
@@ -194,34 +283,75 @@ def is_search_tree(order: DataFrame) -> DataFrame:
                             F.lit(True)).alias("is_search_tree"))
 
 
-def subtree_hashes(paths: DataFrame) -> DataFrame:
-    """Per node an order-free hash of its subtree: the sum of xxhash64 of
-    (relative path, value) over its descendants, and the subtree size."""
-    ap = ancestor_pairs(paths)
-    h = F.xxhash64(F.col("rel"), F.col("val"))
-    return ap.groupBy(F.col("ancestor").alias("id")).agg(
-        F.sum(h.cast("decimal(20,0)")).cast("string").alias("shape_hash"), F.count(F.lit(1)).alias("size"))
-
-
-def tree_compare(paths_a: DataFrame, paths_b: DataFrame) -> DataFrame:
-    """Equal (same codes and values), mirror-equal (B with sides swapped) and
-    the number of B subtrees found among A's subtrees."""
-    a = paths_a.select("code", F.col("val").alias("va"))
-    b = paths_b.select("code", F.col("val").alias("vb"))
-    bm = paths_b.select(F.translate("code", "01", "10").alias("code"), F.col("val").alias("vb"))
-    same = a.join(b, "code", "full").agg(F.bool_and(F.col("va").eqNullSafe(F.col("vb"))).alias("equal"))
-    mirror = a.join(bm, "code", "full").agg(F.bool_and(F.col("va").eqNullSafe(F.col("vb"))).alias("mirror"))
-    ha = subtree_hashes(paths_a).select("shape_hash", "size").distinct()
-    hb = subtree_hashes(paths_b)
-    found = hb.join(ha, ["shape_hash", "size"], "left_semi").agg(F.count(F.lit(1)).alias("b_subtrees_in_a"))
+def _same_subtrees(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(tree, pos, size, head, tail): equal (size, head, tail) exactly where two
+    subtrees are equal.
+
+    A subtree is the stretch of ``size`` tokens (value, children left and
+    right) from its preorder position.  Round k names every stretch of 2^k
+    tokens by the least position at which the same pair of half-size names
+    stands; a stretch of any length is the two longest named ones at its start
+    and its end.  Names stand for equal tokens, not for equal hashes."""
+    tokens = lambda t, tag: t.select(F.lit(tag).alias("tree"), F.col("pre_pos").alias("pos"), "size",
+                                     F.struct("val", "n_left", "n_right").alias("token"))
+    both = materialize(tokens(a, "a").unionByName(tokens(b, "b")))
+    place = F.struct("tree", "pos")
+
+    def name(parts: DataFrame, cols: list[str]) -> DataFrame:
+        first = parts.groupBy(*cols).agg(F.min(place).alias("name"))
+        left = parts.select(*[F.col(c).alias(f"_{c}") for c in cols], "tree", "pos")
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cols]
+        return materialize(left.join(first, same).select("tree", "pos", "name"))
+
+    named, length, found = name(both, ["token"]), 1, []
+    largest = both.agg(F.max("size")).first()[0] or 0
+    while length <= largest:
+        ends = both.where((F.col("size") >= length) & (F.col("size") < 2 * length)).select("tree", "pos", "size")
+        tail = named.select("tree", F.col("pos").alias("_end"), F.col("name").alias("tail"))
+        found.append(ends.join(named.withColumnRenamed("name", "head"), ["tree", "pos"])
+                     .withColumn("_end", F.col("pos") + F.col("size") - length).join(tail, ["tree", "_end"]).drop("_end"))
+        if 2 * length > largest:
+            break
+        second = named.select("tree", (F.col("pos") - length).alias("pos"), F.col("name").alias("second"))
+        named = name(named.withColumnRenamed("name", "first").join(second, ["tree", "pos"]), ["first", "second"])
+        length *= 2
+    if not found:
+        return both.select("tree", "pos", "size", place.alias("head"), place.alias("tail"))
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return materialize(out)
+
+
+def tree_compare(tree_a: Tree, tree_b: Tree) -> DataFrame:
+    """Equal (same shape and values), mirror-equal (B with sides swapped) and
+    the number of B subtrees found among A's subtrees.  At most one child a
+    side; two empty trees are equal.  The mirror's preorder is B's post-order
+    backwards."""
+    a, b = preorder(tree_a), preorder(tree_b)
+    size_b = b.agg(F.count(F.lit(1)).alias("_all"))
+    ta = a.select("pre_pos", F.struct("val", "n_left", "n_right").alias("ta"))
+    tb = b.select("pre_pos", F.struct("val", "n_left", "n_right").alias("tb"))
+    post = F.col("pre_pos") - 1 - F.col("level") + F.col("size")
+    tm = b.join(F.broadcast(size_b)).select(  # one row
+        (F.col("_all") + 1 - post).alias("pre_pos"),
+        F.struct("val", F.col("n_right").alias("n_left"), F.col("n_left").alias("n_right")).alias("tb"))
+    agree = F.coalesce(F.bool_and(F.col("ta").eqNullSafe(F.col("tb"))), F.lit(True))
+    same = ta.join(tb, "pre_pos", "full").agg(agree.alias("equal"))
+    mirror = ta.join(tm, "pre_pos", "full").agg(agree.alias("mirror"))
+    classes = _same_subtrees(a, b)
+    key = ["size", "head", "tail"]
+    found = (classes.where("tree = 'b'").join(classes.where("tree = 'a'").select(key).distinct(), key, "left_semi")
+             .agg(F.count(F.lit(1)).alias("b_subtrees_in_a")))
     return same.unionByName(mirror, allowMissingColumns=True).unionByName(found, allowMissingColumns=True).agg(
         F.max("equal").alias("equal"), F.max("mirror").alias("mirror"), F.max("b_subtrees_in_a").alias("b_subtrees_in_a"))
 
 
-def merge_trees(paths_a: DataFrame, paths_b: DataFrame) -> DataFrame:
-    """Node-by-node sum on equal path codes; a missing side is taken as is."""
-    a = paths_a.select("code", F.col("val").alias("va"))
-    b = paths_b.select("code", F.col("val").alias("vb"))
+def merge_trees(tree_a: Tree, tree_b: Tree) -> DataFrame:
+    """Node-by-node sum on equal path codes; a missing side is taken as is.
+    Both trees are made with ``codes=True``: the result names nodes by them."""
+    a = tree_a.rows.select("code", F.col("val").alias("va"))
+    b = tree_b.rows.select("code", F.col("val").alias("vb"))
     j = a.join(b, "code", "full")
     return j.select("code", (F.coalesce("va", F.lit(0)) + F.coalesce("vb", F.lit(0))).alias("val"))
 
@@ -229,7 +359,7 @@ def merge_trees(paths_a: DataFrame, paths_b: DataFrame) -> DataFrame:
 def outline_paths(lines: DataFrame, line_no: str = "line_no", line: str = "line", sep: str = "/") -> DataFrame:
     """Indented outline (tab = one level) to full paths.  The parent of a
     line is the last earlier line one level up (as-of lookup keyed by level);
-    paths are then built one level per round."""
+    paths are then joined up by pointer doubling."""
     from ..plans.asof import asof_lookup
     l = lines.select(F.col(line_no).alias("ln"), F.length(F.regexp_extract(line, r"^(\t*)", 1)).cast("long").alias("lvl"),
                      F.regexp_replace(line, r"^\t*", "").alias("name"))
@@ -237,17 +367,9 @@ def outline_paths(lines: DataFrame, line_no: str = "line_no", line: str = "line"
     right = l.select(F.col("lvl").alias("plvl"), F.col("ln").alias("pln"))
     with_parent = asof_lookup(probe, right, ["plvl"], F.col("ln"), F.col("pln"), ["pln"], strict=True, prefix="_p")
     nodes = materialize(with_parent.select("ln", "lvl", "name", F.col("_ppln").alias("parent")))
-    front = materialize(nodes.where(F.col("lvl") == 0).select("ln", F.col("name").alias("path")))
-    found = [front]
-    lvl = 0
-    while True:
-        lvl += 1
-        kids = nodes.where(F.col("lvl") == lvl).join(front.select(F.col("ln").alias("_pl"), F.col("path").alias("_pp")),
-                                                      F.col("parent") == F.col("_pl"))
-        front = materialize(kids.select("ln", F.concat("_pp", F.lit(sep), "name").alias("path")))
-        if front.count() == 0:
-            break
-        found.append(front)
-    res = nodes.join(union_all(found), "ln", "left")
+    start = nodes.where((F.col("lvl") == 0) | F.col("parent").isNotNull()).select(
+        F.col("ln").alias("id"), F.when(F.col("lvl") > 0, F.col("parent")).alias("up"), F.col("name").alias("path"))
+    found, _ = ascend(start, {"path": lambda low, high: F.concat(high("path"), F.lit(sep), low("path"))})
+    res = nodes.join(found.select(F.col("id").alias("ln"), "path"), "ln", "left")
     return res.select(F.col("ln").alias(line_no), "lvl", "name", "path",
                       F.col("name").contains(".").alias("is_file"), F.length("path").cast("long").alias("path_length"))

@@ -40,8 +40,8 @@ _A = tree_cte("ta", _PART_SRC)
 _LEAVES_A = "(SELECT * FROM ta WHERE id NOT IN (SELECT parent FROM ta WHERE parent IS NOT NULL))"
 
 
-def _paths_a(spark, d):
-    return hi.tree_paths(hi.binary_heap_tree(table(spark, d, "part"), "p_partkey", F.col("p_size")))
+def _paths_a(spark, d, codes=False):
+    return hi.tree_paths(hi.binary_heap_tree(table(spark, d, "part"), "p_partkey", F.col("p_size")), codes)
 
 
 def _paths_a2(spark, d):
@@ -50,8 +50,8 @@ def _paths_a2(spark, d):
         p, "p_partkey", F.when(F.col("p_size") > 45, F.col("p_size") + 1).otherwise(F.col("p_size"))))
 
 
-def _paths_b(spark, d):
-    return hi.tree_paths(hi.binary_heap_tree(table(spark, d, "supplier"), "s_suppkey", F.col("s_nationkey")))
+def _paths_b(spark, d, codes=False):
+    return hi.tree_paths(hi.binary_heap_tree(table(spark, d, "supplier"), "s_suppkey", F.col("s_nationkey")), codes)
 
 
 @query("tree_levels", f"""
@@ -116,8 +116,7 @@ def _subtree_sql(levels: int = 40) -> str:
 WITH RECURSIVE {_A},
 {_subtree_sql()}""")
 def q_subtree_stats(spark, d):
-    p = _paths_a(spark, d)
-    return hi.subtree_stats(None, p)
+    return hi.subtree_stats(_paths_a(spark, d))
 
 
 @query("lowest_common_ancestor", f"""
@@ -190,7 +189,7 @@ WITH RECURSIVE {_A}, {tree_cte("tb", _SUPP_SRC)}
 SELECT coalesce(a.code, b.code) AS code, coalesce(a.val, 0) + coalesce(b.val, 0) AS val
 FROM ta a FULL OUTER JOIN tb b ON a.code = b.code""")
 def q_merge_trees(spark, d):
-    return hi.merge_trees(_paths_a(spark, d), _paths_b(spark, d))
+    return hi.merge_trees(_paths_a(spark, d, codes=True), _paths_b(spark, d, codes=True))
 
 
 def _outline_lines(spark, d):
