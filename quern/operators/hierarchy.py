@@ -109,7 +109,8 @@ def preorder(tree: Tree) -> DataFrame:
     before = running_sum(rows, ["up"], ["_right", "id"], "size", "_upto")
     start = before.select(*cols, "size", "n_left", "n_right", "left_size", "up",
                           (F.col("_upto") - F.col("size") + 1).alias("pre_pos"))
-    tree.order = ascend(start, {"pre_pos": lambda low, high: low("pre_pos") + high("pre_pos")})[0]
+    tree.order = ascend(start, {"pre_pos": lambda low, high: low("pre_pos") + high("pre_pos")},
+                        rounds=len(tree.lifts))[0]
     return tree.order
 
 

@@ -21,7 +21,7 @@ from .loops import materialize, union_all
 Combine = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
 
 
-def ascend(start: DataFrame, combine: dict[str, Combine]) -> tuple[DataFrame, list[DataFrame]]:
+def ascend(start: DataFrame, combine: dict[str, Combine], rounds: int | None = None) -> tuple[DataFrame, list[DataFrame]]:
     """Values over the whole path from each node to its root, and the lifts.
 
     ``combine[c](low, high)`` is the value of ``c`` over a stretch of path from
@@ -29,15 +29,17 @@ def ascend(start: DataFrame, combine: dict[str, Combine]) -> tuple[DataFrame, li
     above.  Ids are unique.  Rows without a root (on or below a cycle, or under
     a node that has no row) are left out; other columns keep the node's own
     values.  The rounds end when no row has an ancestor left, or when the
-    pointers span more nodes than there are."""
+    pointers span more nodes than there are; ``rounds`` gives their number where
+    an earlier climb of the same pointers found it."""
     start = materialize(start)
     own = [c for c in start.columns if c not in combine and c != "up"]
     total = None
     done, active, lifts, span = [start.where("up IS NULL")], start.where("up IS NOT NULL"), [], 1
-    while not active.isEmpty():
-        total = start.count() if total is None else total
-        if span > total:
-            break
+    while len(lifts) != rounds and not (rounds is None and active.isEmpty()):
+        if rounds is None:
+            total = start.count() if total is None else total
+            if span > total:
+                break
         lifts.append(active.select("id", "up"))
         above = union_all([*done, active]).select(
             F.col("id").alias("_h_id"), F.col("up").alias("_h_up"), *[F.col(c).alias(f"_h_{c}") for c in combine])
