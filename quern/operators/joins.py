@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..plans.asof import asof_lookup
 from ..plans.keys import key_join
 from ..plans.loops import materialize
-from ..plans.scan import Agg, ordered_scan, row_index
+from ..plans.scan import Agg, ordered_scan, reusable, row_index
 
 
 def _c(c) -> Column:
@@ -177,47 +177,117 @@ def covering_radius(nearest: DataFrame, keys: Sequence[str]) -> DataFrame:
     return nearest.groupBy(*keys).agg(F.max("distance").alias("radius"))
 
 
-def _buckets(lo: Column, hi: Column, width: int) -> Column:
-    return F.sequence(F.floor(lo / width).cast("long"), F.floor(hi / width).cast("long"))
+def _size_class(lo: Column, hi: Column, least: int) -> Column:
+    """Least c with hi - lo <= 2^c and least <= 2^c: a closed span crosses at
+    most one border of buckets of width 2^c."""
+    length = F.greatest(F.ceil(hi - lo).cast("long"), F.lit(least).cast("long"))
+    return F.when(length <= 1, 0).otherwise(F.length(F.bin(length - 1))).cast("int")
+
+
+def _classes(df: DataFrame, *cols: str) -> list[list[int]]:
+    """The size classes that occur in each column: at most 64 numbers."""
+    return [sorted(v) for v in df.agg(*[F.collect_set(c).alias(c) for c in cols]).first()]
+
+
+def _some_larger(these: list[int], than: list[int]) -> bool:
+    return bool(these and than) and these[-1] > than[0]
+
+
+def _bucket(x: Column, c: Column) -> Column:
+    return F.call_function("shiftright", F.floor(x).cast("long"), c)
+
+
+def _levels(col: str, present: list[int], above: bool) -> Column:
+    """The classes of the other side from the row's own on (``above``: only larger ones)."""
+    every = F.array(*[F.lit(c) for c in sorted(present)]).cast("array<int>")
+    return F.filter(every, lambda c: (c > F.col(col)) if above else (c >= F.col(col)))
 
 
 def interval_overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str], a_id: str, b_id: str,
-                          start: str = "st", end: str = "en", width: int = 64) -> DataFrame:
-    """Pairs of closed spans (same keys) that overlap, with the overlap length
-    (both ends included).  Both sides are exploded to fixed-width buckets;
-    an equi-join on (keys, bucket) finds candidates; a pair is kept only in
-    the bucket holding the start of its overlap, so no distinct is needed."""
-    ea = a.select(*[F.col(k).alias(f"_a_{k}") for k in keys], F.col(a_id), F.col(start).alias("_as"),
-                  F.col(end).alias("_ae"), F.explode(_buckets(F.col(start), F.col(end), width)).alias("_bk"))
-    eb = b.select(*[F.col(k).alias(f"_b_{k}") for k in keys], F.col(b_id), F.col(start).alias("_bs"),
-                  F.col(end).alias("_be"), F.explode(_buckets(F.col(start), F.col(end), width)).alias("_bk2"))
-    j = ea.join(eb, _keq(keys, "_a_", "_b_") + [F.col("_bk") == F.col("_bk2")])
+                          start: str = "st", end: str = "en", width: int = 1) -> DataFrame:
+    """Pairs of closed spans (same keys, null being a key of its own) that
+    overlap, with the overlap length (both ends included).  Spans with a null
+    end, or whose end is before their start, overlap nothing.  ``width`` is the
+    least bucket width: shorter spans share one size class.
+
+    Buckets follow each row's length: a span of size class c (length up to 2^c)
+    lies in at most two buckets of width 2^c.  The longer span of a pair
+    stands in the buckets of its own class; the shorter one is put into its
+    (at most two) buckets of every larger class that occurs on the other side.
+    Candidates of a span are thus spans no longer than itself within twice its
+    length, however mixed the lengths are.  A pair is kept only in the bucket
+    holding the start of its overlap, so no distinct is needed."""
+    def side(df: DataFrame, tag: str, ident: str) -> DataFrame:
+        return df.where(F.col(start) <= F.col(end)).select(
+            *[F.col(k).alias(f"_{tag}_{k}") for k in keys], F.col(ident), F.col(start).alias(f"_{tag}s"),
+            F.col(end).alias(f"_{tag}e"), _size_class(F.col(start), F.col(end), width).alias(f"_{tag}c"))
+
+    def placed(df: DataFrame, tag: str, level: Column) -> DataFrame:
+        r = df.withColumn(f"_{tag}l", level)
+        return r.withColumn(f"_{tag}b", F.explode(F.sequence(_bucket(F.col(f"_{tag}s"), F.col(f"_{tag}l")),
+                                                             _bucket(F.col(f"_{tag}e"), F.col(f"_{tag}l")))))
+
+    sa, sb = reusable(side(a, "a", a_id)), reusable(side(b, "b", b_id))  # each is read three times
+    (in_a,), (in_b,) = _classes(sa, "_ac"), _classes(sb, "_bc")
+    same = _keq(keys, "_a_", "_b_") + [F.col("_al") == F.col("_bl"), F.col("_ab") == F.col("_bb")]
     lo, hi = F.greatest("_as", "_bs"), F.least("_ae", "_be")
-    j = j.where((lo <= hi) & (F.floor(lo / width) == F.col("_bk")))
-    return j.select(*[F.col(f"_a_{k}").alias(k) for k in keys], a_id, b_id, (hi - lo + 1).alias("overlap"))
+    columns = [*[F.col(f"_a_{k}").alias(k) for k in keys], F.col(a_id), F.col(b_id), (hi - lo + 1).alias("overlap")]
+
+    def pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+        return left.join(right, same).where((lo <= hi) & (_bucket(lo, F.col("_al")) == F.col("_ab"))).select(columns)
+
+    a_longer = pairs(placed(sa, "a", F.col("_ac")), placed(sb, "b", F.explode(_levels("_bc", in_a, above=False))))
+    if not _some_larger(in_b, in_a):
+        return a_longer
+    b_longer = pairs(placed(sa, "a", F.explode(_levels("_ac", in_b, above=True))), placed(sb, "b", F.col("_bc")))
+    return a_longer.unionByName(b_longer)
 
 
 def box_overlap_join(boxes: DataFrame, id_col: str, x1: str, y1: str, x2: str, y2: str,
-                     cell: int = 16) -> DataFrame:
+                     cell: int = 1) -> DataFrame:
     """Pairs of boxes (id_a < id_b) with positive overlap area (touching edges
-    do not overlap), found by a grid-cell equi-join; each pair is kept only in
-    the cell holding the overlap's lower-left corner."""
-    def expl(tag):
-        cells = F.flatten(F.transform(_buckets(F.col(x1), F.col(x2), cell), lambda cx: F.transform(
-            _buckets(F.col(y1), F.col(y2), cell), lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))))
-        return boxes.select(F.col(id_col).alias(f"{tag}id"), F.col(x1).alias(f"{tag}x1"), F.col(y1).alias(f"{tag}y1"),
-                            F.col(x2).alias(f"{tag}x2"), F.col(y2).alias(f"{tag}y2"),
-                            F.explode(cells).alias(f"{tag}cell"))
-    a, b = expl("a_"), expl("b_")
-    j = a.join(b, (F.col("a_cell") == F.col("b_cell")) & (F.col("a_id") < F.col("b_id")))
+    do not overlap); boxes without area or with a null side overlap nothing.
+    ``cell`` is the least width of a cell.
+
+    Cells follow each box's own sides: of size classes (cx, cy) it lies in at
+    most four cells of 2^cx by 2^cy.  A pair meets in cells of the larger class
+    of each axis: one box is at least as large in both (it stands in its own
+    cells, the other in those of every class from its own on), or one is larger
+    in x and the other in y (each stands in its own class on its larger axis).
+    Each pair is kept only in the cell holding the overlap's lower-left corner."""
+    base = reusable(boxes.where((F.col(x1) < F.col(x2)) & (F.col(y1) < F.col(y2))).select(
+        F.col(id_col).alias("id"), F.col(x1).alias("x1"), F.col(y1).alias("y1"), F.col(x2).alias("x2"), F.col(y2).alias("y2"),
+        _size_class(F.col(x1), F.col(x2), cell).alias("cx"), _size_class(F.col(y1), F.col(y2), cell).alias("cy")))
+    in_x, in_y = _classes(base, "cx", "cy")
+
+    def placed(tag: str, level_x: Column, level_y: Column) -> DataFrame:
+        r = base.withColumn("lx", level_x).withColumn("ly", level_y)
+        for v in "xy":
+            r = r.withColumn(f"b{v}", F.explode(F.sequence(_bucket(F.col(f"{v}1"), F.col(f"l{v}")),
+                                                           _bucket(F.col(f"{v}2"), F.col(f"l{v}")))))
+        return r.select(*[F.col(c).alias(f"{tag}_{c}") for c in r.columns])
+
+    own = lambda v: F.col(f"c{v}")
+    up = lambda v, present, above: F.explode(_levels(f"c{v}", present, above))
+    same = [F.col(f"a_{c}") == F.col(f"b_{c}") for c in ("lx", "ly", "bx", "by")]
     lx, ly = F.greatest("a_x1", "b_x1"), F.greatest("a_y1", "b_y1")
     hx, hy = F.least("a_x2", "b_x2"), F.least("a_y2", "b_y2")
-    j = j.where((lx < hx) & (ly < hy) & (F.floor(lx / cell) == F.col("a_cell.cx")) &
-                (F.floor(ly / cell) == F.col("a_cell.cy")))
+    alike = (F.col("a_cx") == F.col("b_cx")) & (F.col("a_cy") == F.col("b_cy"))
+    once = F.when(alike, F.col("a_id") < F.col("b_id")).otherwise(F.col("a_id") != F.col("b_id"))
+
+    def pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+        return left.join(right, same).where(once & (lx < hx) & (ly < hy) & (_bucket(lx, F.col("a_lx")) == F.col("a_bx"))
+                                            & (_bucket(ly, F.col("a_ly")) == F.col("a_by")))
+
+    larger = pairs(placed("a", own("x"), own("y")), placed("b", up("x", in_x, False), up("y", in_y, False)))
+    if _some_larger(in_x, in_x) and _some_larger(in_y, in_y):
+        larger = larger.unionByName(
+            pairs(placed("a", own("x"), up("y", in_y, True)), placed("b", up("x", in_x, True), own("y"))))
     area = lambda p: (F.col(f"{p}x2") - F.col(f"{p}x1")) * (F.col(f"{p}y2") - F.col(f"{p}y1"))
     ov = (hx - lx) * (hy - ly)
-    return j.select(F.col("a_id").alias(f"{id_col}_a"), F.col("b_id").alias(f"{id_col}_b"),
-                    ov.alias("overlap_area"), (area("a_") + area("b_") - ov).alias("union_area"))
+    return larger.select(
+        F.least("a_id", "b_id").alias(f"{id_col}_a"), F.greatest("a_id", "b_id").alias(f"{id_col}_b"),
+        ov.alias("overlap_area"), (area("a_") + area("b_") - ov).alias("union_area"))
 
 
 def bag_overlap_join(a: DataFrame, b: DataFrame, key: str, item: str) -> DataFrame:

@@ -150,7 +150,27 @@ def q_interval_overlap_join(spark, d):
     """Orders of a customer open at the same time (each also with itself): the
     pairs grow with the customers, not with the square of a span's partners."""
     o = spans(spark, d).select("o_custkey", "o_orderkey", "st", "en")
-    return jn.interval_overlap_join(o, o.withColumnRenamed("o_orderkey", "other_key"), ["o_custkey"], "o_orderkey", "other_key")
+    return jn.interval_overlap_join(o, o.withColumnRenamed("o_orderkey", "other_key"), ["o_custkey"], "o_orderkey", "other_key",
+                                    width=64)
+
+
+@query("campaign_overlap", f"""
+WITH o AS {_ORDER_SPANS},
+c AS (SELECT CAST(n_nationkey AS BIGINT) AS campaign, 9131 + 97 * CAST(n_nationkey AS BIGINT) AS st,
+             9131 + 97 * CAST(n_nationkey AS BIGINT) + 3 * (1 + CAST(n_nationkey AS BIGINT)) AS en FROM nation)
+SELECT o.o_custkey, c.campaign, CAST(count(*) AS BIGINT) AS orders,
+       CAST(sum(least(o.en, c.en) - greatest(o.st, c.st) + 1) AS BIGINT) AS days
+FROM o JOIN c ON greatest(o.st, c.st) <= least(o.en, c.en) GROUP BY 1, 2""")
+def q_campaign_overlap(spark, d):
+    """Days that a customer's open orders share with fixed campaigns: one per
+    nation, from 1995 on, of 3 to 75 days."""
+    n = F.col("n_nationkey").cast("long")
+    c = table(spark, d, "nation").select(n.alias("campaign"), (n * 97 + 9131).alias("st"))
+    c = c.withColumn("en", F.col("st") + (F.col("campaign") + 1) * 3)
+    o = spans(spark, d).select("o_orderkey", "st", "en", F.struct("o_custkey", "o_orderkey").alias("ord"))
+    days = jn.interval_overlap_join(o, c, [], "ord", "campaign")
+    return days.groupBy(F.col("ord.o_custkey").alias("o_custkey"), "campaign").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("overlap").cast("long").alias("days"))
 
 
 @query("box_overlap_join", """
@@ -169,7 +189,7 @@ def q_box_overlap_join(spark, d):
     x1 = F.col("p_partkey") * 3
     p = table(spark, d, "part").select("p_partkey", x1.alias("x1"), (x1 + F.col("p_size")).cast("long").alias("x2"),
                                        F.floor(F.col("p_retailprice") / 10).cast("long").alias("y1"))
-    return jn.box_overlap_join(p.withColumn("y2", F.col("y1") + 9), "p_partkey", "x1", "y1", "x2", "y2")
+    return jn.box_overlap_join(p.withColumn("y2", F.col("y1") + 9), "p_partkey", "x1", "y1", "x2", "y2", cell=16)
 
 
 @query("bag_overlap_join", r"""
