@@ -174,6 +174,33 @@ def bfs_distance(edges: DataFrame, sources: DataFrame, src: str = "src", dst: st
     return allnodes.join(seen, "node", "left")
 
 
+def shortest_path_edges(edges: DataFrame, sources: DataFrame, targets: DataFrame, src: str = "src",
+                        dst: str = "dst") -> DataFrame:
+    """(src, dst, dist) of every edge on some shortest hop path from the nearest
+    source to a target, ``dist`` being the hops to ``dst``: the whole set of
+    shortest paths (the word ladder's listing) as one graph, without writing
+    out paths, whose number may grow exponentially.  Targets out of reach and
+    targets that are sources add no edge.
+
+    Edges that go one layer on are written by layer; a walk back from the
+    deepest target layer joins one layer a round, so each edge is read once."""
+    e = materialize(edges.select(F.col(src).alias("s"), F.col(dst).alias("d")).distinct())
+    dist = materialize(bfs_distance(e, sources, "s", "d").where("dist IS NOT NULL").select("node", "dist"))
+    lo, hi = (dist.select(F.col("node").alias(f"_n{x}"), F.col("dist").alias(f"_{x}")) for x in "sd")
+    onward = materialize(e.join(lo, F.col("s") == F.col("_ns")).join(hi, F.col("d") == F.col("_nd"))
+                         .where(F.col("_d") == F.col("_s") + 1).select("s", "d", F.col("_d").alias("dist"))
+                         .repartitionByRange("dist", "d").sortWithinPartitions("dist"))
+    ends = materialize(dist.join(targets.select(F.col(targets.columns[0]).alias("node")).distinct(), "node", "left_semi"))
+    kept: list[DataFrame] = []
+    for layer in range(ends.agg(F.max("dist")).first()[0] or 0, 0, -1):
+        front = ends.where(F.col("dist") == layer).select("node")
+        if kept:
+            front = front.unionByName(kept[-1].select(F.col("s").alias("node"))).distinct()
+        kept.append(materialize(onward.where(F.col("dist") == layer).join(front, F.col("d") == F.col("node"), "left_semi")))
+    out = union_all(kept) if kept else onward.limit(0)
+    return out.select(F.col("s").alias(src), F.col("d").alias(dst), "dist")
+
+
 def shortest_paths(edges: DataFrame, sources: DataFrame, src: str = "src", dst: str = "dst", w: str = "w",
                    max_rounds: int | None = None) -> DataFrame:
     """Least total weight from the sources (non-negative or not: Bellman-Ford

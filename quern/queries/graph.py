@@ -107,6 +107,32 @@ def q_bfs_distance(spark, d):
     return gr.bfs_distance(e, src, nodes=w)
 
 
+@query("shortest_path_edges", f"""
+WITH RECURSIVE w AS {_WORDS.format(t="documents")},
+pos AS (SELECT w, unnest(range(1, length(w) + 1)) AS i FROM w),
+pat AS (SELECT w, w[1:i - 1] || '*' || w[i + 1:] AS p FROM pos),
+e AS (SELECT DISTINCT a.w AS s, b.w AS d FROM pat a JOIN pat b ON a.p = b.p AND a.w <> b.w),
+src AS (SELECT w AS node FROM w WHERE w IN (SELECT w FROM {_WORDS.format(t="benchmark")})),
+dist(node, d) USING KEY (node) AS (
+  SELECT node, 0 FROM src
+  UNION
+  SELECT n.node, n.c FROM (SELECT e.d AS node, min(dist.d + 1) AS c FROM dist JOIN e ON e.s = dist.node GROUP BY e.d) n
+  LEFT JOIN recurring.dist r ON r.node = n.node WHERE r.d IS NULL OR n.c < r.d),
+fin AS (SELECT node, d FROM dist),
+onward AS (SELECT e.s, e.d, b.d AS dist FROM e JOIN fin a ON a.node = e.s JOIN fin b ON b.node = e.d WHERE b.d = a.d + 1),
+back(s, d, dist) AS (
+  SELECT s, d, dist FROM onward WHERE length(d) > 4
+  UNION
+  SELECT o.s, o.d, o.dist FROM back JOIN onward o ON o.d = back.s)
+SELECT s AS src, d AS dst, CAST(dist AS BIGINT) AS dist FROM back""")
+def q_shortest_path_edges(spark, d):
+    """Edges of all shortest one-letter ladders from the benchmark's words to
+    words of more than four letters."""
+    w = _all_words(spark, d, "documents")
+    src = w.join(_all_words(spark, d, "benchmark"), "w", "left_semi")
+    return gr.shortest_path_edges(gr.one_letter_edges(w, "w"), src, w.where(F.length("w") > 4))
+
+
 # Weighted directed graph: part -> supplier costs the quantity, supplier ->
 # part costs the discount in percent plus one (least weight per pair).
 _WE_SQL = """(SELECT s, d, min(w) AS w FROM (
