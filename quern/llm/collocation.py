@@ -45,7 +45,6 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -57,6 +56,7 @@ from .common import spread_join
 
 SHARDS = 2
 SLOT_BITS = 23
+PAGE = 4096  # bytes of slots that are set in one task
 CHUNK = 6 << 20  # bytes of text
 _STOP = b"\xff"  # in no UTF-8 text
 _CUT = re.compile(rb"[.,;:!?\n-\r]+")
@@ -79,10 +79,12 @@ class Reached:
     def __init__(self, bits: bytes | None = None):
         self.bits = bits or bytes(1 << (SLOT_BITS - 3))
 
-    def with_slots(self, slots: np.ndarray) -> Reached:
-        bits = np.unpackbits(np.frombuffer(self.bits, np.uint8))
-        bits[slots] = 1
-        return Reached(np.packbits(bits).tobytes())
+    def with_slots(self, pages: dict[int, bytes]) -> Reached:
+        bits = bytearray(self.bits)
+        whole = np.frombuffer(bits, np.uint8)
+        for page, more in pages.items():
+            whole[page * PAGE:(page + 1) * PAGE] |= np.frombuffer(more, np.uint8)
+        return Reached(bytes(bits))
 
     def has(self, h: np.ndarray) -> np.ndarray:
         s = _slot(h)
@@ -169,9 +171,11 @@ def _step_counts(shard: DataFrame, step: int, max_words: int, shards: int, past:
     return shard.select("lang", F.col("text").cast("binary")).mapInArrow(run, "lang string, phrase binary, done int, n long")
 
 
-def _new_slots(counting: DataFrame, min_count: int, max_words: int) -> pd.DataFrame:
-    """(k, slot) of the phrases that have reached the threshold."""
-    def run(batches):
+def _new_pages(counting: DataFrame, min_count: int, max_words: int) -> list[dict[int, bytes]]:
+    """For each length the pages of bits of the phrases that have reached the
+    threshold.  The bits are set in the tasks that the pages are dealt to, so
+    the driver gets ``max_words`` - 1 times 2^SLOT_BITS bits at most."""
+    def slots(batches):
         for b in batches:
             by = defaultdict(list)
             for lang, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -179,9 +183,29 @@ def _new_slots(counting: DataFrame, min_count: int, max_words: int) -> pd.DataFr
             for (lang, k), phrases in by.items():
                 if k < max_words:
                     slot = np.unique(_slot(_hashed(phrases, xxhash.xxh32_intdigest(lang))))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(slot), k, np.int32)), pa.array(slot.astype(np.int32))], ["k", "slot"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(slot), k, np.int32)), pa.array((slot // (8 * PAGE)).astype(np.int32)),
+                         pa.array((slot % (8 * PAGE)).astype(np.int32))], ["k", "page", "bit"])
+
+    def fold(batches):
+        pages: dict[tuple[int, int], np.ndarray] = {}
+        for b in batches:
+            k, page, bit = (c.to_numpy() for c in b.columns)
+            own = k.astype(np.int64) << 32 | page
+            for x in np.unique(own).tolist():
+                at = (x >> 32, x & 0xFFFFFFFF)
+                if at not in pages:
+                    pages[at] = np.zeros(8 * PAGE, np.uint8)
+                pages[at][bit[own == x]] = 1
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k for k, _ in pages], pa.int32()), pa.array([p for _, p in pages], pa.int32()),
+             pa.array([np.packbits(x).tobytes() for x in pages.values()], pa.binary())], ["k", "page", "bits"])
     rows = counting.where((F.col("n") >= min_count) & (F.length("phrase") > 0)).select("lang", "phrase")
-    return rows.mapInArrow(run, "k int, slot int").distinct().toPandas()
+    dealt = rows.mapInArrow(slots, "k int, page int, bit int").repartition(shuffle_partitions(counting.sparkSession), "k", "page")
+    out: list[dict[int, bytes]] = [{} for _ in range(max_words)]
+    for k, page, bits in dealt.mapInArrow(fold, "k int, page int, bits binary").collect():
+        out[k][page] = bytes(bits)
+    return out
 
 
 def phrase_counts(docs: DataFrame, max_words: int = 3, min_count: int = 10, shards: int = SHARDS) -> DataFrame:
@@ -209,9 +233,8 @@ def phrase_counts(docs: DataFrame, max_words: int = 3, min_count: int = 10, shar
         enough = (F.col("n") >= min_count) | (F.length("phrase") == 0)
         now = materialize(totals.where(enough | (F.col("done") > step)))
         complete.append(materialize(now.where(F.col("done") == step)))
-        slots = _new_slots(now, min_count, max_words)
-        past = [[was if k == 0 else was.with_slots(slots["slot"].to_numpy()[slots["k"].to_numpy() == k])
-                 for k, was in enumerate(past[0])], *past[:shards]]
+        reached = _new_pages(now, min_count, max_words)
+        past = [[was.with_slots(pages) for was, pages in zip(past[0], reached)], *past[:shards]]
         discard(*([counting] if counting is not None else []))
         counting = now
         step += 1
