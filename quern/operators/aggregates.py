@@ -67,9 +67,9 @@ def most_common_word(df: DataFrame, text: str, banned: DataFrame | Sequence[str]
     keys = [group] if group else []
     toks = df.select(*keys, F.explode(words(text, sep)).alias("word"))
     if not isinstance(banned, DataFrame):
-        banned = df.sparkSession.createDataFrame([(b.lower(),) for b in banned], "word string")
-    # The banned list is a literal list: its size is fixed by the caller.
-    toks = toks.join(F.broadcast(banned.select("word")), "word", "left_anti")
+        # A literal list: its size is fixed by the caller.  A table is left to the planner.
+        banned = F.broadcast(df.sparkSession.createDataFrame([(b.lower(),) for b in banned], "word string"))
+    toks = toks.join(banned.select("word"), "word", "left_anti")
     counts = toks.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
     # best = max count, then smallest word: min over (-n, word), partial aggregate.
     best = counts.groupBy(*keys).agg(F.min(F.struct((-F.col("n")).alias("neg"), F.col("word"))).alias("b"))

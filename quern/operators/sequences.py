@@ -282,13 +282,18 @@ def islands(df: DataFrame, keys: Sequence[str], val: str) -> DataFrame:
 
 def gaps(df: DataFrame, keys: Sequence[str], val: str, lo: Column | None = None,
          hi: Column | None = None) -> DataFrame:
-    """Missing closed ranges between the distinct values of a key (and the
-    bounds lo/hi when given: extra sentinel rows lo-1 and hi+1)."""
+    """Missing closed ranges between the distinct values of a key, or from
+    ``lo`` and up to ``hi`` where given: values beyond a bound are left out, and
+    a key without values inside has the whole range as its gap."""
     d = df.select(*keys, val).distinct()
-    if lo is not None:
+    kind = d.schema[val].dataType
+    ends = [(b + step).cast(kind) for b, step in ((lo, -1), (hi, 1)) if b is not None]
+    if ends:
         ks = d.select(*keys).distinct()
-        d = d.unionByName(ks.select(*keys, (lo - 1).cast(d.schema[val].dataType).alias(val)))
-        d = d.unionByName(ks.select(*keys, (hi + 1).cast(d.schema[val].dataType).alias(val))).distinct()
+        for b, inside in ((lo, F.col(val) >= lo if lo is not None else None), (hi, F.col(val) <= hi if hi is not None else None)):
+            if b is not None:
+                d = d.where(inside)
+        d = d.unionByName(ks.select(*keys, F.explode(F.array(*ends)).alias(val)))
     p = previous(d, keys, [val], [val], prefix="_pv_")
     return (p.where(F.col(val) - F.col(f"_pv_{val}") > 1)
             .select(*keys, (F.col(f"_pv_{val}") + 1).alias("gap_start"), (F.col(val) - 1).alias("gap_end")))

@@ -64,15 +64,26 @@ def version_max(df: DataFrame, key: str, version: str, width: int = 4) -> DataFr
     return df.groupBy(key).agg(F.max_by(version, version_key(F.col(version), width)).alias("max_version"))
 
 
+def _tokens(df: DataFrame, text: str, group: str) -> DataFrame:
+    return df.select(group, F.explode(F.split(F.trim(F.col(text)), r"\s+")).alias("_t")).where(F.col("_t") != "")
+
+
 def numeric_audit(df: DataFrame, text: str, group: str) -> DataFrame:
-    """Per group: tokens (non-space runs), how many parse as a number by the
-    grammar, and how many of those Spark's own cast accepts."""
-    tok = df.select(group, F.explode(F.split(F.trim(F.col(text)), r"\s+")).alias("_t")).where(F.col("_t") != "")
+    """Per group: tokens (non-space runs) and how many parse as a number by
+    the grammar; :func:`numeric_rejects` lists the others."""
+    tok = _tokens(df, text, group)
     ok = F.col("_t").rlike(NUMBER)
     return tok.groupBy(group).agg(F.count(F.lit(1)).alias("n_tokens"),
                                   F.sum(F.when(ok, 1).otherwise(0)).cast("long").alias("n_numeric"))
 
 
+def numeric_rejects(df: DataFrame, text: str, group: str) -> DataFrame:
+    """Tokens with a digit that are no number by the grammar: (group, token,
+    n).  A null text has no tokens; a null group is a group."""
+    bad = _tokens(df, text, group).where(F.col("_t").rlike("[0-9]") & ~F.col("_t").rlike(NUMBER))
+    return bad.groupBy(group, F.col("_t").alias("token")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def leading_integer(c: Column) -> Column:
     """atoi: optional spaces, sign, digits; clamped to 32-bit; 0 when absent."""
     m = F.regexp_extract(c, r"^\s*([+-]?[0-9]+)", 1)

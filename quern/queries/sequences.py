@@ -281,6 +281,16 @@ def q_gaps(spark, d):
     return sq.gaps(order_days(spark, d), ["o_custkey"], "day")
 
 
+@query("missing_ranges", f"""
+WITH dd AS (SELECT DISTINCT l_suppkey, q FROM {L} WHERE q BETWEEN 5 AND 60),
+b AS (SELECT * FROM dd UNION ALL
+      SELECT DISTINCT l_suppkey, unnest([4, 61]) AS q FROM lineitem),
+p AS (SELECT l_suppkey, q, lag(q) OVER (PARTITION BY l_suppkey ORDER BY q) AS pv FROM b)
+SELECT l_suppkey, pv + 1 AS gap_start, q - 1 AS gap_end FROM p WHERE q - pv > 1""")
+def q_missing_ranges(spark, d):
+    return sq.gaps(lines(spark, d), ["l_suppkey"], "q", F.lit(5), F.lit(60))
+
+
 @query("first_missing_positive", f"""
 WITH dd AS (SELECT DISTINCT l_suppkey, q FROM {L} WHERE q > 0),
 r AS (SELECT l_suppkey, q, row_number() OVER (PARTITION BY l_suppkey ORDER BY q) AS r FROM dd)

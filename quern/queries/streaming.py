@@ -44,11 +44,11 @@ def _event_stream(spark, d):
                     F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
 
 
-@query("stream_rate_limit", _RATE_SQL)
+@query("stream_rate_limit", _RATE_SQL.replace(" AS allowed FROM e", " AS allowed, false AS late FROM e"))
 def q_stream_rate_limit(spark, d):
     s = _event_stream(spark, d)
     out = so.stream_rate_limit(s, ["user_id", "event_type"], "us", "event_id", SPAN_US)
-    return run_to_table(out, "stream-rate-limit").select("user_id", "event_type", "event_id", "allowed")
+    return run_to_table(out, "stream-rate-limit").select("user_id", "event_type", "event_id", "allowed", "late")
 
 
 @query("stream_moving_average", f"""

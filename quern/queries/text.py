@@ -127,6 +127,14 @@ def q_numeric_audit(spark, d):
     return tj.numeric_audit(table(spark, d, "documents"), "text", "source")
 
 
+@query("numeric_rejects", rf"""
+SELECT source, t AS token, count(*) AS n
+FROM (SELECT source, unnest(regexp_split_to_array(trim(text), '\s+')) AS t FROM documents)
+WHERE regexp_matches(t, '[0-9]') AND NOT regexp_matches(t, '{tj.NUMBER}') GROUP BY source, t""")
+def q_numeric_rejects(spark, d):
+    return tj.numeric_rejects(table(spark, d, "documents"), "text", "source")
+
+
 @query("leading_integer", r"""
 WITH t AS (SELECT source, unnest(regexp_split_to_array(text, '\s+')) AS t FROM documents),
 m AS (SELECT source, regexp_extract(t, '^\s*([+-]?[0-9]+)', 1) AS m FROM t WHERE t <> ''),

@@ -16,6 +16,7 @@ from quern.operators import joins as jn
 from quern.operators import predicates as pr
 from quern.operators import sequences as sq
 from quern.operators import sorts as so
+from quern.operators import text as tj
 
 
 @pytest.fixture(scope="module")
@@ -190,3 +191,28 @@ def test_long_path_distances(spark):
             cost[b] = min(cost[b], cost[a] + w)
     assert {r.node: (r.dist, r.paths) for r in gr.bfs_distance(e, start).collect()} == {n: (hops[n], ways[n]) for n in hops}
     assert {r.node: r.dist for r in gr.shortest_paths(e, start).collect()} == cost
+
+
+@pytest.mark.parametrize("lo,hi", [(None, None), (2, 6), (3, None), (None, 4)])
+def test_gaps_between_bounds(spark, lo, hi):
+    by = {None: [2, 5, 5, None], "a": [-3, 9], "b": [4], "c": [None], "d": [1, 2, 3, 4, 5, 6]}
+    df = spark.createDataFrame([(k, v) for k, vs in by.items() for v in vs], "k string, v int")
+    want = []
+    for k, vs in by.items():
+        inside = sorted({v for v in vs if v is not None and (lo is None or v >= lo) and (hi is None or v <= hi)})
+        ends = ([lo - 1] if lo is not None else []) + inside + ([hi + 1] if hi is not None else [])
+        want += [(k, a + 1, b - 1) for a, b in zip(ends, ends[1:]) if b - a > 1]
+    got = [tuple(r) for r in sq.gaps(df, ["k"], "v", None if lo is None else F.lit(lo), None if hi is None else F.lit(hi)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_numeric_rejects(spark):
+    df = spark.createDataFrame([("a", "1 2.5 x3 x3 e5"), ("a", None), (None, " 1e5 1e5.5 word 3. .5 . "), ("b", "")], "g string, t string")
+    assert {tuple(r) for r in tj.numeric_rejects(df, "t", "g").collect()} == {("a", "x3", 2), ("a", "e5", 1), (None, "1e5.5", 1)}
+    assert {tuple(r) for r in tj.numeric_audit(df, "t", "g").collect()} == {("a", 5, 2), (None, 6, 3)}
+
+
+def test_banned_words_as_table(spark):
+    df = spark.createDataFrame([("a b b",), ("c c c",), (None,)], "t string")
+    banned = spark.createDataFrame([("c",)], "word string")
+    assert [tuple(r) for r in ag.most_common_word(df, "t", banned).collect()] == [("b", 2)]
