@@ -437,21 +437,21 @@ def near_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str], va
                     t, name: str = "has_near_duplicate") -> DataFrame:
     """Per key: do two rows exist within k positions and value distance t?
     k=None: any positions; then neighbours in value order suffice (linear).
-    Finite k: each row is compared with its k predecessors by k equi-joins
-    on (keys, row number) -- O(n k), exact."""
+    Finite k: each row is compared with its k predecessors by one equi-join
+    on (keys, row number), one side repeated at the k places after it: O(n k),
+    exact."""
     if k is None:
         s = ordered_scan(df.select(*keys, val), keys, [val], [Agg("_pv", "last", F.col(val), exclusive=True)])
         g = s.groupBy(*keys).agg(F.min(F.col(val) - F.col("_pv")).alias("_mg"))
         return g.select(*keys, F.coalesce(F.col("_mg") <= t, F.lit(False)).alias(name))
-    # written once: every one of the k joins reads it
+    if k < 1:
+        raise ValueError("near_duplicates: k counts positions from 1")
+    # written once: both sides of the join read it
     r = materialize(row_index(df.select(*keys, *order, val), keys, order, name="_rn").select(*keys, "_rn", val))
-    hits = None
-    for j in range(1, k + 1):
-        o = r.select(*[F.col(c).alias(f"_o_{c}") for c in keys], (F.col("_rn") + j).alias("_o_rn"),
-                     F.col(val).alias("_o_v"))
-        m = r.join(o, _keq(keys, "", "_o_") + [F.col("_rn") == F.col("_o_rn")])
-        m = m.where(F.abs(F.col(val) - F.col("_o_v")) <= t).select(*keys).distinct()
-        hits = m if hits is None else hits.unionByName(m)
+    later = F.explode(F.sequence(F.col("_rn") + 1, F.col("_rn") + k))
+    o = r.select(*[F.col(c).alias(f"_o_{c}") for c in keys], later.alias("_o_rn"), F.col(val).alias("_o_v"))
+    m = r.join(o, _keq(keys, "", "_o_") + [F.col("_rn") == F.col("_o_rn")])
+    hits = m.where(F.abs(F.col(val) - F.col("_o_v")) <= t).select(*keys)
     allk = df.select(*keys).distinct()
     found = hits.distinct().withColumn(name, F.lit(True))
     return key_join(allk, found, keys, "left").fillna(False, [name])

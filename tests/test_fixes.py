@@ -216,3 +216,16 @@ def test_banned_words_as_table(spark):
     df = spark.createDataFrame([("a b b",), ("c c c",), (None,)], "t string")
     banned = spark.createDataFrame([("c",)], "word string")
     assert [tuple(r) for r in ag.most_common_word(df, "t", banned).collect()] == [("b", 2)]
+
+
+def test_near_duplicates_in_one_join(spark, series):
+    rows, df = series
+    for k, t in ((1, 0), (3, 0), (4, 1)):
+        want = {}
+        for key, vs in groups(rows).items():
+            vs = [x[-1] if isinstance(x, tuple) else x for x in vs]
+            want[key] = any(vs[i] is not None and vs[j] is not None and abs(vs[i] - vs[j]) <= t
+                            for i in range(len(vs)) for j in range(i + 1, min(i + k, len(vs) - 1) + 1))
+        assert {r.k: r.has_near_duplicate for r in jn.near_duplicates(df, ["k"], ["i"], "v", k, t).collect()} == want
+    with pytest.raises(ValueError):
+        jn.near_duplicates(df, ["k"], ["i"], "v", 0, 0)
