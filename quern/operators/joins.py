@@ -409,19 +409,22 @@ def hamming_join(codes: DataFrame, id_col: str, code: str, max_d: int, bits: int
 
 
 def prefix_lookup(words: DataFrame, word: str, probes: DataFrame, probe: str) -> DataFrame:
-    """Per probe: how many words start with it and how many equal it.  Each
-    word is exploded to its prefixes, then an equi-join on the prefix (the
-    probe side is small and broadcast by the planner at run time)."""
-    w = words.select(F.col(word).alias("_w")).where(F.length("_w") > 0)
-    pre = w.select("_w", F.explode(F.transform(F.sequence(F.lit(1), F.length("_w")),
-                                               lambda i: F.substring("_w", F.lit(1), i))).alias("_p"))
-    p = probes.select(F.col(probe)).distinct()
-    hits = pre.join(p, pre["_p"] == p[probe])
-    counts = hits.groupBy(probe).agg(F.count(F.lit(1)).alias("n_prefixed"),
-                                     F.sum(F.when(F.col("_p") == F.col("_w"), 1).otherwise(0)).cast("long").alias("n_exact"))
-    return (p.join(counts, probe, "left").select(
+    """Per probe: how many words start with it and how many equal it.  Words
+    are counted first; each distinct word is exploded to its prefixes of the
+    lengths that probes have, then an equi-join on the prefix.  The distinct
+    probes are written once, so that a small set is broadcast by its files'
+    size before any prefix is shuffled."""
+    p = materialize(probes.select(F.col(probe)).distinct())
+    lengths = p.select(F.sort_array(F.collect_set(F.length(probe))).alias("_ls"))
+    w = words.select(F.col(word).alias("_w")).where(F.length("_w") > 0).groupBy("_w").agg(F.count(F.lit(1)).alias("_n"))
+    cut = F.transform(F.filter("_ls", lambda i: (i > 0) & (i <= F.length("_w"))), lambda i: F.substring("_w", F.lit(1), i))
+    pre = w.crossJoin(F.broadcast(lengths)).select("_w", "_n", F.explode(cut).alias("_p"))  # one row of lengths
+    hits = pre.join(p.select(F.col(probe).alias("_probe")), F.col("_p") == F.col("_probe"))
+    counts = hits.groupBy("_probe").agg(F.sum("_n").alias("n_prefixed"),
+                                        F.sum(F.when(F.col("_p") == F.col("_w"), F.col("_n")).otherwise(0)).alias("n_exact"))
+    return p.join(counts, F.col(probe) == F.col("_probe"), "left").select(
         probe, F.coalesce("n_prefixed", F.lit(0)).alias("n_prefixed"),
-        F.coalesce("n_exact", F.lit(0)).cast("long").alias("n_exact")))
+        F.coalesce("n_exact", F.lit(0)).cast("long").alias("n_exact"))
 
 
 def k_smallest_pairs(a: DataFrame, a_id: str, a_val: str, b: DataFrame, b_id: str, b_val: str, k: int) -> DataFrame:
