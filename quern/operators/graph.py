@@ -8,11 +8,10 @@ adjacency list is ever gathered.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.lifting import ascend
 from ..plans.loops import check_cap, discard, materialize, union_all
 
 
@@ -270,37 +269,66 @@ def topo_layers(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFra
     return out.withColumn("in_cycle", F.col("layer").isNull())
 
 
+def cycle_labels(f: DataFrame) -> DataFrame:
+    """(x, lab) for the nodes of a one-successor table (x, y) that lie on a
+    cycle, ``lab`` being the least node of that cycle.
+
+    Round k holds the steps of length 2^k of the nodes that 2^k - 1 steps can
+    reach, which shrink towards the cycles; when every node left is reached by
+    one that is left, the steps permute them, so all are on cycles.  The least
+    node of the stretches walked is then doubled until it falls no more, which
+    takes the logarithm of the longest cycle."""
+    g = materialize(f.where("x IS NOT NULL AND y IS NOT NULL").select("x", "y", F.least("x", "y").alias("lab")))
+
+    def twice(g: DataFrame) -> DataFrame:
+        q = g.select(F.col("x").alias("_x"), F.col("y").alias("_y"), F.col("lab").alias("_lab"))
+        return materialize(g.join(q, g["y"] == q["_x"]).select(
+            "x", F.col("_y").alias("y"), F.least("lab", "_lab").alias("lab"), (F.col("_lab") < F.col("lab")).alias("_fell")))
+
+    n = g.count()
+    while True:
+        kept = materialize(g.join(g.select(F.col("y").alias("x")).distinct(), "x", "left_semi"))
+        m = kept.count()
+        discard(g)
+        if m == n:
+            break
+        g = twice(kept)
+        discard(kept)
+        n = g.count()
+    while True:
+        g = twice(kept)
+        discard(kept)
+        if g.where("_fell").isEmpty():
+            return g.select("x", "lab")
+        kept = g
+
+
 def pointer_cycles(nxt: DataFrame, node: str = "node", succ: str = "next") -> DataFrame:
     """For a one-successor table: on_cycle, tail (steps to reach a cycle),
     entry (first cycle node reached) and cycle label (least node of that
-    cycle), by pointer doubling: log2(n) squaring rounds, then binary lifting."""
-    f = materialize(nxt.select(F.col(node).alias("x"), F.col(succ).alias("y")))
-    n = f.count()
-    levels = max(1, math.ceil(math.log2(max(n, 2)))) + 1
-    jumps = [materialize(f.select("x", "y", F.least("x", "y").alias("lab")))]  # f^(2^0), min over [0, 2)
-    for j in range(1, levels):
-        p = jumps[-1]
-        q = p.select(F.col("x").alias("_x"), F.col("y").alias("_y"), F.col("lab").alias("_lab"))
-        jumps.append(materialize(p.join(q, p["y"] == q["_x"]).select(
-            "x", F.col("_y").alias("y"), F.least("lab", "_lab").alias("lab"))))
-    top = jumps[-1]
-    cyclic = materialize(top.select(F.col("y").alias("x")).distinct().withColumn("cyc", F.lit(True)))
-    state = f.select("x").join(cyclic, "x", "left").select(
-        "x", F.coalesce("cyc", F.lit(False)).alias("on_cycle"), F.col("x").alias("cur"), F.lit(0).cast("long").alias("t"))
-    for j in reversed(range(levels)):
-        p = jumps[j].select(F.col("x").alias("_c"), F.col("y").alias("_y"))
-        s = state.join(p, state["cur"] == p["_c"], "left").join(
-            cyclic.select(F.col("x").alias("_y2"), F.col("cyc").alias("_ycyc")), F.col("_y") == F.col("_y2"), "left")
-        move = (~F.col("on_cycle")) & F.col("_y").isNotNull() & F.col("_ycyc").isNull()
-        state = materialize(s.select("x", "on_cycle", F.when(move, F.col("_y")).otherwise(F.col("cur")).alias("cur"),
-                                     (F.col("t") + F.when(move, F.lit(1 << j)).otherwise(0)).alias("t")))
-    one = f.select(F.col("x").alias("_c"), F.col("y").alias("_step"))
-    s = state.join(one, state["cur"] == one["_c"], "left")
-    entry = F.when(F.col("on_cycle"), F.col("x")).otherwise(F.col("_step"))
-    tail = F.when(F.col("on_cycle"), F.lit(0)).otherwise(F.col("t") + 1).cast("long")
-    res = s.select(F.col("x").alias(node), "on_cycle", tail.alias("tail"), entry.alias("entry"))
-    labs = top.select(F.col("x").alias("_e"), F.col("lab").alias("cycle_label"))
-    return res.join(labs, res["entry"] == labs["_e"], "left").drop("_e")
+    cycle).  Cycles by doubling over the nodes that long walks still reach; the
+    other nodes climb to their cycle by pointer doubling, in rounds of the
+    logarithm of the longest tail.  Rows given twice count once.
+
+    A walk that runs off the table has no entry and no label; its tail counts
+    the steps to the last node named, and one."""
+    f = materialize(nxt.select(F.col(node).alias("x"), F.col(succ).alias("y")).distinct())
+    cyclic = cycle_labels(f)
+    on = cyclic.select(F.col("x").alias("_on"))
+    known = f.select(F.col("x").alias("_known")).where("_known IS NOT NULL").distinct()
+    off = (f.join(on, f["x"] == on["_on"], "left_anti").join(on, F.col("y") == F.col("_on"), "left")
+           .join(known, F.col("y") == F.col("_known"), "left"))
+    lost = F.col("x").isNull() | F.col("y").isNull()  # the walk ends here
+    inner = ~lost & F.col("_on").isNull() & F.col("_known").isNotNull()
+    start = off.select(F.col("x").alias("id"), F.when(inner, F.col("y")).alias("up"),
+                       F.when(~lost & F.col("_known").isNull(), 2).otherwise(1).cast("long").alias("tail"),
+                       F.when(F.col("x").isNotNull(), F.col("_on")).alias("entry"))
+    climbed, _ = ascend(start, {"tail": lambda low, high: low("tail") + high("tail"), "entry": lambda low, high: high("entry")})
+    labels = cyclic.select(F.col("x").alias("_e"), F.col("lab").alias("cycle_label"))
+    tails = climbed.join(labels, F.col("entry") == F.col("_e"), "left").select(
+        F.col("id").alias(node), F.lit(False).alias("on_cycle"), "tail", "entry", "cycle_label")
+    return tails.unionByName(cyclic.select(F.col("x").alias(node), F.lit(True).alias("on_cycle"), F.lit(0).cast("long").alias("tail"),
+                                           F.col("x").alias("entry"), F.col("lab").alias("cycle_label")))
 
 
 def chain_rank(nxt: DataFrame, node: str = "node", succ: str = "next", max_rounds: int = 64,
@@ -346,7 +374,7 @@ def circular_loops(steps: DataFrame, node: str = "node", step: str = "step") ->
     valid loop (length > 1, all moves in one direction)."""
     n = steps.select(F.count(F.lit(1))).scalar()
     f = steps.select(F.col(node).alias("node"), F.pmod(F.col(node) + F.col(step), n).alias("next"),
-                     F.signum(step).alias("_sign"))
+                     F.signum(step).alias("_sign")).distinct()
     cyc = pointer_cycles(f.select("node", "next")).where("on_cycle")
     j = cyc.join(f.select("node", "_sign"), "node")
     g = j.groupBy(F.col("cycle_label").alias("cycle")).agg(

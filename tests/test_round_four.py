@@ -33,6 +33,27 @@ def _walk(succ, x):
     return x in cycle, seen[cur], cur, min(cycle)
 
 
+def test_pointer_cycles_with_lost_and_repeated_rows(spark):
+    rng = random.Random(5)
+    succ = {x: rng.choice([rng.randrange(70), None, 900 + x]) if x % 9 == 0 else rng.randrange(60) for x in range(60)}
+    rows = list(succ.items()) * 2  # every row twice
+    df = spark.createDataFrame(rows, "node long, next long")
+    got = sorted((r.node, r.on_cycle, r.tail, r.entry, r.cycle_label) for r in gr.pointer_cycles(df).collect())
+    assert got == sorted((x, *_walk(succ, x)) for x in succ)
+
+
+def test_pointer_cycles_writes_rows_in_proportion(spark, monkeypatch):
+    from quern.plans import lifting
+    written = _count_writes(monkeypatch, gr, lifting)
+    n = 3000
+    rng = random.Random(6)
+    succ = {x: rng.randrange(n) for x in range(n)}
+    df = spark.createDataFrame(list(succ.items()), "node long, next long")
+    got = {r.node: (r.on_cycle, r.tail, r.entry, r.cycle_label) for r in gr.pointer_cycles(df).collect()}
+    assert got == {x: _walk(succ, x) for x in succ}
+    assert sum(written) < 14 * n
+
+
 def test_prefix_lookup_broadcasts_probes_and_counts_words_once(spark):
     words = spark.createDataFrame([(w,) for w in ["view", "viewer", "vi", "view", "", None, "click", "\U0001d54fy"]], "w string")
     probes = spark.createDataFrame([(p,) for p in ["view", "vi", "view", None, "", "zzz", "\U0001d54f", "clicks"]], "p string")
