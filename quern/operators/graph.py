@@ -142,8 +142,11 @@ def one_letter_edges(words: DataFrame, word: str) -> DataFrame:
 def bfs_distance(edges: DataFrame, sources: DataFrame, src: str = "src", dst: str = "dst",
                  nodes: DataFrame | None = None) -> DataFrame:
     """Hop distance from the nearest source and the number of shortest paths
-    (the all-shortest-paths count of the word ladder).  Frontier join, then
-    anti join with the visited set; unreachable nodes get null."""
+    (the all-shortest-paths count of the word ladder).  A round joins the
+    frontier with the edges, then looks its new nodes up in the visited set;
+    unreachable nodes get null.  Only a round's own nodes are small enough to be
+    broadcast: the visited set is scanned, and over all rounds the driver sees a
+    node about as often as a frontier reaches it."""
     e = materialize(edges.select(F.col(src).alias("s"), F.col(dst).alias("d")).distinct())
     front = materialize(sources.select(F.col(sources.columns[0]).alias("node")).distinct()
                         .select("node", F.lit(0).cast("long").alias("dist"), F.lit(1).cast("long").alias("paths")))
@@ -152,10 +155,13 @@ def bfs_distance(edges: DataFrame, sources: DataFrame, src: str = "src", dst: st
     while True:
         r += 1
         seen = union_all(found)
-        nxt = (front.join(e, front["node"] == e["s"]).groupBy(F.col("d").alias("node"))
-               .agg(F.sum("paths").alias("paths")))
-        front = materialize(nxt.join(seen.select("node"), "node", "left_anti")
+        nxt = materialize(front.join(e, front["node"] == e["s"]).groupBy(F.col("d").alias("node"))
+                          .agg(F.sum("paths").alias("paths")))
+        old = seen.join(nxt.select("node"), "node", "left_semi").select("node", F.lit(None).cast("long").alias("paths"))
+        front = materialize(nxt.withColumn("_new", F.lit(True)).unionByName(old.withColumn("_new", F.lit(False)))
+                            .groupBy("node").agg(F.sum("paths").alias("paths"), F.bool_and("_new").alias("_new")).where("_new")
                             .select("node", F.lit(r).cast("long").alias("dist"), "paths"))
+        discard(nxt)
         n = front.count()
         if n == 0:
             break

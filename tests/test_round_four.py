@@ -62,3 +62,17 @@ def test_prefix_lookup_broadcasts_probes_and_counts_words_once(spark):
         [("view", 3, 2), ("vi", 4, 1), (None, 0, 0), ("", 0, 0), ("zzz", 0, 0), ("\U0001d54f", 1, 0), ("clicks", 0, 0)], key=str)
     plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "SortMergeJoin" not in plan and "FileScan parquet" in plan, plan  # the probes' size is that of their files
+
+
+def test_bfs_scans_the_visited_set(spark, monkeypatch):
+    rows = [(i, i + 1) for i in range(6)] + [(0, 2), (3, 1), (5, 0), (2, 2)]
+    seen_plans = []
+
+    def watched(df, write=gr.materialize):
+        seen_plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df)
+    monkeypatch.setattr(gr, "materialize", watched)
+    got = gr.bfs_distance(spark.createDataFrame(rows, "src long, dst long"), spark.createDataFrame([(0,)], "node long"))
+    assert {r.node: (r.dist, r.paths) for r in got.collect()} == {
+        0: (0, 1), 1: (1, 1), 2: (1, 1), 3: (2, 1), 4: (3, 1), 5: (4, 1), 6: (5, 1)}
+    assert not any("LeftAnti" in p for p in seen_plans)  # that side would have to be broadcast whole
