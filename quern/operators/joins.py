@@ -276,7 +276,8 @@ def box_overlap_join(boxes: DataFrame, id_col: str, x1: str, y1: str, x2: str, y
     once = F.when(alike, F.col("a_id") < F.col("b_id")).otherwise(F.col("a_id") != F.col("b_id"))
 
     def pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-        return left.join(right, same).where(once & (lx < hx) & (ly < hy) & (_bucket(lx, F.col("a_lx")) == F.col("a_bx"))
+        # merged by cell: what a broadcast or a hash table of one task holds would grow with the table
+        return left.join(right.hint("merge"), same).where(once & (lx < hx) & (ly < hy) & (_bucket(lx, F.col("a_lx")) == F.col("a_bx"))
                                             & (_bucket(ly, F.col("a_ly")) == F.col("a_by")))
 
     larger = pairs(placed("a", own("x"), own("y")), placed("b", up("x", in_x, False), up("y", in_y, False)))

@@ -76,3 +76,14 @@ def test_bfs_scans_the_visited_set(spark, monkeypatch):
     assert {r.node: (r.dist, r.paths) for r in got.collect()} == {
         0: (0, 1), 1: (1, 1), 2: (1, 1), 3: (2, 1), 4: (3, 1), 5: (4, 1), 6: (5, 1)}
     assert not any("LeftAnti" in p for p in seen_plans)  # that side would have to be broadcast whole
+
+
+def test_box_join_is_merged_by_cell(spark):
+    boxes = spark.createDataFrame([(i, 3 * i, 0, 3 * i + 4 + i % 9, 5 + i % 3) for i in range(40)],
+                                  "id long, x1 long, y1 long, x2 long, y2 long")
+    out = jn.box_overlap_join(boxes, "id", "x1", "y1", "x2", "y2", cell=4)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    b = {i: (3 * i, 3 * i + 4 + i % 9) for i in range(40)}
+    assert sorted((r.id_a, r.id_b) for r in out.collect()) == [
+        (i, j) for i in b for j in b if i < j and b[j][0] < b[i][1] and b[i][0] < b[j][1]]
