@@ -87,3 +87,24 @@ def test_box_join_is_merged_by_cell(spark):
     b = {i: (3 * i, 3 * i + 4 + i % 9) for i in range(40)}
     assert sorted((r.id_a, r.id_b) for r in out.collect()) == [
         (i, j) for i in b for j in b if i < j and b[j][0] < b[i][1] and b[i][0] < b[j][1]]
+
+
+def test_streams_call_python_by_bucket_not_by_key(spark, tmp_path):
+    """2,000 keys (one null) in two micro-batches: as many groups as buckets, states of all keys kept."""
+    from quern.streaming import operators as st
+    from quern.streaming.runner import file_stream, run_to_table
+
+    rows = [(None if k == 7 else k, 10 * k + i, 5 * i, 5 * i + 7) for k in range(2000) for i in range(4)]
+    feed = str(tmp_path / "feed")
+    for part in (0, 1):
+        some = [r for r in rows if r[1] % 10 // 2 == part]
+        df = spark.createDataFrame(some, "k long, id long, s long, e long")
+        df = df.withColumn("us", (F.col("s") + 1_000_000) * 1_000_000).withColumn("ts", F.timestamp_micros("us"))
+        df.coalesce(1).write.mode("append").parquet(feed)
+    s = file_stream(spark, feed)
+    got = run_to_table(st.stream_max_overlap(s, ["k"], ["s", "id"], "id", "s", "e"), "o").collect()
+    assert {(r.k, r.id): r.max_overlap for r in got} == {(r[0], r[1]): min(r[1] % 10 + 1, 2) for r in rows}
+    limited = st.stream_rate_limit(s, ["k"], "us", "id", 10_000_000, lateness="1 day")
+    assert "_bucket" in limited._jdf.queryExecution().analyzed().toString()
+    assert {(r.k, r.id): (r.allowed, r.late) for r in run_to_table(limited, "l").collect()} == {
+        (r[0], r[1]): (r[2] % 10 == 0, False) for r in rows}
