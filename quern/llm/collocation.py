@@ -46,6 +46,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -100,6 +101,29 @@ def _hashed(phrases: list[bytes], seed: int) -> np.ndarray:
     return h
 
 
+def _distinct(ids: np.ndarray, at: np.ndarray, age: np.ndarray, k: int, base: int, ages: int) -> tuple:
+    """The distinct runs of ``k`` words that start at ``at``: their words, ages (one
+    for each run of words) and counts.  Exact: by the words, not by the hash."""
+    if base ** k * ages < 1 << 63:  # a run and its age are one number, and sorting alone counts them
+        code = ids[at]
+        for j in range(1, k):
+            code = code * base + ids[at + j]
+        code = np.sort(code * ages + age)
+        first = np.flatnonzero(np.concatenate([np.ones(min(1, len(code)), bool), code[1:] != code[:-1]]))
+        n = np.diff(np.append(first, len(code)))
+        code, age = np.divmod(code[first], ages)
+        words = []
+        for _ in range(k):
+            code, word = np.divmod(code, base)
+            words.append(word)
+        return words[::-1], age, n
+    code = ids[at]
+    for j in range(1, k):
+        code = (np.unique(code, return_inverse=True)[1] if j > 1 else code) * base + ids[at + j]
+    _, first, n = np.unique(code, return_index=True, return_counts=True)
+    return [ids[at[first] + j] for j in range(k)], age[first], n
+
+
 def _count_chunk(lang: str, texts: list[bytes], max_words: int, step: int, shards: int,
                  past: list[list[Reached]]) -> Iterator[tuple]:
     """(phrases, last steps of their cycles, counts) of the active phrases of
@@ -111,15 +135,15 @@ def _count_chunk(lang: str, texts: list[bytes], max_words: int, step: int, shard
     ids_of[_STOP]
     ids = np.fromiter(map(ids_of.__getitem__, tokens), np.int64, len(tokens))
     del tokens
-    vocab = list(ids_of)
+    vocab = pa.array(list(ids_of), pa.binary())
     if step < shards:
         n = np.bincount(ids, minlength=len(vocab))
         n[0] = 0
         at = np.flatnonzero(n)
-        yield [b""], np.array([shards - 1]), np.array([n.sum()])
-        yield [vocab[i] for i in at.tolist()], np.full(len(at), shards - 1), n[at]
+        yield pa.array([b""], pa.binary()), np.array([shards - 1]), np.array([n.sum()])
+        yield vocab.take(pa.array(at)), np.full(len(at), shards - 1), n[at]
     seed = xxhash.xxh32_intdigest(lang)
-    word = np.array([xxhash.xxh64_intdigest(w, seed) for w in vocab], np.uint64)
+    word = np.array([xxhash.xxh64_intdigest(w, seed) for w in ids_of], np.uint64)
     h, inside = word[ids], ids > 0
     for k in range(2, max_words + 1):
         if len(ids) < k:
@@ -136,14 +160,10 @@ def _count_chunk(lang: str, texts: list[bytes], max_words: int, step: int, shard
         h = _next_hash(h[:-1], word[ids[k - 1:]])
         active = (age > 0) & (age <= shards)
         at, age = at[active], age[active]
-        code = ids[at]
-        for j in range(1, k):  # exact: by the words, not by the hash
-            code = (np.unique(code, return_inverse=True)[1] if j > 1 else code) * len(vocab) + ids[at + j]
-        _, first, n = np.unique(code, return_index=True, return_counts=True)
-        for i in range(0, len(first), 1 << 17):
-            some = first[i:i + (1 << 17)]
-            cols = [ids[at[some] + j].tolist() for j in range(k)]
-            yield ([b" ".join([vocab[x] for x in row]) for row in zip(*cols)], step + shards - age[some], n[i:i + (1 << 17)])
+        words, age, n = _distinct(ids, at, age, k, len(vocab), shards + 1)
+        for i in range(0, len(n), 1 << 17):
+            cols = [vocab.take(pa.array(w[i:i + (1 << 17)])) for w in words]
+            yield pc.binary_join_element_wise(*cols, b" "), step + shards - age[i:i + (1 << 17)], n[i:i + (1 << 17)]
 
 
 def _step_counts(shard: DataFrame, step: int, max_words: int, shards: int, past: list[list[Reached]]) -> DataFrame:
@@ -156,7 +176,7 @@ def _step_counts(shard: DataFrame, step: int, max_words: int, shards: int, past:
             size[lang] = 0
             for phrases, done, n in _count_chunk(lang, held.pop(lang), max_words, step, shards, past):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary()),
+                    [pa.array([lang] * len(phrases), pa.string()), phrases,
                      pa.array(np.asarray(done, np.int32)), pa.array(np.asarray(n, np.int64))], ["lang", "phrase", "done", "n"])
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,3 +117,19 @@ def test_spread_join_deals_hot_keys(spark):
     got = spread_join(big, small, ["key"], limit=100)
     assert "_part" in got._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, got.select("key", "x", "y").collect())) == sorted(map(tuple, big.join(small, "key").select("key", "x", "y").collect()))
+
+
+def test_distinct_runs_by_one_number_or_by_steps():
+    """Both ways of counting the runs of a chunk give the same words, ages and counts."""
+    rng = np.random.default_rng(1)
+    ids = rng.integers(1, 40, 5000)
+    at = np.arange(4990)
+    age = (ids[at] + ids[at + 1]) % 3
+    for k in (2, 3):
+        runs = Counter(tuple(ids[i:i + k].tolist()) for i in at)
+        for base in (40, 10 ** 9):
+            words, ages, n = co._distinct(ids, at, age, k, base, 3)
+            rows = list(zip(*[w.tolist() for w in words]))
+            assert rows == sorted(runs) and n.tolist() == [runs[r] for r in rows]
+            assert ages.tolist() == [(r[0] + r[1]) % 3 for r in rows]
+    assert all(len(c) == 0 for c in co._distinct(ids, at[:0], age[:0], 3, 40, 3)[0])
