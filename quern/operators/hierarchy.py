@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..plans.lifting import ancestor_pairs, ascend, descend
 from ..plans.loops import materialize
-from ..plans.scan import previous, reusable, row_index
+from ..plans.scan import Agg, ordered_scan, previous, reusable, row_index
 from .sequences import running_sum
 
 
@@ -324,6 +324,66 @@ def _same_subtrees(a: DataFrame, b: DataFrame) -> DataFrame:
     return materialize(out)
 
 
+_PRIME = 2**31 - 1  # products of two residues fit a long
+_BASES = (1_103_515_245, 1_664_525_013)
+
+
+def _power(base: int, exponent: str, most: int) -> Column:
+    """``base`` to the column ``exponent`` (0 to ``most``), modulo the prime: a factor per byte of it."""
+    out = None
+    for bit in range(0, most.bit_length(), 8):
+        table = ",".join(f"{pow(base, byte << bit, _PRIME)}L" for byte in range(256))
+        factor = F.expr(f"element_at(array({table}), CAST(shiftright({exponent}, {bit}) & 255 AS INT) + 1)")
+        out = factor if out is None else out * factor % _PRIME
+    return F.lit(1).cast("long") if out is None else out
+
+
+def _shared_subtrees(a: DataFrame, b: DataFrame) -> int | None:
+    """Number of subtrees of B that A has; None where it cannot be proven this way.
+
+    A subtree's key is its size and two polynomials over its preorder tokens
+    (value, children left and right), which are differences of running sums: no
+    rounds.  Equal subtrees have equal keys.  The reverse is checked on all
+    rows: if nodes of one key have one token, and their children at one offset
+    one key, then equal keys are equal subtrees, from the smallest upwards.  Two
+    subtrees that met in a key would fail it, as do positions that repeat (ids
+    that repeat)."""
+    rows = lambda t, tag: t.select(F.lit(tag).alias("tree"), "id", F.when(F.col("level") > 0, F.col("parent")).alias("parent"),
+                                   F.col("pre_pos").alias("pos"), "size", "val", "n_left", "n_right")
+    both = rows(a, "a").unionByName(rows(b, "b"))
+    total, most = both.agg(F.count(F.lit(1)), F.coalesce(F.max("pos"), F.lit(0))).first()
+    own = [F.pmod(F.xxhash64(F.lit(i), "val", "n_left", "n_right"), F.lit(_PRIME)) * _power(r, "pos", most) % _PRIME
+           for i, r in enumerate(_BASES)]
+    both = both.select("*", *[c.alias(f"w{i}") for i, c in enumerate(own)])
+    sums = [Agg(f"upto{i}", "sum", F.col(f"w{i}")) for i in range(len(_BASES))]
+    summed = materialize(ordered_scan(both, [], ["tree", "pos"], [Agg("at", "count", F.lit(1)), *sums]))
+    shift = F.col("at") - F.col("pos")  # one a tree where its positions are 1 to n
+    if not summed.groupBy("tree").agg((F.min(shift) == F.max(shift)).alias("ok")).agg(
+            F.coalesce(F.bool_and("ok"), F.lit(True))).first()[0]:
+        return None
+    last = summed.select("tree", F.col("pos").alias("_end"), *[F.col(f"upto{i}").alias(f"_e{i}") for i in range(len(_BASES))])
+    part = [(F.col(f"_e{i}") - F.col(f"upto{i}") + F.col(f"w{i}")) % _PRIME * _power(pow(r, -1, _PRIME), "pos", most) % _PRIME
+            for i, r in enumerate(_BASES)]
+    keyed = materialize(summed.withColumn("_end", F.col("pos") + F.col("size") - 1).join(last, ["tree", "_end"]).select(
+        "tree", "id", "parent", "pos", "val", "n_left", "n_right", "size", *[c.alias(f"key{i}") for i, c in enumerate(part)]))
+    key = ["size", *[f"key{i}" for i in range(len(_BASES))]]
+    one = lambda c: F.min(c).eqNullSafe(F.max(c))
+    in_a, in_b = (F.count(F.when(F.col("tree") == tag, 1)) for tag in "ab")
+    n = F.count(F.lit(1))
+    classes = keyed.groupBy(*key).agg(
+        n.alias("n"), in_a.alias("in_a"), in_b.alias("in_b"),
+        (one("val") & one("n_left") & one("n_right") & F.count("val").isin(F.lit(0), n)).alias("ok"))
+    found, rows_seen, ok = classes.agg(F.coalesce(F.sum(F.when(F.col("in_a") > 0, F.col("in_b"))), F.lit(0)),
+                                       F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.bool_and("ok"), F.lit(True))).first()
+    if not ok or rows_seen != total:
+        return None
+    above = keyed.select("tree", F.col("id").alias("parent"), F.col("pos").alias("_pos"), *[F.col(c).alias(f"_{c}") for c in key])
+    kids = keyed.where("parent IS NOT NULL").select("tree", "parent", "pos", *key).join(above, ["tree", "parent"])
+    alike = kids.groupBy(*[f"_{c}" for c in key], (F.col("pos") - F.col("_pos")).alias("_offset")).agg(
+        (one(key[0]) & one(key[1]) & one(key[2])).alias("ok"))
+    return found if alike.where("NOT ok").isEmpty() else None
+
+
 def tree_compare(tree_a: Tree, tree_b: Tree) -> DataFrame:
     """Equal (same shape and values), mirror-equal (B with sides swapped) and
     the number of B subtrees found among A's subtrees.  At most one child a
@@ -340,10 +400,14 @@ def tree_compare(tree_a: Tree, tree_b: Tree) -> DataFrame:
     agree = F.coalesce(F.bool_and(F.col("ta").eqNullSafe(F.col("tb"))), F.lit(True))
     same = ta.join(tb, "pre_pos", "full").agg(agree.alias("equal"))
     mirror = ta.join(tm, "pre_pos", "full").agg(agree.alias("mirror"))
-    classes = _same_subtrees(a, b)
-    key = ["size", "head", "tail"]
-    found = (classes.where("tree = 'b'").join(classes.where("tree = 'a'").select(key).distinct(), key, "left_semi")
-             .agg(F.count(F.lit(1)).alias("b_subtrees_in_a")))
+    shared = _shared_subtrees(a, b)
+    if shared is not None:
+        found = a.sparkSession.range(1).select(F.lit(shared).cast("long").alias("b_subtrees_in_a"))
+    else:
+        classes = _same_subtrees(a, b)
+        key = ["size", "head", "tail"]
+        found = (classes.where("tree = 'b'").join(classes.where("tree = 'a'").select(key).distinct(), key, "left_semi")
+                 .agg(F.count(F.lit(1)).alias("b_subtrees_in_a")))
     return same.unionByName(mirror, allowMissingColumns=True).unionByName(found, allowMissingColumns=True).agg(
         F.max("equal").alias("equal"), F.max("mirror").alias("mirror"), F.max("b_subtrees_in_a").alias("b_subtrees_in_a"))
 
