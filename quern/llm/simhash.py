@@ -6,16 +6,21 @@ hashes.  Equal fingerprints are one node; nodes at ``max_bits`` or fewer
 differing bits are linked; a document's component is the smallest id it can
 reach.
 
-Search: Hamming distance over a block of the bits is a metric too, and of two
-fingerprints within ``max_bits`` at least one of ``blocks`` equal blocks is
-within ``max_bits // blocks``.  So there is one vantage-point tree per block, of
+Search: Hamming distance over a block of the bits is a metric too.  Give each
+of ``blocks`` equal blocks a radius such that the radii, one added to each, sum
+to ``max_bits`` + 1: of two fingerprints that lie farther apart than the radius in every
+block each block would hold more differing bits than its radius, all blocks more
+than ``max_bits``.  So of two within ``max_bits`` some block is within its own
+radius (4 bits and 4 blocks: radius 1 in one block, 0 in the others; a block left
+without a share has no tree).  There is one vantage-point tree per block, of
 ``WIDEST`` bits at most (a tree is laid out over all values of its block).  A
 node of a tree splits its values by their distance to a vantage point at the median; a fingerprint is
 stored in one leaf (shard) and also sent, as a query, to every shard whose
-side of a split the triangle bound cannot rule out.  Narrow blocks make the
-bound sharp: with 16-bit blocks and radius 1 a query visits at most 17 leaves
-of a block however deep the tree, where one tree over 64 bits would visit most
-of them.  A pair is looked for from one side only.
+side of a split the triangle bound cannot rule out and that holds a value within
+the radius (the second test up to ``EXACT_REACH`` neighbours of a value): with 16-bit
+blocks and radius 1 to 16 other shards at most however deep the tree, with
+radius 0 to none, where one tree over 64 bits would send it to most of them.
+A pair is looked for from one side only.
 
 Each shard compares its stored fingerprints with its queries exactly, over all
 64 bits.  It returns a spanning forest of the links it found, not the pairs,
@@ -37,6 +42,8 @@ repeated rows each get a row; other columns are not read.
 from __future__ import annotations
 
 import functools
+import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,8 +58,9 @@ from ..plans.loops import materialize
 
 BITS = 64
 WIDEST = 16
+EXACT_REACH = 256  # values within the radius of one, up to which a tree looks at each
 TASKS = 1 << 13  # stored parts, and query parts, of one shard at most
-_HASH = functools.partial(xxhash.xxh64_intdigest, seed=42)
+SEED = 42
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -65,12 +73,11 @@ def fingerprint(text: str | None, shingle: int) -> int:
     starts = np.concatenate(([0], ends[:-1] + 1))
     k = min(shingle, len(toks))
     s, e = starts[: len(toks) - k + 1], ends[k - 1:]
-    set_bits = np.zeros(BITS, np.int64)
+    set_bits = np.zeros(BITS, np.int64)  # highest bit first, as the digests have it
     for i in range(0, len(s), 4096):
-        hs = np.array([_HASH(joined[a:b]) for a, b in zip(s[i:i + 4096].tolist(), e[i:i + 4096].tolist())], "<u8")
-        set_bits += np.unpackbits(hs.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = (2 * set_bits > len(s)).astype(np.uint8)
-    return int(np.packbits(bits, bitorder="little").view("<i8")[0])
+        hs = b"".join([xxhash.xxh64_digest(joined[a:b], SEED) for a, b in zip(s[i:i + 4096].tolist(), e[i:i + 4096].tolist())])
+        set_bits += np.unpackbits(np.frombuffer(hs, np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * set_bits > len(s)).view(">i8")[0])
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
@@ -98,6 +105,12 @@ class BlockTree:
         self._visit_leaves: list[np.ndarray] = []
         self._split(values, values[:0], max(1, len(values) // leaves), radius, rng)
         v, leaf = np.concatenate(self._visit_values), np.concatenate(self._visit_leaves)
+        near = sum(math.comb(width, r) for r in range(1, radius + 1))
+        if 0 < near <= EXACT_REACH:
+            steps = [sum(1 << b for b in bits) for r in range(1, radius + 1) for bits in itertools.combinations(range(width), r)]
+            within = np.unique(np.concatenate([values.astype(np.int64) * self.leaves + self.leaf_of[values ^ np.uint32(x)] for x in steps]))
+            asked = np.isin(v.astype(np.int64) * self.leaves + leaf, within)
+            v, leaf = v[asked], leaf[asked]
         by = np.argsort(v, kind="stable")
         self.visits = leaf[by]
         self.offsets = np.searchsorted(v[by], np.arange(len(values) + 1))
@@ -121,27 +134,54 @@ class BlockTree:
         self._split(outer, np.concatenate([guests[g > mu - radius], near]), target, radius, rng)
 
 
+def radii(blocks: int, max_bits: int) -> list[int]:
+    """Radius of each block that has a tree: with one added to each they sum to ``max_bits`` + 1."""
+    share, more = divmod(max(max_bits, 0) + 1, blocks)
+    return [share - 1 + (i < more) for i in range(blocks if share else more)]
+
+
 @functools.lru_cache(maxsize=2)  # once per Python worker
-def _trees(blocks: int, radius: int, leaves: int, seed: int) -> list[BlockTree]:
-    return [BlockTree(BITS // blocks, radius, leaves, seed + i) for i in range(blocks)]
+def _trees(blocks: int, max_bits: int, leaves: int, seed: int) -> list[BlockTree]:
+    return [BlockTree(BITS // blocks, r, leaves, seed + i) for i, r in enumerate(radii(blocks, max_bits))]
+
+
+def _block_values(fps: np.ndarray, b: int, width: int) -> np.ndarray:
+    return ((fps.view(np.uint64) >> np.uint64(b * width)) & np.uint64((1 << width) - 1)).astype(np.int64)
+
 
+def _each(times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every index as often as ``times`` says, and the how-manieth it is of its own."""
+    idx = np.repeat(np.arange(len(times)), times)
+    return idx, np.arange(len(idx)) - np.repeat(np.cumsum(times) - times, times)
 
-def _route(fps: np.ndarray, trees: list[BlockTree]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+
+def _route(fps: np.ndarray, trees: list[BlockTree], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(index of the fingerprint, shard, 1 if stored there else 0)."""
     out = []
-    width = BITS // len(trees)
-    u = fps.view(np.uint64)
     for b, tree in enumerate(trees):
-        v = ((u >> np.uint64(b * width)) & np.uint64((1 << width) - 1)).astype(np.int64)
-        n = tree.offsets[v + 1] - tree.offsets[v]
-        idx = np.repeat(np.arange(len(v)), n)
-        at = np.arange(len(idx)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(tree.offsets[v], n)
+        v = _block_values(fps, b, width)
+        idx, nth = _each(tree.offsets[v + 1] - tree.offsets[v])
+        at = tree.offsets[v[idx]] + nth
         base = b << 32
         out.append((np.arange(len(v)), base + tree.leaf_of[v], np.ones(len(v), np.int8)))
         out.append((idx, base + tree.visits[at], np.zeros(len(idx), np.int8)))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Give nodes joined by the pairs (a, b), and what they were joined to
+    before, their least label; a label is a node that has itself as label."""
+    while True:
+        la, lb = label[a], label[b]
+        apart = la != lb
+        if not apart.any():
+            return
+        a, b, la, lb = a[apart], b[apart], la[apart], lb[apart]
+        np.minimum.at(label, np.maximum(la, lb), np.minimum(la, lb))
+        while not np.array_equal(up := label[label], label):
+            label[:] = up
+
+
 def shard_links(stored: np.ndarray, queries: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Spanning links of the pairs (stored, query) within ``max_bits``: each
     fingerprint that has a link, with the least one it is joined to here."""
@@ -150,14 +190,10 @@ def shard_links(stored: np.ndarray, queries: np.ndarray, max_bits: int) -> tuple
     sid, qid = np.searchsorted(nodes, s), np.searchsorted(nodes, q)
     label = np.arange(len(nodes))
     us, uq = s.view(np.uint64), q.view(np.uint64)
-    step = max(1, 2_000_000 // max(1, len(uq)))
+    step = max(1, 250_000 // max(1, len(uq)))
     for i in range(0, len(us), step):
-        hit = np.bitwise_count(us[i:i + step, None] ^ uq[None, :]) <= max_bits
-        for r in np.flatnonzero(hit.any(axis=1)):
-            joined = np.append(qid[hit[r]], sid[i + r])
-            labels = np.unique(label[joined])
-            if len(labels) > 1:
-                label[np.isin(label, labels)] = labels[0]
+        hit = np.flatnonzero(np.bitwise_count(us[i:i + step, None] ^ uq[None, :]) <= max_bits)
+        _merge(label, sid[i + hit // len(uq)], qid[hit % len(uq)])
     moved = np.flatnonzero(label != np.arange(len(nodes)))
     return nodes[moved], nodes[label[moved]]
 
@@ -171,38 +207,47 @@ def near_links(fps: DataFrame, max_bits: int = 4, blocks: int = 4, per_shard: in
         raise ValueError(f"{blocks} blocks: {BITS} bits need equal blocks of {WIDEST} bits or fewer")
     n = fps.count()
     leaves = max(1, min(1 << width, -(-n // per_shard)))
-    plan = (blocks, max_bits // blocks, leaves, seed)
+    plan = (blocks, max_bits, leaves, seed)
 
     def counted(batches):
-        for b in batches:
-            _, shard, kept = _route(b.column(0).to_numpy(), _trees(*plan))
-            key, size = np.unique(shard * 2 + kept, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(size.astype(np.int64))], ["k", "n"])
+        trees = _trees(*plan)
+        have = np.zeros((len(trees), 1 << width), np.int64)  # rows by block and value
+        for batch in batches:
+            fp = batch.column(0).to_numpy()
+            for b in range(len(trees)):
+                have[b] += np.bincount(_block_values(fp, b, width), minlength=1 << width)
+        for b, tree in enumerate(trees):
+            sent = np.bincount(tree.visits, np.repeat(have[b], np.diff(tree.offsets)), tree.leaves)
+            size = np.stack([sent, np.bincount(tree.leaf_of, have[b], tree.leaves)], axis=1).astype(np.int64).ravel()
+            at = np.flatnonzero(size)
+            yield pa.RecordBatch.from_arrays([pa.array((b << 33) + at), pa.array(size[at])], ["k", "n"])
 
     # Shards above max_shard: at most one entry per leaf and role, 2 x blocks x 2^width rows.
     heavy = {r["k"]: -(-r["n"] // max_shard) for r in
              fps.select("fp").mapInArrow(counted, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
              .where(F.col("n") > max_shard).collect()}
+    # Stored parts and query parts of each of their shards; stored ones are queries of the other parts too.
+    large = np.array(sorted({k >> 1 for k in heavy}), np.int64)
+    parts_s = np.array([heavy.get(leaf * 2 + 1, 1) for leaf in large.tolist()], np.int64)
+    parts_q = parts_s + np.array([heavy.get(leaf * 2, 1) for leaf in large.tolist()], np.int64)
 
     def routed(batches):
         for b in batches:
             fp = b.column(0).to_numpy()
-            idx, shard, kept = _route(fp, _trees(*plan))
+            idx, shard, kept = _route(fp, _trees(*plan), width)
             v = fp[idx]
             rows = [(shard * TASKS * TASKS, v, kept)]
-            big = np.isin(shard, [k >> 1 for k in heavy]) if heavy else np.zeros(len(v), bool)
+            big = np.isin(shard, large)
             if big.any():
                 rows = [(shard[~big] * TASKS * TASKS, v[~big], kept[~big])]
+                at, v, kept = np.searchsorted(large, shard[big]), v[big], kept[big]
                 part = (v.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64)
-                for leaf in np.unique(shard[big]):
-                    m = shard == leaf
-                    rows_s = heavy.get(leaf * 2 + 1, 1)
-                    rows_q = rows_s + heavy.get(leaf * 2, 1)  # stored ones are queries of the other parts too
-                    st = m & (kept == 1)
-                    for j in range(rows_q):
-                        rows.append(((leaf * TASKS + part[st] % rows_s) * TASKS + j, v[st], np.ones(st.sum(), np.int8)))
-                    for i in range(rows_s):
-                        rows.append(((leaf * TASKS + i) * TASKS + part[m] % rows_q, v[m], np.zeros(m.sum(), np.int8)))
+                of, j = _each(parts_q[at] * (kept == 1))
+                i = part[of] % parts_s[at[of]]
+                rows.append(((large[at[of]] * TASKS + i) * TASKS + j, v[of], np.ones(len(of), np.int8)))
+                of, i = _each(parts_s[at])
+                j = part[of] % parts_q[at[of]]
+                rows.append(((large[at[of]] * TASKS + i) * TASKS + j, v[of], np.zeros(len(of), np.int8)))
             k, v, r = (np.concatenate(x) for x in zip(*rows))
             yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(v), pa.array(r)], ["k", "fp", "stored"])
 
